@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gleaner.functions.text import clean_special_chars, each, remove_words, strip
+from gleaner.functions.text import clean_special_chars, each, literal_map, remove_words, strip
 
 # Job type codes.
 JOB_TYPES = {
@@ -80,12 +80,8 @@ INDUSTRIES = {"retail": 47}
 MAX_CODES = 3
 
 
-def _literal_map(mapping: Mapping) -> Column:
-    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-
-
 def lookup(key: Column, mapping: Mapping[str, str]) -> Column:
-    return F.try_element_at(_literal_map(mapping), key)
+    return F.try_element_at(literal_map(mapping), key)
 
 
 def clean_field(values: Column, remove: Sequence[str] = ()) -> Column:

@@ -12,6 +12,8 @@ import html.entities
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gleaner.functions.text import let, literal_map
+
 _RAW = (
     r"(?is)<!--.*?(?:-->|$)"
     r"|(?<=<script)(?=[\s/>])[^>]*>.*?(?=</script)"
@@ -37,7 +39,7 @@ def open_tags(page: Column, tag: str) -> Column:
 def unescape(text: Column) -> Column:
     """Decode character references that end in a semicolon."""
     pieces = F.regexp_extract_all(text, F.lit("(?s)&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);|&|[^&]++"), F.lit(0))
-    names = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+    names = literal_map(_NAMED)
 
     def number(code: Column) -> Column:
         known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
@@ -58,8 +60,8 @@ def unescape(text: Column) -> Column:
 
 def _bare(raw: Column) -> Column:
     """Value of an attribute from its text, quotes and references resolved; NULL for no value."""
-    inner = F.regexp_replace(raw, r"""^["']|["']$""", "")
-    return F.when(raw != "", unescape(inner))
+    inner = F.when(raw.rlike("""^["']"""), F.substr(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
+    return F.when(raw != "", F.when(raw.contains("&"), let(inner, unescape)).otherwise(inner))
 
 
 def _upto(name: str) -> str:
@@ -69,7 +71,7 @@ def _upto(name: str) -> str:
 
 def tag_attr(tag: Column, name: str) -> Column:
     """Value of the first attribute of that name in an open tag, NULL when it has none or no value."""
-    return _bare(F.regexp_extract(tag, rf"(?is)^<[^\s/>]++{_upto(name)}({_VALUE})", 1))
+    return let(F.regexp_extract(tag, rf"(?is)^<[^\s/>]++{_upto(name)}({_VALUE})", 1), _bare)
 
 
 def tag_attrs(page: Column, tag: str, name: str) -> Column:
@@ -85,21 +87,24 @@ def extract_links(page: Column) -> Column:
 
 def hidden_inputs(page: Column) -> Column:
     """Map of the hidden inputs that have a name and a value; the last duplicate wins."""
-    tags = F.filter(
-        open_tags(without_raw_text(page), "input"),
-        lambda t: (tag_attr(t, "type") == "hidden") & tag_attr(t, "name").isNotNull() & tag_attr(t, "value").isNotNull(),
-    )
-    pairs = F.transform(tags, lambda t: F.struct(tag_attr(t, "name").alias("k"), tag_attr(t, "value").alias("v")))
-    names = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
-    return F.map_from_entries(
-        F.transform(names, lambda k: F.struct(k, F.element_at(F.filter(pairs, lambda p: p["k"] == k), -1)["v"]))
-    )
+    tags = F.filter(open_tags(without_raw_text(page), "input"), lambda t: tag_attr(t, "type") == "hidden")
+    named = F.transform(tags, lambda t: F.struct(tag_attr(t, "name").alias("k"), tag_attr(t, "value").alias("v")))
+
+    def last_of_each(pairs: Column) -> Column:
+        names = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
+        return F.map_from_entries(
+            F.transform(names, lambda k: F.struct(k, F.element_at(F.filter(pairs, lambda p: p["k"] == k), -1)["v"]))
+        )
+
+    return let(F.filter(named, lambda p: p["k"].isNotNull() & p["v"].isNotNull()), last_of_each)
 
 
 def page_language(page: Column) -> Column:
     """Language part of the first locale a page names: html@lang, two meta forms, any xml:lang."""
-    clean = without_raw_text(page)
+    return let(without_raw_text(page), _language)
+
 
+def _language(clean: Column) -> Column:
     def meta(attribute: str) -> Column:
         tags = F.filter(open_tags(clean, "meta"), lambda t: F.contains(tag_attr(t, attribute), F.lit("anguage")))
         return F.get(F.filter(F.transform(tags, lambda t: tag_attr(t, "content")), lambda v: v.isNotNull()), F.lit(0))

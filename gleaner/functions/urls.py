@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gleaner.functions.text import let
+
 # scheme, //authority, path, ?query, #fragment
 _PARTS = r"(?s)^([a-zA-Z][a-zA-Z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 
@@ -15,6 +17,18 @@ def _part(url: Column, group: int) -> Column:
     return F.regexp_extract(url, _PARTS, group)
 
 
+def url_path(url: Column) -> Column:
+    return _part(url, 3)
+
+
+def url_tail(url: Column) -> Column:
+    """Path, query and fragment; an empty query or fragment leaves no mark."""
+    query, fragment = _part(url, 4), _part(url, 5)
+    return F.concat(
+        _part(url, 3), F.when(query == "?", "").otherwise(query), F.when(fragment == "#", "").otherwise(fragment)
+    )
+
+
 def netloc(url: Column) -> Column:
     return F.substr(_part(url, 2), F.lit(3))
 
@@ -70,30 +84,31 @@ def query_pairs(query: Column) -> Column:
 
 def encode_pairs(pairs: Column) -> Column:
     """Query string of the pairs: one entry per key, the last one, in key order."""
-    keys = F.array_sort(F.array_distinct(F.transform(pairs, lambda p: p["k"])))
-    return F.array_join(
-        F.transform(
-            keys,
-            lambda k: F.concat(
-                _quote_plus(k),
-                F.lit("="),
-                _quote_plus(F.element_at(F.filter(pairs, lambda p: p["k"] == k), -1)["v"]),
-            ),
-        ),
-        "&",
-    )
+
+    def encode(entries: Column) -> Column:
+        keys = F.array_sort(F.array_distinct(F.transform(entries, lambda p: p["k"])))
+
+        def entry(k: Column) -> Column:
+            value = F.element_at(F.filter(entries, lambda p: p["k"] == k), -1)["v"]
+            return F.concat(_quote_plus(k), F.lit("="), _quote_plus(value))
+
+        return F.array_join(F.transform(keys, entry), "&")
+
+    return let(pairs, encode)
+
+
+def _query(encoded: Column) -> Column:
+    return let(encoded, lambda q: F.when(q != "", F.concat(F.lit("?"), q)).otherwise(""))
 
 
 def shrink_url(url: Column, remove: Sequence[str] = ()) -> Column:
     """Unquote, drop the listed query parameters and encode the rest again."""
     plain = unquote(url)
     path = F.substring_index(plain, "?", 1)
-    query = F.substr(plain, F.length(path) + 2)
-    kept = query_pairs(query)
+    kept = query_pairs(F.substr(plain, F.length(path) + 2))
     if remove:
         kept = F.filter(kept, lambda p: ~p["k"].isin(*remove))
-    encoded = encode_pairs(kept)
-    return F.when(encoded != "", F.concat(path, F.lit("?"), encoded)).otherwise(path)
+    return F.concat(path, _query(encode_pairs(kept)))
 
 
 def add_get_params(url: Column, params: Mapping[str, str] | Column) -> Column:
@@ -104,8 +119,7 @@ def add_get_params(url: Column, params: Mapping[str, str] | Column) -> Column:
         )
     else:
         added = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(str(v)).alias("v")) for k, v in params.items()])
-    encoded = encode_pairs(F.concat(query_pairs(F.substr(_part(url, 4), F.lit(2))), added))
-    query = F.when(encoded != "", F.concat(F.lit("?"), encoded)).otherwise("")
+    query = _query(encode_pairs(F.concat(query_pairs(F.substr(_part(url, 4), F.lit(2))), added)))
     return F.concat(_part(url, 1), _part(url, 2), _part(url, 3), query, _part(url, 5))
 
 
@@ -119,24 +133,29 @@ def _remove_dots(path: Column) -> Column:
         .when(s == ".", acc)
         .otherwise(F.concat(acc, F.array(s))),
     )
-    tail = F.when(F.element_at(segments, -1).isin(".", ".."), "/").otherwise("")
-    body = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(F.size(kept) > 0, tail).otherwise(""))
-    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), body).otherwise(path)
+    folder = F.element_at(segments, -1).isin(".", "..")
+    return let(
+        kept,
+        lambda k: F.concat(
+            F.lit("/"), F.array_join(k, "/"), F.when(folder & (F.size(k) > 0), "/").otherwise("")
+        ),
+    )
 
 
 def url_join(base: Column, url: Column) -> Column:
     """Resolve a reference against a base url (RFC 3986 section 5.2)."""
-    b = {i: _part(base, i) for i in range(1, 6)}
-    r = {i: _part(url, i) for i in range(1, 6)}
-    b_path = F.when((b[3] == "") & (b[2] != ""), "/").otherwise(b[3])
-    folder = F.regexp_extract(b_path, "(?s)^(.*/)", 1)
-    merged = F.when(F.startswith(r[3], F.lit("/")), r[3]).otherwise(F.concat(folder, r[3]))
-    merged = F.when(F.startswith(merged, F.lit("/")), _remove_dots(merged)).otherwise(merged)
-    resolved = (
-        F.when(r[1] != "", url)
-        .when(r[2] != "", F.concat(b[1], url))
-        .when(r[3] != "", F.concat(b[1], b[2], merged, r[4], r[5]))
-        .when(r[4] != "", F.concat(b[1], b[2], b[3], r[4], r[5]))
-        .otherwise(F.concat(b[1], b[2], b[3], b[4], r[5]))
-    )
-    return F.when(url.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://[^?#]*$") & ~url.contains("/."), url).otherwise(resolved)
+    parts = [_part(base, i).alias(f"b{i}") for i in range(1, 6)] + [_part(url, i).alias(f"r{i}") for i in range(1, 6)]
+
+    def resolve(p: Column) -> Column:
+        root = F.when((p["b3"] == "") & (p["b2"] != ""), "/").otherwise(F.regexp_extract(p["b3"], "(?s)^(.*/)", 1))
+        path = F.when(F.startswith(p["r3"], F.lit("/")), p["r3"]).otherwise(F.concat(root, p["r3"]))
+        path = let(path, lambda x: F.when(x.rlike(r"^/(?:.*/)?\.\.?(/|$)"), _remove_dots(x)).otherwise(x))
+        return (
+            F.when(p["r1"] != "", F.concat(*[p[f"r{i}"] for i in range(1, 6)]))
+            .when(p["r2"] != "", F.concat(p["b1"], *[p[f"r{i}"] for i in range(2, 6)]))
+            .when(p["r3"] != "", F.concat(p["b1"], p["b2"], path, p["r4"], p["r5"]))
+            .when(p["r4"] != "", F.concat(p["b1"], p["b2"], p["b3"], p["r4"], p["r5"]))
+            .otherwise(F.concat(*[p[f"b{i}"] for i in range(1, 5)], p["r5"]))
+        )
+
+    return F.when(is_absolute(url) & (_part(url, 1) != ""), url).otherwise(let(F.struct(*parts), resolve))
