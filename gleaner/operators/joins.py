@@ -28,30 +28,34 @@ def lookup_join(
     return facts.join(F.broadcast(lookup) if fits_broadcast(lookup, limit) else lookup, list(on), how)
 
 
-def _carry(df: DataFrame, key: Sequence[str], ts: str, value: Column, name: str, bucket: str, back: bool) -> DataFrame:
+def _carry(df: DataFrame, key: Sequence[str], ts: str, value: Column, name: str, bucket: str, back: bool, strict: bool) -> DataFrame:
     df = df.withColumn("_bucket", F.date_trunc(bucket, F.col(ts))).withColumn("_value", value)
-    edge = F.max if back else F.min
-    order = F.col("_bucket").asc() if back else F.col("_bucket").desc()
+    edge, pick = (F.max, F.greatest) if back else (F.min, F.least)
     per_bucket = df.groupBy(*key, "_bucket").agg(edge("_value").alias("_edge"))
-    reach = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.select(*key, "_bucket", edge("_edge").over(reach).alias("_carried"))
-    inner = Window.partitionBy(*key, "_bucket").orderBy(F.col(ts).asc() if back else F.col(ts).desc())
-    inner = inner.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    passed = Window.partitionBy(*key).orderBy(F.col("_bucket").asc() if back else F.col("_bucket").desc())
+    passed = passed.rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.select(*key, "_bucket", edge("_edge").over(passed).alias("_carried"))
     joined = df.join(per_bucket, [*key, "_bucket"], "left")
-    within = edge("_value").over(inner)
-    pick = F.greatest if back else F.least
-    return joined.withColumn(name, pick(within, F.col("_carried"))).drop("_bucket", "_value", "_carried")
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    within = Window.partitionBy(*key, "_bucket").orderBy(micros.asc() if back else micros.desc())
+    within = within.rangeBetween(Window.unboundedPreceding, -1 if strict else Window.currentRow)
+    found = pick(edge("_value").over(within), F.col("_carried"))
+    return joined.withColumn(name, found).drop("_bucket", "_value", "_carried")
 
 
-def carry_forward(df: DataFrame, key: Sequence[str], ts: str, value: Column, name: str, bucket: str = "minute") -> DataFrame:
-    """Latest `value` at or before each row of the same key, in the order of `ts`.
+def carry_forward(
+    df: DataFrame, key: Sequence[str], ts: str, value: Column, name: str, bucket: str = "hour", strict: bool = False
+) -> DataFrame:
+    """Greatest `value` at or before each row of the same key; `strict` leaves out rows of the same time.
 
-    Rows are grouped by (key, time bucket), so a key with a third of all rows is spread over its buckets;
-    only one summary row per bucket crosses buckets.
+    Rows are grouped by key and time bucket, so a key with a third of all rows is spread over its buckets;
+    only one summary row per bucket crosses them.
     """
-    return _carry(df, key, ts, value, name, bucket, back=True)
+    return _carry(df, key, ts, value, name, bucket, back=True, strict=strict)
 
 
-def carry_backward(df: DataFrame, key: Sequence[str], ts: str, value: Column, name: str, bucket: str = "minute") -> DataFrame:
-    """Earliest `value` at or after each row of the same key; see `carry_forward`."""
-    return _carry(df, key, ts, value, name, bucket, back=False)
+def carry_backward(
+    df: DataFrame, key: Sequence[str], ts: str, value: Column, name: str, bucket: str = "hour", strict: bool = False
+) -> DataFrame:
+    """Least `value` at or after each row of the same key; see `carry_forward`."""
+    return _carry(df, key, ts, value, name, bucket, back=False, strict=strict)

@@ -5,6 +5,7 @@ from gleaner.plans import (  # noqa: F401
     matching_queries,
     page_queries,
     policy_queries,
+    run_queries,
     source_queries,
     text_queries,
     url_queries,

@@ -1,0 +1,38 @@
+"""A small table carried from micro-batch to micro-batch.
+
+Batch n reads what batch n - 1 wrote and writes its own copy, so a batch that is run again after a failure
+starts from the same state. The folder must be one every executor reaches.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+KEPT = 2
+
+
+class BatchState:
+    def __init__(self, spark: SparkSession, folder: str, schema: StructType | str):
+        self.spark, self.folder, self.schema = spark, folder, schema
+
+    def _path(self, batch_id: int) -> str:
+        return f"{self.folder}/batch-{batch_id}"
+
+    def _hadoop(self, batch_id: int):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(batch_id))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def read(self, batch_id: int) -> DataFrame:
+        """State before that batch."""
+        files, path = self._hadoop(batch_id - 1)
+        if batch_id == 0 or not files.exists(path):
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self._path(batch_id - 1))
+
+    def write(self, batch_id: int, state: DataFrame) -> None:
+        """State after that batch; copies no batch can ask for again are dropped."""
+        state.write.mode("overwrite").parquet(self._path(batch_id))
+        files, path = self._hadoop(batch_id - KEPT)
+        if batch_id >= KEPT and files.exists(path):
+            files.delete(path, True)
