@@ -43,7 +43,7 @@ def unescape(text: Column) -> Column:
 
     def number(code: Column) -> Column:
         known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        return F.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32BE")).otherwise("�")
+        return F.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("�")
 
     def decoded(p: Column) -> Column:
         body = F.substr(p, F.lit(2), F.length(p) - 2)

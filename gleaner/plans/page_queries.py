@@ -40,9 +40,18 @@ def host_links(spark, folder):
     return top_per_group(counted, ["language"], [F.desc("links"), F.asc("host")], 10)
 
 
-@query("explode_elements")
+@query(
+    "explode_elements",
+    """WITH t AS (SELECT page_id, unnest(regexp_extract_all(html, '<([a-z][a-z0-9]*)[^>]*>([^<]*)', 1)) AS tag, unnest(regexp_extract_all(html, '<([a-z][a-z0-9]*)[^>]*>([^<]*)', 2)) AS after,
+           generate_subscripts(regexp_extract_all(html, '<([a-z][a-z0-9]*)[^>]*>([^<]*)', 1), 1) AS i FROM pages)
+       SELECT page_id, CAST(i - 1 AS INTEGER) AS node_id, tag, CASE WHEN tag IN ('a', 'title', 'style', 'h1', 'div')
+              THEN replace(replace(replace(after, '&quot;', '"'), '&amp;', '&'), '&amp', '&') END AS label FROM t""",
+)
 def explode_elements(spark, folder):
-    return E.explode_elements(pages(spark, folder)).drop("attrs", "html_string")
+    rows = E.explode_elements(pages(spark, folder))
+    return rows.select(
+        "page_id", "node_id", "tag", F.when(F.col("tag").isin("a", "title", "style", "h1", "div"), F.col("text")).alias("label")
+    )
 
 
 @query("page_body_text", f"WITH {BODY_SQL} SELECT page_id, body_text FROM body")
