@@ -14,11 +14,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.text import let, literal_map
 
-_RAW = (
-    r"(?is)<!--.*?(?:-->|$)"
-    r"|(?<=<script)(?=[\s/>])[^>]*>.*?(?=</script)"
-    r"|(?<=<style)(?=[\s/>])[^>]*>.*?(?=</style)"
-)
+_RAW = r"(?is)<(?:!--.*?(?:-->|$)|(script|style)(?=[\s/>])[^>]*+>.*?(?=</\1))"
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
 _ATTRIBUTE = rf"[^\s/>=][^\s/>=]*+(?:\s*+=\s*+{_VALUE})?+"
 
@@ -28,7 +24,7 @@ _NAMED = {name: chr(code) for name, code in html.entities.name2codepoint.items()
 
 def without_raw_text(page: Column) -> Column:
     """The page without comments and without the content of scripts and styles."""
-    return F.regexp_replace(page, _RAW, ">")
+    return F.regexp_replace(page, _RAW, "<$1>")
 
 
 def open_tags(page: Column, tag: str) -> Column:
@@ -69,15 +65,23 @@ def _upto(name: str) -> str:
     return rf"(?:[\s/=]++|(?!{name}[\s=/>]){_ATTRIBUTE})*+{name}\s*+=\s*+"
 
 
+def _raw_attr(tag: Column, name: str) -> Column:
+    """Attribute of an open tag as it is written, '' when it has none."""
+    return F.regexp_extract(tag, rf"(?is)^<[^\s/>]++{_upto(name)}({_VALUE})", 1)
+
+
 def tag_attr(tag: Column, name: str) -> Column:
     """Value of the first attribute of that name in an open tag, NULL when it has none or no value."""
-    return let(F.regexp_extract(tag, rf"(?is)^<[^\s/>]++{_upto(name)}({_VALUE})", 1), _bare)
+    return let(_raw_attr(tag, name), _bare)
+
+
+def _raw_attrs(page: Column, tag: str, name: str) -> Column:
+    return F.regexp_extract_all(page, F.lit(rf"(?is)<{tag}(?=[\s/>]){_upto(name)}({_VALUE})"), F.lit(1))
 
 
 def tag_attrs(page: Column, tag: str, name: str) -> Column:
     """That attribute of every open tag of that name, without the tags that lack it."""
-    raw = F.regexp_extract_all(page, F.lit(rf"(?is)<{tag}(?=[\s/>]){_upto(name)}({_VALUE})"), F.lit(1))
-    return F.transform(raw, _bare)
+    return F.transform(_raw_attrs(page, tag, name), _bare)
 
 
 def extract_links(page: Column) -> Column:
@@ -106,14 +110,9 @@ def page_language(page: Column) -> Column:
 
 def _language(clean: Column) -> Column:
     def meta(attribute: str) -> Column:
-        tags = F.filter(open_tags(clean, "meta"), lambda t: F.contains(tag_attr(t, attribute), F.lit("anguage")))
-        return F.get(F.filter(F.transform(tags, lambda t: tag_attr(t, "content")), lambda v: v.isNotNull()), F.lit(0))
+        tags = F.filter(open_tags(clean, "meta"), lambda t: F.contains(_raw_attr(t, attribute), F.lit("anguage")))
+        return F.get(F.filter(F.transform(tags, lambda t: _raw_attr(t, "content")), lambda v: v != ""), F.lit(0))
 
     any_xml_lang = F.regexp_extract(clean, rf"(?is)<[a-z][^\s/>]*+{_upto('xml:lang')}({_VALUE})", 1)
-    locale = F.coalesce(
-        F.get(tag_attrs(clean, "html", "lang"), F.lit(0)),
-        meta("http-equiv"),
-        meta("http-name"),
-        _bare(any_xml_lang),
-    )
-    return F.btrim(F.split_part(locale, F.lit("-"), F.lit(1)), F.lit("\n"))
+    locale = F.coalesce(F.get(_raw_attrs(clean, "html", "lang"), F.lit(0)), meta("http-equiv"), meta("http-name"), any_xml_lang)
+    return F.btrim(F.split_part(let(locale, _bare), F.lit("-"), F.lit(1)), F.lit("\n"))

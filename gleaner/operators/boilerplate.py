@@ -63,7 +63,8 @@ def _steps(nodes: list[dict], front: list[str] | None, back: list[str] | None) -
 def _rows(pages: DataFrame, group: str, page: str, front: bool, back: bool) -> DataFrame:
     """One row per element that is still there; a root has no parent to be removed from and no position."""
     kinds = {c: pages.schema[c].dataType.simpleString() for c in (group, page)}
-    schema = f"`{group}` {kinds[group]}, `{page}` {kinds[page]}, node_id int, tag string, path string, place string, print bigint"
+    schema = f"`{group}` {kinds[group]}, `{page}` {kinds[page]}, n_pages bigint"
+    schema += ", node_id int, tag string, path string, place string, print bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,22 +82,21 @@ def _rows(pages: DataFrame, group: str, page: str, front: bool, back: bool) -> D
             flat = list(zip(*rows)) if rows else [[]] * 5
             kinds_out = (pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(group).take(take), batch.column(page).take(take)]
+                [batch.column(name).take(take) for name in (group, page, "n_pages")]
                 + [pa.array(values, kind) for values, kind in zip(flat, kinds_out)],
-                [group, page, "node_id", "tag", "path", "place", "print"],
+                [group, page, "n_pages", "node_id", "tag", "path", "place", "print"],
             )
 
     return pages.mapInArrow(run, schema)
 
 
-def _shared(rows: DataFrame, sizes: DataFrame, group: str, direction: str) -> DataFrame:
+def _shared(rows: DataFrame, group: str, direction: str) -> DataFrame:
     """Positions that hold the same subtree on every page of a group of at least two pages."""
-    found = rows.filter(F.col("place").isNotNull()).groupBy(group, "place")
+    found = rows.filter("place IS NOT NULL AND n_pages >= 2").groupBy(group, "place", "n_pages")
     found = found.agg(
         F.count("*").alias("n"), F.min("print").alias("low"), F.max("print").alias("high"), F.min("tag").alias("tag")
-    ).filter("low = high AND n >= 2")
-    shared = lookup_join(found, sizes, [group], "inner").filter("n = n_pages")
-    return shared.select(group, F.lit(direction).alias("direction"), "place", "tag", "n_pages")
+    ).filter("low = high AND n = n_pages")
+    return found.select(group, F.lit(direction).alias("direction"), "place", "tag", "n_pages")
 
 
 def _with_places(pages: DataFrame, shared: DataFrame, group: str, name: str) -> DataFrame:
@@ -105,19 +105,19 @@ def _with_places(pages: DataFrame, shared: DataFrame, group: str, name: str) ->
 
 
 def _passes(pages: DataFrame, group: str, page: str, html: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    sizes = pages.groupBy(group).agg(F.count("*").alias("n_pages"))
     # Parsed once and written: both directions and the result read it again.
-    parsed = cut_lineage(parse_pages(pages, html, [page, group], FIELDS, ()))
-    sizes = parsed.groupBy(group).agg(F.count("*").alias("n_pages"))
-    front = cut_lineage(_shared(_rows(parsed, group, page, False, False), sizes, group, "front"))
+    parsed = cut_lineage(lookup_join(parse_pages(pages, html, [page, group], FIELDS, ()), sizes, [group]))
+    front = cut_lineage(_shared(_rows(parsed, group, page, False, False), group, "front"))
     trimmed = _with_places(parsed, front, group, "front")
-    back = cut_lineage(_shared(_rows(trimmed, group, page, True, False), sizes, group, "back"))
+    back = cut_lineage(_shared(_rows(trimmed, group, page, True, False), group, "back"))
     return _with_places(trimmed, back, group, "back"), front, back
 
 
 def remove_boilerplate(pages: DataFrame, group: str = "host", page: str = "page_id", html: str = "html") -> DataFrame:
     """Elements that are left: `group, page, node_id, tag, path`."""
     trimmed, _, _ = _passes(pages, group, page, html)
-    return _rows(trimmed, group, page, True, True).drop("place", "print")
+    return _rows(trimmed, group, page, True, True).drop("n_pages", "place", "print")
 
 
 def boilerplate_elements(pages: DataFrame, group: str = "host", page: str = "page_id", html: str = "html") -> DataFrame:

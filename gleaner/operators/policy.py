@@ -11,6 +11,7 @@ from gleaner.functions.text import strip
 from gleaner.functions.urls import hostname, normalize_feed_url
 from gleaner.operators.joins import lookup_join
 from gleaner.operators.selectors import Page, css, select_nodes, take
+from gleaner.session import cut_lineage
 
 # Feed urls that lead to no job board of their own.
 SKIP_URLS = ("https://icims.com/", "https://www2.icims.com/", "https://www3.icims.com/", "https://taleo.net/")
@@ -52,7 +53,7 @@ def offsite_flag(
     flags = hosts.join(good.withColumn("_good", F.lit(True)), [site, "host"], "left")
     flags = flags.join(sites.withColumn("_listed", F.lit(True)), site, "left")
     verdicts = flags.select(site, "host", (F.col("_good").isNotNull() | F.col("_listed").isNull()).alias("follow"))
-    joined = lookup_join(keyed, verdicts, [site, "host"])
+    joined = lookup_join(keyed, cut_lineage(verdicts), [site, "host"])
     bypass = [c for c in (dont_filter, None if enabled is None else ~enabled) if c is not None]
     for test in bypass:
         joined = joined.withColumn("follow", F.col("follow") | F.coalesce(test, F.lit(False)))
@@ -104,5 +105,5 @@ def serp_link_match(requests: DataFrame, serp: DataFrame, url: str = "url") -> D
     for field in SERP_FIELDS:
         complete = complete & F.coalesce(F.col(field) != "", F.lit(False))
     found = serp.filter(complete).groupBy(F.col("serp_job_link").alias(url)).agg(F.min("serp_location").alias("serp_location"))
-    matched = lookup_join(requests, found, [url])
+    matched = lookup_join(requests, cut_lineage(found), [url])
     return matched.withColumn("serp_job_link", F.when(F.col("serp_location").isNotNull(), F.col(url)))

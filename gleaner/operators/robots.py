@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from gleaner.functions.text import let, strip
 from gleaner.functions.urls import netloc, unquote, url_path, url_tail
 from gleaner.operators.joins import lookup_join
+from gleaner.session import cut_lineage
 from gleaner.sources.files import scan_robots
 
 # Fixed value: how long a robots file without an expiry is good.
@@ -26,9 +27,15 @@ def unquote_path(path: Column) -> Column:
     return F.replace(unquote(kept), F.lit("\n"), F.lit("%2F"))
 
 
+def latest_robots(robots: DataFrame, host: str = "host", body: str = "body", fetched: str | None = None) -> DataFrame:
+    """One text per host, the last fetched one, however often a host was fetched."""
+    text = F.max(body) if fetched is None else F.max_by(body, fetched)
+    return robots.groupBy(host).agg(text.alias(body))
+
+
 def _directives(robots: DataFrame, host: str, body: str, relaxed: bool) -> DataFrame:
     """Lines that mean something: `field`, `data`; a blank line that ends a group has field ''."""
-    lines = scan_robots(robots, host, body).withColumn("line", strip(F.col("line")))
+    lines = scan_robots(latest_robots(robots, host, body), host, body).withColumn("line", strip(F.col("line")))
     cut = strip(F.regexp_replace("line", "#.*$", ""))
     if relaxed:
         # Only an empty line ends a group; the name must be the whole text before the first colon.
@@ -89,7 +96,7 @@ def sitemaps(robots: DataFrame, host: str = "host", body: str = "body") -> DataF
 
 
 def _first_group(groups: DataFrame, host: str, user_agent: str, relaxed: bool) -> DataFrame:
-    """The group that counts for one user agent, one row per host."""
+    """The group that counts for one user agent, one row per host; written once for the size check and the join."""
     if relaxed:
         token = F.lit(user_agent.split("/")[0].lower())
         names = F.exists("agents", lambda a: (a == "*") | F.contains(token, F.substring_index(F.lower(a), "/", 1)))
@@ -97,7 +104,7 @@ def _first_group(groups: DataFrame, host: str, user_agent: str, relaxed: bool) -
         token = F.lit(user_agent.lower())
         names = F.exists("agents", lambda a: (a == "*") | F.contains(token, F.lower(a)))
     chosen = F.min_by(F.struct("rules", "crawl_delay"), "group_no").alias("_group")
-    return groups.filter(names).groupBy(host).agg(chosen)
+    return cut_lineage(groups.filter(names).groupBy(host).agg(chosen))
 
 
 def _quoted(text: Column) -> Column:

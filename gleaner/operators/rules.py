@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.functions.text import blank_to_null, clean_value, each, normalized_join
+from gleaner.functions.text import blank_to_null, clean_value, each, let, normalized_join
 from gleaner.operators.joins import lookup_join
 from gleaner.operators.selectors import Page, Sel, select_nodes, take
 from gleaner.session import cut_lineage
@@ -104,7 +104,7 @@ def regex_hits(values: Column, pattern: str) -> Column:
 
 
 def _found(values: Column) -> Column:
-    return F.when(F.size(values) > 0, values)
+    return let(values, lambda v: F.when(F.size(v) > 0, v))
 
 
 def rule_alternatives(alternatives: Sequence[Column]) -> Column:
@@ -149,35 +149,42 @@ def positional_zip(base: Column, **lists: Column) -> Column:
     return F.arrays_zip(base.alias("base"), *[F.coalesce(v, empty).alias(k) for k, v in lists.items()])
 
 
+def _entries(pairs: Sequence[tuple[str, Column]], kind: str) -> Column:
+    flat = [x for name, value in pairs for x in (F.lit(name), value)]
+    return F.create_map(*flat) if flat else F.create_map().cast(f"map<string,{kind}>")
+
+
 def _rows(rule_ix: int, rules: RuleSet, page: Page, url: Column) -> Column:
-    """Job rows of one rule set on one page."""
-    jobs = rules.base.nodes(page)
-    lists = {name: extract_rule(rule, page, url) for name, rule in rules.nonrelative.items()}
-    sizes = [F.size(jobs), *[F.coalesce(F.size(v), F.lit(0)) for v in lists.values()]]
-    count = F.greatest(*sizes) if lists else sizes[0]
-
-    def row(i: Column) -> Column:
-        job = F.get(jobs, i)
-        beside = [(k, F.when(F.get(v, i).isNotNull(), F.array(F.get(v, i)))) for k, v in lists.items()]
-        inside = [
-            (k, F.when(job.isNotNull(), extract_rule(r, page, url, within=job))) for k, r in rules.relative.items()
-        ]
-        carried = [x for k, v in beside + inside for x in (F.lit(k), v)]
-        form = [
-            x
-            for k, r in rules.formdata.items()
-            for x in (F.lit(k), F.get(extract_rule(r, page, url, within=job), F.lit(0)))
-        ]
-        return F.struct(
-            F.lit(rule_ix).alias("rule_ix"),
-            i.cast("int").alias("pos"),
-            F.get(extract_rule(rules.joburl, page, url, within=job), F.lit(0)).alias("joburl"),
-            (F.create_map(*carried) if carried else F.create_map().cast("map<string,array<string>>")).alias("custom_items"),
-            (F.create_map(*form) if form else F.create_map().cast("map<string,string>")).alias("formdata"),
-            F.lit(rules.dont_filter).alias("dont_filter"),
-        )
-
-    return F.when(F.size(jobs) > 0, F.transform(F.sequence(F.lit(0), count - 1), row))
+    """Job rows of one rule set on one page, NULL when its base does not match."""
+    beside = {name: extract_rule(rule, page, url) for name, rule in rules.nonrelative.items()}
+    found = F.struct(rules.base.nodes(page).alias("jobs"), *[v.alias(f"list{i}") for i, v in enumerate(beside.values())])
+
+    def rows(lists: Column) -> Column:
+        columns = {name: lists[f"list{i}"] for i, name in enumerate(beside)}
+        sizes = [F.size(lists["jobs"]), *[F.coalesce(F.size(v), F.lit(0)) for v in columns.values()]]
+        count = F.greatest(*sizes) if columns else sizes[0]
+
+        def row(i: Column) -> Column:
+            job = F.get(lists["jobs"], i)
+
+            def inside(rule: Rule) -> Column:
+                return F.when(job.isNotNull(), extract_rule(rule, page, url, within=job))
+
+            carried = [(k, F.when(F.get(v, i).isNotNull(), F.array(F.get(v, i)))) for k, v in columns.items()]
+            carried += [(k, inside(rule)) for k, rule in rules.relative.items()]
+            form = [(k, F.get(inside(rule), F.lit(0))) for k, rule in rules.formdata.items()]
+            return F.struct(
+                F.lit(rule_ix).alias("rule_ix"),
+                i.cast("int").alias("pos"),
+                F.get(inside(rules.joburl), F.lit(0)).alias("joburl"),
+                _entries(carried, "array<string>").alias("custom_items"),
+                _entries(form, "string").alias("formdata"),
+                F.lit(rules.dont_filter).alias("dont_filter"),
+            )
+
+        return F.when(F.size(lists["jobs"]) > 0, F.transform(F.sequence(F.lit(0), count - 1), row))
+
+    return let(found, rows)
 
 
 def job_index_rows(pages: DataFrame, rule_sets: Sequence[RuleSet], keep: Sequence[str] = ("page_id", "url")) -> DataFrame:
@@ -200,7 +207,7 @@ def merge_index_detail(
     detail: DataFrame, index: DataFrame, order: str, fields: Sequence[str], on: str = "url", **defaults: Column
 ) -> DataFrame:
     """Detail values win, the first index row of the same url fills the empty ones, then the defaults."""
-    carried = index.groupBy(on).agg(F.min_by(F.struct(*fields), order).alias("_index"))
+    carried = cut_lineage(index.groupBy(on).agg(F.min_by(F.struct(*fields), order).alias("_index")))
     joined = lookup_join(detail, carried, [on])
     filled = {f: F.coalesce(blank_to_null(F.col(f)), blank_to_null(F.col(f"_index.{f}"))) for f in fields}
     for name, default in defaults.items():
@@ -221,7 +228,7 @@ def follow_next(seeds: DataFrame, links: DataFrame, max_depth: int = 1000) -> Da
     `seeds(seed)`, `links(src, dst)` with the links whose condition holds. Each round joins only the newest
     urls, is written to the checkpoint folder, and drops urls of earlier rounds, so cycles end the walk.
     """
-    edges = links.select("src", "dst").distinct()
+    edges = cut_lineage(links.select("src", "dst").distinct())
     frontier = cut_lineage(seeds.select("seed", F.col("seed").alias("url"), F.lit(0).alias("depth")).distinct())
     reached = frontier
     for depth in range(1, max_depth + 1):

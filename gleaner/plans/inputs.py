@@ -44,11 +44,10 @@ BODY_SQL = r"""body AS (SELECT page_id, url, html,
 
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
-    columns = [c for c in _split_columns(ITEM_COLUMNS)]
-    return table(spark, folder, "orders").selectExpr(*columns)
+    return spread(table(spark, folder, "orders")).selectExpr(*split_columns(ITEM_COLUMNS))
 
 
-def _split_columns(text: str) -> list[str]:
+def split_columns(text: str) -> list[str]:
     """Select expressions of a column list: commas inside brackets do not separate."""
     out, depth, start = [], 0, 0
     for i, c in enumerate(text):

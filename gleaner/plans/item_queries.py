@@ -11,8 +11,9 @@ from gleaner.operators import rollups as I
 from gleaner.operators import validate as H
 from gleaner.operators.code_tables import map_by_table
 from gleaner.operators.elements import body_text, parse_pages
-from gleaner.plans.inputs import BODY_SQL, ITEMS_SQL, items, pages
+from gleaner.plans.inputs import BODY_SQL, ITEMS_SQL, items, pages, split_columns
 from gleaner.plans.registry import query
+from gleaner.session import spread
 from gleaner.sources.tables import table
 
 NOW = "2016-05-03 10:00:00"
@@ -118,7 +119,7 @@ SALARY_COLUMNS = """o_orderkey, CAST(CAST(floor(o_totalprice) AS BIGINT) AS STRI
 
 
 def _salary_texts(spark, folder):
-    made = table(spark, folder, "orders").selectExpr(*[c.strip() for c in _columns(SALARY_COLUMNS)])
+    made = spread(table(spark, folder, "orders")).selectExpr(*split_columns(SALARY_COLUMNS))
     text = F.format_string(
         "Pay $%1$s - $%2$s per hour, $%3$s.50/day. Base €%3$s,%4$s00 - €%3$s,%4$s00! Or £%3$sk; bonus ¥%3$s,%4$s00.",
         "low", "high", "k", "d",
@@ -126,12 +127,6 @@ def _salary_texts(spark, folder):
     return made.withColumn("text", text)
 
 
-def _columns(text):
-    from gleaner.plans.inputs import _split_columns
-
-    return _split_columns(text)
-
-
 SALARY_PARTS = {
     "salary_range_per_period": "'$' || low || ' - $' || high || ' per hour'",
     "salary_per_period": "'$' || k || '.50/day'",
@@ -445,7 +440,7 @@ LATEST_SQL = f"""runs AS (SELECT {RUN_COLUMNS} FROM orders),
 
 
 def _latest(spark, folder):
-    runs = table(spark, folder, "orders").selectExpr(*_columns(RUN_COLUMNS))
+    runs = table(spark, folder, "orders").selectExpr(*split_columns(RUN_COLUMNS))
     return I.latest_run(runs, "spider", "updated", "run_id")
 
 

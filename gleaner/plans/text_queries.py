@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import text as T
 from gleaner.plans.inputs import pages
 from gleaner.plans.registry import query
+from gleaner.session import spread
 from gleaner.sources.tables import table
 
 WS = T.WHITESPACE
@@ -14,7 +15,7 @@ LINES = "string_split(text, chr(10))"
 
 
 def _documents(spark, folder):
-    return table(spark, folder, "documents")
+    return spread(table(spark, folder, "documents"))
 
 
 def _lines():

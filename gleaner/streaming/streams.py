@@ -97,7 +97,7 @@ def stale_crawl_stream(
     def sink(batch: DataFrame, batch_id: int) -> None:
         before = state.read(batch_id)
         known = before.select(run, F.col("seen").alias(ts), F.lit(True).alias("_item"), F.lit(0).cast("bigint").alias("_limit"))
-        arrived = batch.withColumns({"_item": is_item, "_limit": limit.cast("bigint")})
+        arrived = batch.withColumns({"_item": is_item, "_limit": limit.cast("bigint")}).persist()
         both = arrived.unionByName(known, allowMissingColumns=True)
         write(stale_crawl_filter(both, run, ts, F.col("_item"), F.col("_limit")), batch_id)
         latest = arrived.groupBy(run).agg(
@@ -106,6 +106,7 @@ def stale_crawl_stream(
         joined = before.join(latest, run, "full_outer")
         seen = F.greatest(F.coalesce("seen", "first"), F.col("item"))
         state.write(batch_id, joined.select(run, seen.alias("seen")))
+        arrived.unpersist()
 
     return messages.writeStream.foreachBatch(sink)
 
@@ -122,12 +123,13 @@ def preview_stream(items: DataFrame, run: str, order: Sequence[Column], max_jobs
     state = BatchState(items.sparkSession, state_folder, kinds)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        before = state.read(batch_id)
+        before, batch = state.read(batch_id), batch.persist()
         ranked = lookup_join(top_per_group(batch, [run], order, max_jobs), before, [run])
         accepted = ranked.filter(F.coalesce("taken", F.lit(0)) + F.col("rank") <= max_jobs).drop("taken", "rank")
         write(accepted, batch_id)
         counts = batch.groupBy(run).agg(F.count("*").alias("n"))
         total = F.least(F.coalesce("taken", F.lit(0)) + F.coalesce("n", F.lit(0)), F.lit(max_jobs))
         state.write(batch_id, before.join(counts, run, "full_outer").select(run, total.cast("bigint").alias("taken")))
+        batch.unpersist()
 
     return items.writeStream.foreachBatch(sink)
