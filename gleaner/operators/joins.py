@@ -44,7 +44,7 @@ def _carry(df: DataFrame, key: Sequence[str], ts: str, value: Column, name: str,
 
 
 def carry_forward(
-    df: DataFrame, key: Sequence[str], ts: str, value: Column, name: str, bucket: str = "hour", strict: bool = False
+    df: DataFrame, key: Sequence[str], ts: str, value: Column, name: str, bucket: str = "minute", strict: bool = False
 ) -> DataFrame:
     """Greatest `value` at or before each row of the same key; `strict` leaves out rows of the same time.
 
@@ -55,7 +55,7 @@ def carry_forward(
 
 
 def carry_backward(
-    df: DataFrame, key: Sequence[str], ts: str, value: Column, name: str, bucket: str = "hour", strict: bool = False
+    df: DataFrame, key: Sequence[str], ts: str, value: Column, name: str, bucket: str = "minute", strict: bool = False
 ) -> DataFrame:
     """Least `value` at or after each row of the same key; see `carry_forward`."""
     return _carry(df, key, ts, value, name, bucket, back=False, strict=strict)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.text import let
 from gleaner.operators.elements import node_text
-from gleaner.operators.joins import fits_broadcast
+from gleaner.operators.joins import fits_broadcast, lookup_join
+from gleaner.session import cut_lineage
 
 # Elements that never hold the description themselves; search settings of the dictionaries.
 SKIPPED_TAGS = ("html", "body", "head", "script")
@@ -58,6 +59,18 @@ def gram_count(text: Column, n: int) -> Column:
     return F.length(text) + (n - 1)
 
 
+def _terms(dictionary: DataFrame, n: int) -> DataFrame:
+    terms = dictionary.select("term").distinct().withColumn("_term", F.lower("term"))
+    return terms.withColumn("_size", gram_count(F.col("_term"), n))
+
+
+def similar_size(text: Column, dictionary: DataFrame, n: int, threshold: float) -> Column:
+    """Predicate: a text of this size can reach the threshold with some term at all."""
+    sizes = _terms(dictionary, n).agg(F.min("_size").alias("low"), F.max("_size").alias("high")).first()
+    low, high = math.floor((sizes["low"] or 0) * threshold), math.ceil((sizes["high"] or 0) / threshold)
+    return gram_count(text, n).between(low, high)
+
+
 def ngram_search(
     texts: DataFrame, ids: Sequence[str], text: str, dictionary: DataFrame, n: int = LOCATION_N, threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -66,15 +79,12 @@ def ngram_search(
     Two texts whose sizes differ by more than the threshold allows cannot be similar, so long texts leave
     before they are cut into grams; that drops no result. The rest meets the dictionary by equal grams.
     """
-    terms = dictionary.select("term").distinct().withColumn("_term", F.lower("term"))
-    terms = terms.withColumn("_size", gram_count(F.col("_term"), n))
-    sizes = terms.agg(F.min("_size").alias("low"), F.max("_size").alias("high")).first()
-    low, high = sizes["low"] or 0, sizes["high"] or 0
+    terms = _terms(dictionary, n)
     index = terms.select("term", F.col("_size").alias("_term_size"), F.inline(grams(F.col("_term"), n)))
 
-    asked = texts.select(*ids, F.lower(text).alias("_text")).withColumn("_size", gram_count(F.col("_text"), n))
-    asked = asked.filter(F.col("_size").between(math.floor(low * threshold), math.ceil(high / threshold)))
-    asked = asked.select(*ids, "_size", F.inline(grams(F.col("_text"), n)))
+    asked = texts.select(*[F.col(i) for i in ids], F.lower(text).alias("_text"))
+    asked = asked.filter(similar_size(F.col("_text"), dictionary, n, threshold))
+    asked = asked.select(*ids, gram_count(F.col("_text"), n).alias("_size"), F.inline(grams(F.col("_text"), n)))
 
     small = F.broadcast(index) if fits_broadcast(index) else index
     near = (F.col("_size") >= F.col("_term_size") * threshold) & (F.col("_term_size") >= F.col("_size") * threshold)
@@ -87,10 +97,16 @@ def ngram_search(
 def fuzzy_field(parsed: DataFrame, dictionary: DataFrame, n: int = LOCATION_N, threshold: float = THRESHOLD, page: str = "page_id") -> DataFrame:
     """Per page the element whose whole text is most like a dictionary term, with that term.
 
-    `parsed` holds `nodes` and `page_text`; ties go to the first element, then to the first term.
+    `parsed` holds `nodes` and `page_text`; ties go to the first element, then to the first term. Pages
+    repeat their labels, so each distinct text is searched once.
     """
-    texts = F.transform("nodes", lambda e: F.struct(e["node_id"].alias("node_id"), e["tag"].alias("tag"), node_text(e).alias("text")))
-    rows = parsed.select(page, F.inline(texts))
-    found = ngram_search(rows, [page, "node_id", "tag"], "text", dictionary, n, threshold)
-    best = F.min_by(F.struct("node_id", "tag", "term", "similarity"), F.struct(-F.col("similarity"), "node_id", "term"))
-    return found.groupBy(page).agg(best.alias("_best")).select(page, "_best.*")
+    texts = F.transform(
+        "nodes", lambda e: F.struct(e["node_id"].alias("node_id"), e["tag"].alias("tag"), F.lower(node_text(e)).alias("text"))
+    )
+    rows = parsed.select(page, F.inline(texts)).filter(similar_size(F.col("text"), dictionary, n, threshold))
+    rows = cut_lineage(rows)  # read for the distinct texts and again for their elements
+    found = ngram_search(rows.select("text").distinct(), ["text"], "text", dictionary, n, threshold)
+    top = found.groupBy("text").agg(F.min_by(F.struct("term", "similarity"), F.struct(-F.col("similarity"), "term")).alias("_top"))
+    scored = lookup_join(rows, cut_lineage(top), ["text"], "inner").select(page, "node_id", "tag", "_top.*")
+    best = F.min_by(F.struct("node_id", "tag", "term", "similarity"), F.struct(-F.col("similarity"), "node_id"))
+    return scored.groupBy(page).agg(best.alias("_best")).select(page, "_best.*")

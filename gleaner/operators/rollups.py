@@ -6,11 +6,13 @@ Every group-by here combines in the map task first, so a hot value costs one row
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import digits_of
+from gleaner.session import cut_lineage
 
 # Range and precision of the parse time histogram, in milliseconds.
 SHORTEST_MS, LONGEST_MS = 1, 5000
@@ -42,15 +44,21 @@ def field_uniques(rollup: DataFrame) -> DataFrame:
 
 
 def field_topk(rollup: DataFrame, limits: Mapping[str, int]) -> DataFrame:
-    """Most frequent values of the limited fields, ties by value; all values of the others."""
-    out = [rollup.filter(F.col("field").isin([f for f, k in limits.items() if k <= 0]))]
-    for k in sorted({k for k in limits.values() if k > 0}):
-        chosen = rollup.filter(F.col("field").isin([f for f, limit in limits.items() if limit == k]))
-        out.append(top_per_group(chosen, ["field"], [F.desc("n"), F.asc("value")], k).drop("rank"))
-    result = out[0]
-    for part in out[1:]:
-        result = result.unionByName(part)
-    return result
+    """Most frequent values of the limited fields, ties by value; all values of the others.
+
+    Only limited fields are ranked, so no task ever holds all values of an unlimited one.
+    """
+    limited = {f: k for f, k in limits.items() if k > 0}
+    free = [f for f in limits if f not in limited]
+    if limited and free:
+        rollup = cut_lineage(rollup)  # read twice below
+    parts = [rollup.filter(F.col("field").isin(free))] if free else []
+    if limited:
+        most = max(limited.values())
+        ranked = top_per_group(rollup.filter(F.col("field").isin(list(limited))), ["field"], [F.desc("n"), F.asc("value")], most)
+        allowed = F.coalesce(*[F.when(F.col("field") == f, F.lit(k)) for f, k in limited.items()])
+        parts.append(ranked.filter(F.col("rank") <= allowed).drop("rank"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def missing_field_counts(items: DataFrame, fields: Sequence[str]) -> DataFrame:

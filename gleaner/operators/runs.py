@@ -19,7 +19,7 @@ def _seconds(later: Column, earlier: Column) -> Column:
     return micros / 1_000_000
 
 
-def stale_crawl_filter(messages: DataFrame, run: str, ts: str, is_item: Column, limit: Column, bucket: str = "hour") -> DataFrame:
+def stale_crawl_filter(messages: DataFrame, run: str, ts: str, is_item: Column, limit: Column, bucket: str = "minute") -> DataFrame:
     """Add `rejected` to the requests of each run: no item seen for more than `limit` seconds.
 
     The first message of a run counts as seen; a limit of 0 switches the filter off. Items leave the result.
@@ -35,7 +35,7 @@ def stale_crawl_filter(messages: DataFrame, run: str, ts: str, is_item: Column,
 
 
 def stale_run_alerts(
-    messages: DataFrame, run: str, ts: str, is_stop: Column, now: Column, max_age: str = MAX_AGE, bucket: str = "hour"
+    messages: DataFrame, run: str, ts: str, is_stop: Column, now: Column, max_age: str = MAX_AGE, bucket: str = "minute"
 ) -> DataFrame:
     """One row per silence: `run, last_seen, alert_after`; a stop message clears the run."""
     flagged = messages.select(run, ts, is_stop.alias("_stop"))

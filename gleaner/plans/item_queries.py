@@ -156,8 +156,10 @@ def extract_salaries(spark, folder):
     return _salary_texts(spark, folder).select("o_orderkey", F.array_join(G.extract_salaries(twice), "|").alias("found"))
 
 
+# The second engine has no list of countries, so both get the same short one.
+TLDS = (*G.GENERIC_TLDS, "de", "es", "uk")
 WEBSITES_SQL = r"""sites AS (SELECT page_id, list_transform(list_filter(flatten(list_transform(string_split(body_text, ' '), lambda w: regexp_extract_all(w, '(?:https?://)?(?:www.)?([0-9a-zA-Z.-]+\.[a-z]{2,})', 1))),
-      lambda s: regexp_matches(s, '\.(com|org|net|int|edu|gov|mil|arpa|an|at|de|in|is|re|es|la|le|no|st|et|us|to|it|me|pa|as|be|by|so|tr|er|ch|ai)$')), lambda s: lower(s)) AS named,
+      lambda s: regexp_matches(s, '\.(com|org|net|int|edu|gov|mil|arpa|de|es|uk)$')), lambda s: lower(s)) AS named,
       list_transform(list_filter(regexp_extract_all(html, '<a href="([^"]*)">', 1), lambda h: starts_with(h, 'http')), lambda h: regexp_extract(h, '//(?:www\.)?([^/:?#]*)', 1)) AS hosts FROM body)"""
 
 
@@ -167,7 +169,7 @@ WEBSITES_SQL = r"""sites AS (SELECT page_id, list_transform(list_filter(flatten(
 )
 def extract_websites(spark, folder):
     parsed = parse_pages(pages(spark, folder).withColumn("links", extract_links(F.col("html"))), keep=["page_id", "links"])
-    found = G.extract_websites(body_text(), F.col("links"), G.top_level_domains(spark))
+    found = G.extract_websites(body_text(), F.col("links"), TLDS)
     return parsed.select("page_id", F.array_join(F.array_sort(found), "|").alias("websites"))
 
 
@@ -198,7 +200,7 @@ def auto_fields(spark, folder):
     kept = F.when(F.contains("url", F.lit("blog")), F.array(F.lit("kept.example")))
     parsed = parse_pages(source, keep=["page_id", "url", "links", "html"])
     parsed = parsed.withColumns({"body_text": body_text(), "autoextracted_company_websites": kept})
-    done = H.auto_fields(parsed, G.top_level_domains(spark))
+    done = H.auto_fields(parsed, TLDS)
 
     def joined(name):
         return F.array_join(F.array_sort(F.col(name)), "|")

@@ -137,7 +137,9 @@ def extract_links(spark, folder):
 
 @query(
     "remove_bad_elements",
-    f"""SELECT page_id, '<div><ul><li>' || CAST(page_id AS VARCHAR) || '</li></ul>kept</div>|<p>' || {TITLE_SQL.replace("'&amp;', '&'", "'&amp;', '&amp;'").replace("'&amp', '&'", "'&amp;', '&amp;'")} || '</p>' AS cleaned FROM pages""",
+    r"""WITH t AS (SELECT page_id, replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&quot;', '"') AS title FROM pages)
+        SELECT page_id, '<div><ul><li>' || CAST(page_id AS VARCHAR) || '</li></ul>kept</div>|<p>'
+          || regexp_replace(regexp_replace(title, '&amp$', '&amp;'), '&(am|a|)$', '&amp;\1') || '</p>' AS cleaned FROM t""",
 )
 def remove_bad_elements(spark, folder):
     title = F.regexp_extract("html", "<h1>([^<]*)</h1>", 1)

@@ -59,10 +59,12 @@ def scan_dictionary(spark, folder):
 @query(
     "scan_robots",
     """SELECT doc_id, CAST(generate_subscripts(lines, 1) - 1 AS INTEGER) AS line_no, unnest(lines) AS line
-       FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)""",
+       FROM (SELECT doc_id, string_split(substr(regexp_replace(text, '[^\\x00-\\x7f]', '?', 'g'), 1, 102400), chr(10)) AS lines FROM documents)""",
 )
 def scan_robots(spark, folder):
-    return files.scan_robots(table(spark, folder, "documents"), "doc_id", "text")
+    # One byte per character, so the second engine can cut at the same place.
+    ascii_only = table(spark, folder, "documents").withColumn("text", F.regexp_replace("text", r"[^\x00-\x7f]", "?"))
+    return files.scan_robots(ascii_only, "doc_id", "text")
 
 
 @query(

@@ -226,6 +226,26 @@ def test_fuzzy_field(spark):
     assert [(r.page_id, r.node_id, r.term, r.similarity) for r in rows] == [(0, 2, "Leeds", 1.0)]
 
 
+def test_scores_on_given_pages(spark):
+    df = spark.read.parquet(PAGES).limit(40)
+    words = sorted({w for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect() for w in r.text.split() if len(w) > 7})[:60]
+    nodes = E.parse_pages(df, fields=FIELDS, page_fields=("page_text",))
+    best = {r.page_id: (r.b.score, r.b.node.node_id) for r in nodes.select("page_id", K.best_element().alias("b")).collect()}
+    fuzzy = {r.page_id: (r.node_id, r.term, r.similarity) for r in K.fuzzy_field(nodes, spark.createDataFrame([(w,) for w in words], "term string")).collect()}
+    for row in df.collect():
+        tree = PageTree(row.html)
+        page, scores, matches = "".join(tree.text), [], []
+        for i, tag in enumerate(tree.tag):
+            text = page[tree.text_start[i] : tree.text_start[i] + tree.text_len[i]]
+            if text and tag not in K.SKIPPED_TAGS:
+                scores.append((len(text) ** 2 / tree.html_len[i], -i))
+            if len(text) < 200:
+                matches += [(-reference_similarity(text, w, 3), i, w) for w in words]
+        assert best[row.page_id] == (max(scores)[0], -max(scores)[1])
+        score, i, word = min(matches)
+        assert fuzzy.get(row.page_id) == ((i, word, -score) if -score >= 0.2 else None)
+
+
 class Node:
     def __init__(self, i, tag, sig):
         self.i, self.tag, self.sig, self.children, self.parent = i, tag, sig, [], None
