@@ -44,8 +44,7 @@ def grams(text: Column, n: int) -> Column:
     Counting the repeats makes equal grams of two texts equal rows, so their overlap is a plain count.
     """
     pad = F.lit("$" * (n - 1))
-    padded = F.concat(pad, text, pad)
-    found = F.transform(F.sequence(F.lit(1), F.length(padded) - (n - 1)), lambda i: F.substr(padded, i, F.lit(n)))
+    found = F.regexp_extract_all(F.concat(pad, text, pad), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
     return let(
         F.array_sort(found),
         lambda ordered: F.transform(
@@ -79,8 +78,9 @@ def ngram_search(
     Two texts whose sizes differ by more than the threshold allows cannot be similar, so long texts leave
     before they are cut into grams; that drops no result. The rest meets the dictionary by equal grams.
     """
-    terms = _terms(dictionary, n)
-    index = terms.select("term", F.col("_size").alias("_term_size"), F.inline(grams(F.col("_term"), n)))
+    # Numbers stand for the terms until the last step; written, so they stay the same when a task is run again.
+    terms = cut_lineage(_terms(dictionary, n).withColumn("_term_id", F.monotonically_increasing_id()))
+    index = terms.select("_term_id", F.col("_size").alias("_term_size"), F.inline(grams(F.col("_term"), n)))
 
     asked = texts.select(*[F.col(i) for i in ids], F.lower(text).alias("_text"))
     asked = asked.filter(similar_size(F.col("_text"), dictionary, n, threshold))
@@ -89,9 +89,10 @@ def ngram_search(
     small = F.broadcast(index) if fits_broadcast(index) else index
     near = (F.col("_size") >= F.col("_term_size") * threshold) & (F.col("_term_size") >= F.col("_size") * threshold)
     shared = asked.join(small, ["gram", "seen"]).filter(near)
-    pairs = shared.groupBy(*ids, "term", "_size", "_term_size").agg(F.count("*").alias("_shared"))
+    pairs = shared.groupBy(*ids, "_term_id", "_size", "_term_size").agg(F.count("*").alias("_shared"))
     similarity = F.col("_shared") / (F.col("_size") + F.col("_term_size") - F.col("_shared"))
-    return pairs.withColumn("similarity", similarity).filter(F.col("similarity") >= threshold).select(*ids, "term", "similarity")
+    alike = pairs.withColumn("similarity", similarity).filter(F.col("similarity") >= threshold)
+    return lookup_join(alike, terms.select("_term_id", "term"), ["_term_id"]).select(*ids, "term", "similarity")
 
 
 def fuzzy_field(parsed: DataFrame, dictionary: DataFrame, n: int = LOCATION_N, threshold: float = THRESHOLD, page: str = "page_id") -> DataFrame:
@@ -105,8 +106,12 @@ def fuzzy_field(parsed: DataFrame, dictionary: DataFrame, n: int = LOCATION_N, t
     )
     rows = parsed.select(page, F.inline(texts)).filter(similar_size(F.col("text"), dictionary, n, threshold))
     rows = cut_lineage(rows)  # read for the distinct texts and again for their elements
-    found = ngram_search(rows.select("text").distinct(), ["text"], "text", dictionary, n, threshold)
-    top = found.groupBy("text").agg(F.min_by(F.struct("term", "similarity"), F.struct(-F.col("similarity"), "term")).alias("_top"))
-    scored = lookup_join(rows, cut_lineage(top), ["text"], "inner").select(page, "node_id", "tag", "_top.*")
+    keys = cut_lineage(rows.select("text").distinct().withColumn("_text_id", F.monotonically_increasing_id()))
+    found = ngram_search(keys, ["_text_id"], "text", dictionary, n, threshold)
+    top = found.groupBy("_text_id").agg(
+        F.min_by(F.struct("term", "similarity"), F.struct(-F.col("similarity"), "term")).alias("_top")
+    )
+    tops = cut_lineage(keys.join(top, "_text_id").select("text", "_top"))
+    scored = lookup_join(rows, tops, ["text"], "inner").select(page, "node_id", "tag", "_top.*")
     best = F.min_by(F.struct("node_id", "tag", "term", "similarity"), F.struct(-F.col("similarity"), "node_id"))
     return scored.groupBy(page).agg(best.alias("_best")).select(page, "_best.*")

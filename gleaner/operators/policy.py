@@ -37,12 +37,19 @@ def on_site(host: Column, domains: Sequence[str]) -> Column:
 
 
 def offsite_flag(
-    requests: DataFrame, allowed: DataFrame, site: str = "site_id", url: str = "url", dont_filter: Column | None = None, enabled: Column | None = None
+    requests: DataFrame,
+    allowed: DataFrame,
+    site: str = "site_id",
+    url: str = "url",
+    dont_filter: Column | None = None,
+    enabled: Column | None = None,
+    policy: Column | None = None,
 ) -> DataFrame:
     """Add `host` and `follow`: the host lies under a domain of its site in `allowed(site, domain)`.
 
-    Filtering must be switched on; a site without domains keeps all; `dont_filter` bypasses it. Each host of
-    a site is looked at once, so suffixes are never multiplied by the requests.
+    Filtering must be switched on; a site without domains keeps all; `dont_filter` bypasses it; `policy` is a
+    predicate over the request and its `host` that takes the place of the domain test. Each host of a site is
+    looked at once, so suffixes are never multiplied by the requests.
     """
     keyed = requests.withColumn("host", F.coalesce(hostname(F.col(url)), F.lit("")))
     hosts = keyed.select(site, "host").distinct()
@@ -53,7 +60,10 @@ def offsite_flag(
     flags = hosts.join(good.withColumn("_good", F.lit(True)), [site, "host"], "left")
     flags = flags.join(sites.withColumn("_listed", F.lit(True)), site, "left")
     verdicts = flags.select(site, "host", (F.col("_good").isNotNull() | F.col("_listed").isNull()).alias("follow"))
-    joined = lookup_join(keyed, cut_lineage(verdicts), [site, "host"])
+    if policy is None:
+        joined = lookup_join(keyed, cut_lineage(verdicts), [site, "host"])
+    else:
+        joined = keyed.withColumn("follow", policy)
     bypass = [c for c in (dont_filter, None if enabled is None else ~enabled) if c is not None]
     for test in bypass:
         joined = joined.withColumn("follow", F.col("follow") | F.coalesce(test, F.lit(False)))

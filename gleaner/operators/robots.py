@@ -185,6 +185,20 @@ def robots_by_status(status: Column, strict: bool = True) -> Column:
     return F.when(status.isin(401, 403), "deny").when(status == 404, "allow").when(~status.between(200, 299), "error")
 
 
+def apply_robots_status(decided: DataFrame, fetches: DataFrame, strict: bool = True, host: str = "host") -> DataFrame:
+    """Let the status of the robots fetch, `fetches(host, status)`, overrule the rules; NULL after a failed fetch."""
+    status = fetches.groupBy(host).agg(F.max("status").alias("_status"))
+    joined = lookup_join(decided, status, [host])
+    verdict = robots_by_status(F.col("_status"), strict)
+    allowed = (
+        F.when(verdict == "deny", F.lit(False))
+        .when(verdict == "allow", F.lit(True))
+        .when(verdict == "error", F.lit(None).cast("boolean"))
+        .otherwise(F.col("allowed"))
+    )
+    return joined.withColumn("allowed", allowed).drop("_status")
+
+
 def robots_expiry(expires: Column, fetched: Column) -> Column:
     """When a robots file gets stale: its Expires header in any http date form, else seven days after the fetch."""
     text = F.regexp_replace(strip(expires), r"^[A-Za-z]+,?\s+(?=[A-Za-z0-9])", "")

@@ -240,11 +240,16 @@ def follow_next(seeds: DataFrame, links: DataFrame, max_depth: int = 1000) -> Da
     return reached
 
 
-def two_hop_follow(links: DataFrame, responses: DataFrame, href: str = "href") -> DataFrame:
-    """Pages behind links whose query is cut off; a link without a query is not followed."""
+def two_hop_follow(links: DataFrame, responses: DataFrame, order: str, href: str = "href") -> DataFrame:
+    """Pages behind links whose query is cut off; a link without a query is not followed.
+
+    Of several responses of one url the first by `order` counts, so copies on both sides never multiply.
+    """
+    rest = [c for c in responses.columns if c != "url"]
+    pages = responses.groupBy("url").agg(F.min_by(F.struct(*rest), order).alias("_page")).select("url", "_page.*")
     target = F.regexp_extract(href, r"(?s)^(.*)\?", 1)
     hops = links.filter(F.contains(F.col(href), F.lit("?"))).withColumn("url", target)
-    return hops.join(responses, "url")
+    return hops.join(pages, "url")
 
 
 def scan_keyword_type(text: Column, keywords: Sequence[str] = ("FULL TIME", "PART TIME")) -> Column:

@@ -49,7 +49,7 @@ def stale_run_alerts(
 
 def time_limit_filter(requests: DataFrame, runs: DataFrame, run: str, ts: str) -> DataFrame:
     """Requests not later than the end time of their run; a run without one keeps all."""
-    ends = runs.select(run, "end_time")
+    ends = runs.groupBy(run).agg(F.max("end_time").alias("end_time"))
     kept = lookup_join(requests, ends, [run])
     return kept.filter(F.col("end_time").isNull() | (F.col(ts) <= F.col("end_time"))).drop("end_time")
 

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gleaner.functions import markup
+from gleaner.functions.text import WHITESPACE
 from gleaner.functions.urls import url_host
 from gleaner.operators import elements as E
 from gleaner.operators import rules as R
 from gleaner.operators import selectors as S
+from gleaner.operators.callbacks import page_callback as page_callback_of
+from gleaner.operators.callbacks import python_processor as python_processor_of
 from gleaner.operators.rollups import top_per_group
 from gleaner.operators.selectors import Page, Sel
 from gleaner.plans.inputs import BODY_SQL, ITEMS_SQL, items, pages
 from gleaner.plans.registry import query
+from gleaner.session import spread
 from gleaner.sources.tables import table
 
 LINKS_SQL = """links AS (SELECT page_id, url, generate_subscripts(hrefs, 1) - 1 AS pos, unnest(hrefs) AS href, unnest(labels) AS label FROM
@@ -308,7 +313,7 @@ def two_hop_follow(spark, folder):
     responses = table(spark, folder, "pages").select("page_id", "url")
     hrefs = F.concat("url", F.lit("?session="), F.col("page_id").cast("string"))
     links = responses.select((F.col("page_id") - 1).alias("from_page"), hrefs.alias("href")).filter("from_page >= 0")
-    return R.two_hop_follow(links, responses).select("from_page", "page_id", "url")
+    return R.two_hop_follow(links, responses, "page_id").select("from_page", "page_id", "url")
 
 
 @query(
@@ -329,3 +334,25 @@ def load_item(spark, folder):
 def scan_keyword_type(spark, folder):
     text = F.replace("jobtype", F.lit("-"), F.lit(" "))
     return items(spark, folder).select("item_no", R.scan_keyword_type(text).alias("jobtype"))
+
+
+@query("python_processor", f"WITH {LINKS_SQL} SELECT page_id, string_agg(reverse(href), '|' ORDER BY pos DESC) AS hits FROM links GROUP BY page_id")
+def python_processor(spark, folder):
+    flip = python_processor_of(lambda values: [v[::-1] for v in reversed(values)])
+    return pages(spark, folder).select("page_id", F.array_join(flip(markup.extract_links(F.col("html"))), "|").alias("hits"))
+
+
+def _lines_of(page):
+    for place, line in enumerate(page["text"].split("\n")):
+        if line.strip():
+            yield {"doc_id": page["doc_id"], "place": place, "line": line}
+
+
+@query(
+    "page_callback",
+    f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place FROM documents)
+        SELECT doc_id, place, line FROM l WHERE trim(line, '{WHITESPACE}') <> ''""",
+)
+def page_callback(spark, folder):
+    schema = StructType().add("doc_id", "long").add("place", "long").add("line", "string")
+    return page_callback_of(spread(table(spark, folder, "documents")), _lines_of, ["doc_id", "text"], schema)

@@ -104,6 +104,25 @@ def crawl_delay(spark, folder):
     return decided.select("page_id", "crawl_delay")
 
 
+@query(
+    "apply_robots_status",
+    f"""WITH {HOSTS_SQL}, d AS (SELECT page_id, NOT starts_with({TAIL_SQL}, '/' || lang || '/') AS allowed,
+           CASE WHEN contains({HOST_SQL}, 'blog') THEN 403 WHEN contains({HOST_SQL}, 'www') THEN 404 WHEN starts_with({HOST_SQL}, 'm.') THEN 503 ELSE 200 END AS status
+           FROM pages JOIN hosts ON host = {HOST_SQL})
+        SELECT page_id, CASE status WHEN 403 THEN false WHEN 404 THEN true WHEN 503 THEN NULL ELSE allowed END AS strict,
+               CASE WHEN status >= 400 THEN true ELSE allowed END AS relaxed FROM d""",
+)
+def apply_robots_status(spark, folder):
+    robots = _robots(spark, folder)
+    host = F.col("host")
+    status = F.when(host.contains("blog"), 403).when(host.contains("www"), 404).when(host.startswith("m."), 503).otherwise(200)
+    fetches = robots.select("host", status.alias("status"))
+    decided = J.robots_decide(_requests(spark, folder), J.robots_groups(robots), "Other", strict=True)
+    strict = J.apply_robots_status(decided.withColumn("rules", F.col("allowed")), fetches).withColumnRenamed("allowed", "strict")
+    relaxed = J.apply_robots_status(strict.withColumnRenamed("rules", "allowed"), fetches, strict=False)
+    return relaxed.select("page_id", "strict", F.col("allowed").alias("relaxed"))
+
+
 @query("sitemaps", f"WITH {HOSTS_SQL} SELECT host, 'https://' || host || '/sitemap.xml' AS sitemap FROM hosts")
 def sitemaps(spark, folder):
     return J.sitemaps(_robots(spark, folder)).select("host", "sitemap")

@@ -20,15 +20,20 @@ def scratch(spark, name):
     return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-@query("scan_responses", "SELECT page_id, url, html, 'utf-8' AS encoding_body_declared FROM pages")
+ENCODINGS_SQL = """coalesce({header}, 'utf-8') AS encoding_scrapy_guess, {header} AS encoding_headers, 'utf-8' AS encoding_body_declared, 'utf-8' AS encoding_body_inferred"""
+HEADER_SQL = "CASE WHEN contains(url, 'blog') THEN 'iso-8859-1' END"
+
+
+@query("scan_responses", f"SELECT page_id, url, html, {ENCODINGS_SQL.format(header=HEADER_SQL)} FROM pages")
 def scan_responses(spark, folder):
-    return tables.scan_responses(table(spark, folder, "pages"))
+    header = F.when(F.contains("url", F.lit("blog")), "text/html; charset=ISO-8859-1").otherwise("text/html")
+    return tables.scan_responses(table(spark, folder, "pages"), header, F.encode("html", "UTF-8"))
 
 
 @query(
     "raw_capture",
-    """SELECT '99999' AS mining_job_id, '1' AS iteration, url, regexp_extract(url, '/([0-9]+)', 1) AS referencenumber,
-              html AS raw_html, 'utf-8' AS encoding_body_declared, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS language
+    f"""SELECT '99999' AS mining_job_id, '1' AS iteration, url, regexp_extract(url, '/([0-9]+)', 1) AS referencenumber,
+              html AS raw_html, {ENCODINGS_SQL.format(header="CAST(NULL AS VARCHAR)")}, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS language
        FROM pages WHERE NOT contains(url, 'casino')""",
 )
 def raw_capture(spark, folder):
@@ -102,14 +107,12 @@ def route_items(spark, folder):
 )
 def run_lifecycle(spark, folder):
     run = F.col("user_id")
-    rows = files.run_lifecycle(table(spark, folder, "events"), "user_id", "ts")
     route = files.lifecycle_route(run < 20, run < 50, run < 90)
+    rows = files.run_lifecycle(
+        table(spark, folder, "events"), "user_id", "ts", route=route, end_fields={"end_message": F.lit("done")}
+    )
     return rows.select(
-        "user_id",
-        route.alias("route"),
-        "message",
-        F.unix_micros(F.col("at").cast("timestamp")).alias("at_us"),
-        F.when((route == "autocrawl") & (F.col("message") == "stop"), "done").alias("end_message"),
+        "user_id", "route", "message", F.unix_micros(F.col("at").cast("timestamp")).alias("at_us"), "end_message"
     )
 
 

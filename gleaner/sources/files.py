@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,14 +112,27 @@ def route_items(preview: Column, aggregator: Column, autocrawl: Column, extract:
     )
 
 
-def run_lifecycle(messages: DataFrame, run: str, ts: str, carried: Sequence[str] = ()) -> DataFrame:
-    """A start and a stop row per run; `carried` columns hold one value per run."""
+def run_lifecycle(
+    messages: DataFrame,
+    run: str,
+    ts: str,
+    carried: Sequence[str] = (),
+    route: Column | None = None,
+    end_fields: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """A start and a stop row per run; `carried` columns hold one value per run.
+
+    `route` is computed per run; the end fields are set on the stop row of an autocrawl run only.
+    """
     runs = messages.groupBy(run, *carried).agg(F.min(ts).alias("start"), F.max(ts).alias("stop"))
     moments = F.array(
         F.struct(F.lit("start").alias("message"), F.col("start").alias("at")),
         F.struct(F.lit("stop").alias("message"), F.col("stop").alias("at")),
     )
-    return runs.select(run, *carried, F.inline(moments))
+    routed = runs.withColumn("route", F.lit("mining-job") if route is None else route)
+    rows = routed.select("*", F.inline(moments)).drop("start", "stop")
+    ends = (F.col("route") == "autocrawl") & (F.col("message") == "stop")
+    return rows.withColumns({name: F.when(ends, value) for name, value in (end_fields or {}).items()})
 
 
 def lifecycle_route(preview: Column, aggregator: Column, autocrawl: Column) -> Column:

@@ -12,6 +12,7 @@ from gleaner.operators.code_tables import map_by_table
 from gleaner.operators.joins import carry_backward, carry_forward, lookup_join
 from gleaner.operators.rollups import top_per_group
 from gleaner.sources import files
+from gleaner.sources.schema import ITEM_SCHEMA, as_items
 from gleaner.sources.tables import raw_capture, scan_responses
 
 ROBOTS = """User-agent: *
@@ -80,6 +81,28 @@ def test_robots_files(one):
     assert one(J.robots_expiry(F.lit("0"), fetched)) == datetime(2016, 1, 8)
 
 
+def test_robots_status(spark):
+    decided = spark.createDataFrame([(f"h{s}", True) for s in (200, 403, 404, 500, 0)], "host string, allowed boolean")
+    fetches = spark.createDataFrame([(f"h{s}", s) for s in (200, 403, 404, 500)], "host string, status int")
+    strict = {r.host: r.allowed for r in J.apply_robots_status(decided, fetches).collect()}
+    assert strict == {"h200": True, "h403": False, "h404": True, "h500": None, "h0": True}
+    denied = decided.withColumn("allowed", F.lit(False))
+    relaxed = {r.host: r.allowed for r in J.apply_robots_status(denied, fetches, strict=False).collect()}
+    assert relaxed == {"h200": False, "h403": True, "h404": True, "h500": True, "h0": False}
+
+
+def test_offsite_policy(spark):
+    requests = spark.createDataFrame([("s", "http://a.com/"), ("s", "http://b.com/")], "site_id string, url string")
+    none = spark.createDataFrame([], "site_id string, domain string")
+    kept = P.offsite_filter(requests, none, policy=F.col("host") == "b.com").collect()
+    assert [tuple(r) for r in kept] == [("s", "http://b.com/")]
+
+
+def test_one_robots_text_per_host(spark):
+    fetches = spark.createDataFrame([("h", "old", 1), ("h", "new", 2)], "host string, body string, at int")
+    assert [tuple(r) for r in J.latest_robots(fetches, fetched="at").collect()] == [("h", "new")]
+
+
 def test_robots_size_limit(spark):
     body = "User-agent: *\n" + "Disallow: /é\n" * 20000
     lines = files.scan_robots(robots(spark, body)).count()
@@ -151,6 +174,18 @@ def test_raw_capture(spark):
     assert [(r.mining_job_id, r.url, r.raw_html) for r in rows] == [("7", "u", page)]
 
 
+def test_encodings(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>", b"\xe9", "text/html"), (2, "v", "<meta charset=X>", b"a", "t; charset=Y")], "page_id long, url string, html string, body binary, header string")
+    rows = scan_responses(pages, F.col("header"), F.col("body")).orderBy("page_id").collect()
+    assert [tuple(r)[3:] for r in rows] == [("cp1252", None, None, "cp1252"), ("y", "y", "x", "utf-8")]
+
+
+def test_posting_schema(spark):
+    assert len(ITEM_SCHEMA.fields) == len(set(ITEM_SCHEMA.names)) == 55
+    row = as_items(spark.createDataFrame([(7, ["a"])], "title int, autoextracted_emails array<string>")).first()
+    assert (row.title, row.autoextracted_emails, row.location) == ("7", ["a"], None)
+
+
 def test_defaults(spark):
     items = spark.createDataFrame([(None, None, "", "12"), ("u", "2015/01/01", None, "")], "url string, date string, location string, zip_code string")
     now = F.lit(datetime(2016, 5, 3))

@@ -10,6 +10,7 @@ from gleaner.operators import elements as E
 from gleaner.operators import matching as K
 from gleaner.operators import rules as R
 from gleaner.operators import selectors as S
+from gleaner.operators.callbacks import page_callback, python_processor
 from gleaner.operators.html_tree import PageTree, without_elements
 from gleaner.operators.selectors import Page, Sel
 
@@ -174,6 +175,24 @@ def test_follow_next(spark):
     assert rows == {("a", "a"): 0, ("a", "b"): 1, ("a", "c"): 2, ("x", "x"): 0}
 
 
+def test_two_hops(spark):
+    links = spark.createDataFrame([(1, "u?a=1"), (2, "u?b"), (3, "u"), (4, "x?")], "i int, href string")
+    responses = spark.createDataFrame([("u", 2, "late"), ("u", 1, "early")], "url string, page_id int, html string")
+    rows = R.two_hop_follow(links, responses, "page_id").orderBy("i").collect()
+    assert [(r.i, r.url, r.html) for r in rows] == [(1, "u", "early"), (2, "u", "early")]
+
+
+def test_callbacks(spark, one):
+    from pyspark.sql.types import StructType
+
+    double = python_processor(lambda values: [v for v in values for _ in range(2)])
+    assert one(double(F.array(F.lit("a"), F.lit("b")))) == ["a", "a", "b", "b"]
+    pages = spark.createDataFrame([("u", "x y"), ("v", None)], "url string, html string")
+    schema = StructType().add("url", "string").add("word", "string")
+    rows = page_callback(pages, lambda p: ({"url": p["url"], "word": w} for w in (p["html"] or "").split()), ["url", "html"], schema)
+    assert sorted(tuple(r) for r in rows.collect()) == [("u", "x"), ("u", "y")]
+
+
 def test_load_item(one):
     values = F.array(F.lit(" "), F.lit("\n a  b\t"), F.lit("c "))
     assert one(R.load_value("title", values), R.load_value("description", values)) == ["a b", "a  b c"]
