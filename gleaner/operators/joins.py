@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BUCKET = "_bucket"
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -28,19 +29,26 @@ def lookup_join(
     return facts.join(F.broadcast(lookup) if fits_broadcast(lookup, limit) else lookup, list(on), how)
 
 
+# Sorts a carried row before every row of its bucket.
+_FAR = 1 << 62
+
+
 def _carry(df: DataFrame, key: Sequence[str], ts: str, value: Column, name: str, bucket: str, back: bool, strict: bool) -> DataFrame:
-    df = df.withColumn("_bucket", F.date_trunc(bucket, F.col(ts))).withColumn("_value", value)
-    edge, pick = (F.max, F.greatest) if back else (F.min, F.least)
-    per_bucket = df.groupBy(*key, "_bucket").agg(edge("_value").alias("_edge"))
-    passed = Window.partitionBy(*key).orderBy(F.col("_bucket").asc() if back else F.col("_bucket").desc())
-    passed = passed.rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.select(*key, "_bucket", edge("_edge").over(passed).alias("_carried"))
-    joined = df.join(per_bucket, [*key, "_bucket"], "left")
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    within = Window.partitionBy(*key, "_bucket").orderBy(micros.asc() if back else micros.desc())
+    facts = df.withColumns({BUCKET: F.date_trunc(bucket, F.col(ts)), "_value": value, "_place": micros, "_carried": F.lit(False)})
+    edge = F.max if back else F.min
+    passed = Window.partitionBy(*key).orderBy(F.col(BUCKET).asc() if back else F.col(BUCKET).desc())
+    passed = passed.rowsBetween(Window.unboundedPreceding, -1)
+    carried = facts.groupBy(*key, BUCKET).agg(edge("_value").alias("_edge"))
+    carried = carried.select(
+        *key, BUCKET, edge("_edge").over(passed).alias("_value"), F.lit(-_FAR if back else _FAR).alias("_place"), F.lit(True).alias("_carried")
+    )
+    # One extra row per bucket brings the value in, so the facts are shuffled and sorted once and never joined.
+    both = facts.unionByName(carried.filter(F.col("_value").isNotNull()), allowMissingColumns=True)
+    within = Window.partitionBy(*key, BUCKET).orderBy(F.col("_place").asc() if back else F.col("_place").desc())
     within = within.rangeBetween(Window.unboundedPreceding, -1 if strict else Window.currentRow)
-    found = pick(edge("_value").over(within), F.col("_carried"))
-    return joined.withColumn(name, found).drop("_bucket", "_value", "_carried")
+    found = both.withColumn(name, edge("_value").over(within))
+    return found.filter(~F.col("_carried")).drop("_value", "_place", "_carried")
 
 
 def carry_forward(
@@ -49,7 +57,8 @@ def carry_forward(
     """Greatest `value` at or before each row of the same key; `strict` leaves out rows of the same time.
 
     Rows are grouped by key and time bucket, so a key with a third of all rows is spread over its buckets;
-    only one summary row per bucket crosses them.
+    only one summary row per bucket crosses them. The bucket stays as a column, so a caller can go on grouping
+    without another shuffle.
     """
     return _carry(df, key, ts, value, name, bucket, back=True, strict=strict)
 

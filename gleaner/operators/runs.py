@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.operators.joins import carry_backward, carry_forward, lookup_join
+from gleaner.operators.joins import BUCKET, carry_backward, carry_forward, lookup_join
 from gleaner.operators.validate import max_items_limit
 
 # Fixed value: a run without a message for this long is stale.
@@ -31,7 +31,7 @@ def stale_crawl_filter(messages: DataFrame, run: str, ts: str, is_item: Column,
     joined = lookup_join(seen.filter(~F.col("_item")), first, [run])
     last_seen = F.coalesce("last_seen", "_start")
     rejected = (F.col("_limit") > 0) & (_seconds(F.col(ts), last_seen) > F.col("_limit"))
-    return joined.withColumns({"last_seen": last_seen, "rejected": rejected}).drop("_item", "_limit", "_start")
+    return joined.withColumns({"last_seen": last_seen, "rejected": rejected}).drop("_item", "_limit", "_start", BUCKET)
 
 
 def stale_run_alerts(
@@ -41,7 +41,7 @@ def stale_run_alerts(
     flagged = messages.select(run, ts, is_stop.alias("_stop"))
     nexts = carry_backward(flagged, [run], ts, F.col(ts), "_next", bucket, strict=True)
     # Messages of one time: a stop among them clears the run.
-    moments = nexts.groupBy(run, ts).agg(F.bool_or("_stop").alias("_stop"), F.min("_next").alias("_next"))
+    moments = nexts.groupBy(run, BUCKET, ts).agg(F.bool_or("_stop").alias("_stop"), F.min("_next").alias("_next"))
     alert_after = F.col(ts) + F.expr(max_age)
     silent = F.coalesce(F.col("_next"), now) > alert_after
     return moments.filter(~F.col("_stop") & silent).select(run, F.col(ts).alias("last_seen"), alert_after.alias("alert_after"))
