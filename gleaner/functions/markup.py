@@ -2,7 +2,8 @@
 
 Links, language tags, hidden inputs and images need no tree, so they are read from the html text with
 regular expressions and never reach Python. Text inside comments, scripts and styles holds no tags.
-All quantifiers are possessive: no backtracking and no deep recursion on broken pages.
+All quantifiers are possessive and an open tag may run to the end of the page, so a broken page is read once
+and never searched again from each of its tags.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.text import let, literal_map
 
-_RAW = r"(?is)<(?:!--.*?(?:-->|$)|(script|style)(?=[\s/>])[^>]*+>.*?(?=</\1))"
+_RAW = r"(?is)<(?:!--.*?(?:-->|\z)|(script|style)(?=[\s/>])[^>]*+>.*?(?=</\1|\z))"
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
 _ATTRIBUTE = rf"[^\s/>=][^\s/>=]*+(?:\s*+=\s*+{_VALUE})?+"
 
@@ -27,9 +28,14 @@ def without_raw_text(page: Column) -> Column:
     return F.regexp_replace(page, _RAW, "<$1>")
 
 
+def _tags(page: Column, name: str) -> Column:
+    found = F.regexp_extract_all(page, F.lit(rf"(?is)<{name}(?=[\s/>])(?:[\s/=]++|{_ATTRIBUTE})*+(?:>|\z)"), F.lit(0))
+    return F.filter(found, lambda t: F.endswith(t, F.lit(">")))
+
+
 def open_tags(page: Column, tag: str) -> Column:
     """Every open tag of that name as text, in page order; `page` comes from `without_raw_text`."""
-    return F.regexp_extract_all(page, F.lit(rf"(?is)<{tag}(?=[\s/>])(?:[\s/=]++|{_ATTRIBUTE})*+>"), F.lit(0))
+    return _tags(page, tag)
 
 
 def unescape(text: Column) -> Column:
@@ -75,13 +81,13 @@ def tag_attr(tag: Column, name: str) -> Column:
     return let(_raw_attr(tag, name), _bare)
 
 
-def _raw_attrs(page: Column, tag: str, name: str) -> Column:
-    return F.regexp_extract_all(page, F.lit(rf"(?is)<{tag}(?=[\s/>]){_upto(name)}({_VALUE})"), F.lit(1))
+def _raw_attrs(tags: Column, name: str) -> Column:
+    return F.filter(F.transform(tags, lambda t: _raw_attr(t, name)), lambda v: v != "")
 
 
 def tag_attrs(page: Column, tag: str, name: str) -> Column:
     """That attribute of every open tag of that name, without the tags that lack it."""
-    return F.transform(_raw_attrs(page, tag, name), _bare)
+    return F.transform(_raw_attrs(open_tags(page, tag), name), _bare)
 
 
 def extract_links(page: Column) -> Column:
@@ -113,6 +119,11 @@ def _language(clean: Column) -> Column:
         tags = F.filter(open_tags(clean, "meta"), lambda t: F.contains(_raw_attr(t, attribute), F.lit("anguage")))
         return F.get(F.filter(F.transform(tags, lambda t: _raw_attr(t, "content")), lambda v: v != ""), F.lit(0))
 
-    any_xml_lang = F.regexp_extract(clean, rf"(?is)<[a-z][^\s/>]*+{_upto('xml:lang')}({_VALUE})", 1)
-    locale = F.coalesce(F.get(_raw_attrs(clean, "html", "lang"), F.lit(0)), meta("http-equiv"), meta("http-name"), any_xml_lang)
+    any_tag = F.when(clean.rlike(r"(?i)xml:lang\s*="), _tags(clean, r"[a-z][^\s/>]*+"))
+    locale = F.coalesce(
+        F.get(_raw_attrs(open_tags(clean, "html"), "lang"), F.lit(0)),
+        meta("http-equiv"),
+        meta("http-name"),
+        F.get(_raw_attrs(any_tag, "xml:lang"), F.lit(0)),
+    )
     return F.btrim(F.split_part(let(locale, _bare), F.lit("-"), F.lit(1)), F.lit("\n"))

@@ -50,6 +50,7 @@ class PageTree(HTMLParser):
         self.outside: list[str] = []
         self._text_pos = self._html_pos = self._ascii_pos = 0
         self._open: list[int] = []
+        self._open_tags: dict[str, int] = {}
         self._after_text = False
         self._signed = signatures
         self.feed(page)
@@ -57,6 +58,31 @@ class PageTree(HTMLParser):
         while self._open:
             self._end()
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Line numbers are not needed."""
+        return j
+
+    # The whole page is fed at once, so a construct that does not end runs to the end of the page. Saying so
+    # keeps the parser from trying again at every `<` inside it.
+
+    def parse_starttag(self, i: int) -> int:
+        return self._to_end(super().parse_starttag(i))
+
+    def parse_endtag(self, i: int) -> int:
+        return self._to_end(super().parse_endtag(i))
+
+    def parse_comment(self, i: int, report: int = True) -> int:
+        return self._to_end(super().parse_comment(i, report))
+
+    def parse_html_declaration(self, i: int) -> int:
+        return self._to_end(super().parse_html_declaration(i))
+
+    def parse_pi(self, i: int) -> int:
+        return self._to_end(super().parse_pi(i))
+
+    def _to_end(self, k: int) -> int:
+        return len(self.rawdata) if k < 0 else k
+
     def _emit(self, piece: str) -> None:
         self.html.append(piece)
         self._html_pos += len(piece)
@@ -64,6 +90,7 @@ class PageTree(HTMLParser):
 
     def _end(self) -> None:
         i = self._open.pop()
+        self._open_tags[self.tag[i]] -= 1
         if self.tag[i] not in VOID:
             self._emit(f"</{self.tag[i]}>")
         self.last[i] = len(self.tag) - 1
@@ -73,7 +100,9 @@ class PageTree(HTMLParser):
         self._after_text = False
 
     def _close_implied(self, tag: str) -> None:
-        ended, wall = ENDS.get(tag, ((), frozenset()))
+        ended, wall = ENDS[tag]
+        if not any(self._open_tags.get(name) for name in ended):
+            return
         for at in range(len(self._open) - 1, -1, -1):
             name = self.tag[self._open[at]]
             if name in ended:
@@ -110,11 +139,14 @@ class PageTree(HTMLParser):
         inside = "".join(f' {k}="{escape(v, quote=False).replace(chr(34), "&quot;")}"' for k, v in values.items())
         self._emit(f"<{tag}{inside}>")
         self._open.append(i)
+        self._open_tags[tag] = self._open_tags.get(tag, 0) + 1
         self._after_text = False
         if tag in VOID:
             self._end()
 
     def handle_endtag(self, tag):
+        if not self._open_tags.get(tag):
+            return
         rank = RANK.get(tag, 0)
         for at in range(len(self._open) - 1, -1, -1):
             name = self.tag[self._open[at]]

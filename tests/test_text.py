@@ -1,3 +1,4 @@
+import random
 import re
 from datetime import datetime
 from urllib.parse import urljoin
@@ -158,3 +159,21 @@ def test_flat_scans(one):
     meta = '<meta http-equiv="Content-Language" content="de-AT"><html><p>'
     assert one(M.page_language(F.lit(meta)), M.page_language(F.lit("<p>"))) == ["de", None]
     assert one(M.page_language(F.lit('<html lang="en-US"><p xml:lang="x">'))) == "en"
+
+
+def test_website_pattern_keeps_its_hits(spark):
+    random.seed(3)
+    words = ["xhttp://www.foo.com", "www/foo.com", "xwww/foo.com", "foo.com9.x.org", "www.com", "a..bb.c", "http:/a.bb"]
+    words += ["".join(random.choice(["www", "http://", "a", "bb", ".", "/", "-", "9", "A"]) for _ in range(9)) for _ in range(300)]
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select(
+        "w", F.regexp_extract_all("w", F.lit(G.NAME_START + G.WEBSITE), F.lit(1)).alias("found")
+    )
+    for w, found in rows.collect():
+        assert found == re.findall(G.WEBSITE, w), w
+
+
+def test_broken_pages_are_read_once(one):
+    for page in ("<a " * 30000, "<!--" * 30000, "<script>" * 30000, "<" * 100000, "a." * 30000):
+        one(*[F.hash(fn(F.lit(page))) for fn in (M.extract_links, M.page_language, T.html_format, T.replace_tags_with_space)])
+        one(G.extract_websites(F.lit(page), array([]), ["com"]))
+    assert one(T.html_format(F.lit("<h1>a</h1><td>b<b c"))) == "<strong>a</strong> b<b c"
