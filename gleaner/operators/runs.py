@@ -24,14 +24,11 @@ def stale_crawl_filter(messages: DataFrame, run: str, ts: str, is_item: Column,
 
     The first message of a run counts as seen; a limit of 0 switches the filter off. Items leave the result.
     """
-    first = messages.groupBy(run).agg(F.min(ts).alias("_start"))
-    seen = carry_forward(
-        messages.withColumns({"_item": is_item, "_limit": limit}), [run], ts, F.when(F.col("_item"), F.col(ts)), "last_seen", bucket
-    )
-    joined = lookup_join(seen.filter(~F.col("_item")), first, [run])
-    last_seen = F.coalesce("last_seen", "_start")
-    rejected = (F.col("_limit") > 0) & (_seconds(F.col(ts), last_seen) > F.col("_limit"))
-    return joined.withColumns({"last_seen": last_seen, "rejected": rejected}).drop("_item", "_limit", "_start", BUCKET)
+    marked = messages.withColumns({"_item": is_item, "_limit": limit})
+    item_time = F.when(F.col("_item"), F.col(ts))
+    seen = carry_forward(marked, [run], ts, item_time, "last_seen", bucket, initial=F.col(ts))
+    rejected = (F.col("_limit") > 0) & (_seconds(F.col(ts), F.col("last_seen")) > F.col("_limit"))
+    return seen.filter(~F.col("_item")).withColumn("rejected", rejected).drop("_item", "_limit", BUCKET)
 
 
 def stale_run_alerts(

@@ -17,6 +17,8 @@ SETTINGS = {
     # A page row is far larger than a TPC-H row, so Arrow batches are cut by bytes as well as by rows.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
+    # Checkpoint files go when the table they hold is no longer used.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Recording the caller of every column call makes long expressions slow to build.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Sessions are merged in each map task first, so a hot run shuffles one row per task and session.

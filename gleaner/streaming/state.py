@@ -25,9 +25,11 @@ class BatchState:
 
     def read(self, batch_id: int) -> DataFrame:
         """State before that batch."""
-        files, path = self._hadoop(batch_id - 1)
-        if batch_id == 0 or not files.exists(path):
+        if batch_id == 0:
             return self.spark.createDataFrame([], self.schema)
+        files, path = self._hadoop(batch_id - 1)
+        if not files.exists(path):
+            raise FileNotFoundError(f"state before batch {batch_id} is missing: {path}")
         return self.spark.read.schema(self.schema).parquet(self._path(batch_id - 1))
 
     def write(self, batch_id: int, state: DataFrame) -> None:
