@@ -245,10 +245,12 @@ def two_hop_follow(links: DataFrame, responses: DataFrame, order: str, href: str
 
     Of several responses of one url the first by `order` counts, so copies on both sides never multiply.
     """
-    rest = [c for c in responses.columns if c != "url"]
-    pages = responses.groupBy("url").agg(F.min_by(F.struct(*rest), order).alias("_page")).select("url", "_page.*")
     target = F.regexp_extract(href, r"(?s)^(.*)\?", 1)
     hops = links.filter(F.contains(F.col(href), F.lit("?"))).withColumn("url", target)
+    # Pages nobody links to leave before any page is sorted or shuffled.
+    wanted = lookup_join(responses, cut_lineage(hops.select("url").distinct()), ["url"], "left_semi")
+    rest = [c for c in responses.columns if c != "url"]
+    pages = wanted.groupBy("url").agg(F.min_by(F.struct(*rest), order).alias("_page")).select("url", "_page.*")
     return hops.join(pages, "url")
 
 
