@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, packing, pii, toxicity
+from gleaner.llm import bpe, lsh_forest, packing, pii, secrets, toxicity
 from gleaner.llm import order_minhash as omh
 from gleaner.llm.common import documents
 
@@ -45,6 +45,16 @@ def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(documents(spark, folder)).drop("base")
 
 
+@query
+def op6_secret_battery(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.find_secrets(documents(spark, folder)).withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+
+
+@query
+def op7_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return lsh_forest.near_duplicates(documents(spark, folder), words=2)
+
+
 @query
 def op10_bpe_pair_index(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.bpe_digests(documents(spark, folder), VOCABULARY)
