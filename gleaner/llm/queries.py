@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, lsh_forest, packing, pii, secrets, toxicity
+from gleaner.llm import bpe, column_bwt, lsh_forest, packing, pii, secrets, toxicity
 from gleaner.llm import order_minhash as omh
 from gleaner.llm.common import documents
 
@@ -35,6 +35,11 @@ def op2_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.harmonic_pack(documents(spark, folder), VOCABULARY)
 
 
+@query
+def op3_column_bwt(spark: SparkSession, folder: str) -> DataFrame:
+    return column_bwt.remove_repeats(documents(spark, folder), keep_bytes=False).drop("kept")
+
+
 @query
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, folder), _table(spark, folder, "labels"))
