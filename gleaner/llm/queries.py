@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, column_bwt, lsh_forest, packing, pii, secrets, toxicity
+from gleaner.llm import bpe, column_bwt, lsh_forest, packing, pii, secrets, template, toxicity
 from gleaner.llm import order_minhash as omh
 from gleaner.llm.common import documents
+from gleaner.session import spread
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -60,6 +61,12 @@ def op7_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
     return lsh_forest.near_duplicates(documents(spark, folder), words=2)
 
 
+@query
+def op8_template_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spread(spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html"))
+    return template.main_text(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op10_bpe_pair_index(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.bpe_digests(documents(spark, folder), VOCABULARY)
