@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, column_bwt, lsh_forest, packing, pii, secrets, template, toxicity
+from gleaner.llm import bpe, column_bwt, hnsw, lsh_forest, packing, pii, secrets, template, toxicity
 from gleaner.llm import order_minhash as omh
 from gleaner.llm.common import documents
 from gleaner.session import spread
@@ -67,6 +67,11 @@ def op8_template_text(spark: SparkSession, folder: str) -> DataFrame:
     return template.main_text(pages).withColumn("n_chars", F.length("text").cast("long"))
 
 
+@query
+def op9_hnsw(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw.similar_vectors(spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding", "label"))
+
+
 @query
 def op10_bpe_pair_index(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.bpe_digests(documents(spark, folder), VOCABULARY)
