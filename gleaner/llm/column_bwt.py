@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import arrow_schema, partitions, table_of, texts
+from gleaner.llm.common import arrow_schema, partitions, small_batches, table_of
 from gleaner.llm.order_minhash import _mixed
 from gleaner.session import cut_lineage
 
@@ -139,10 +139,11 @@ class Part:
 
     def __init__(self, docs: pa.Table, buckets: int):
         unpack = zstandard.ZstdDecompressor().decompress
-        rows = sorted(zip(docs["place"].to_pylist(), [unpack(t) for t in docs["text"].to_pylist()], docs["doc_id"].to_pylist()), key=lambda r: r[:2])
+        columns = [docs[c].to_pylist() for c in ("place", "text", "doc_id", "rest")]
+        rows = sorted(zip(columns[0], map(unpack, columns[1]), *columns[2:]), key=lambda r: r[:2])
         self.buckets = np.uint64(buckets)
-        self.rows = [(place, text, doc_id, *anchors(np.frombuffer(text, dtype=np.uint8))) for place, text, doc_id in rows]
-        keys = [self._keys(np.unique(r[4])) for r in self.rows]
+        self.rows = [(*row, *anchors(np.frombuffer(row[1], dtype=np.uint8))) for row in rows]
+        keys = [self._keys(np.unique(r[5])) for r in self.rows]
         # A document counts once for an anchor; rows of one id are one document.
         ids = [np.full(len(k), r[0]) for k, r in zip(keys, self.rows)]
         pairs = np.unique(np.rec.fromarrays([np.concatenate(keys), np.concatenate(ids)])) if keys else np.rec.fromarrays([[], []])
@@ -171,7 +172,7 @@ class Part:
         self.strings: dict[tuple[int, bytes], int] = {}
         self.least: list[int] = []
         self.used: list[list[tuple[int, int, int]]] = []
-        for place, text, _, places, hashes in self.rows:
+        for place, text, _, _, places, hashes in self.rows:
             used = []
             found = marks[np.searchsorted(self.keys, self._keys(hashes))] if len(hashes) else marks[:0]
             for i in np.flatnonzero(found).tolist():
@@ -316,19 +317,19 @@ def _by_bucket(notes: DataFrame, work) -> DataFrame:
 
 
 def _in_parts(docs: DataFrame, n: int) -> DataFrame:
-    """(part, place, doc_id, text): texts as compressed bytes, written once by part; later steps meet them without a shuffle."""
+    """(part, place, doc_id, rest, text): texts as compressed bytes, written once by part; later steps meet them without a shuffle."""
     spark = docs.sparkSession
-    schema = "part int, place long, doc_id long, text binary"
+    schema = "part int, place long, doc_id long, rest string, text binary"
     arrow = arrow_schema(spark, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(3).compress
         for batch in batches:
             packed = pa.array([pack(t.encode("utf-8", "surrogatepass")) for t in batch["text"].to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch["part"], batch["place"], batch["doc_id"], packed], schema=arrow)
+            yield pa.RecordBatch.from_arrays([batch["part"], batch["place"], batch["doc_id"], batch["rest"], packed], schema=arrow)
 
     part = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(n)).cast("int")
-    rows = docs.select(part.alias("part"), F.coalesce("doc_id", F.lit(NO_ID)).alias("place"), "doc_id", "text").mapInArrow(run, schema)
+    rows = docs.select(part.alias("part"), F.coalesce("doc_id", F.lit(NO_ID)).alias("place"), "doc_id", "rest", "text").mapInArrow(run, schema)
     # A checkpoint keeps how its rows are partitioned only for a plan that is not adaptive.
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -338,11 +339,13 @@ def _in_parts(docs: DataFrame, n: int) -> DataFrame:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+RESULT = "doc_id long, rest string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
 
-def remove_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (null unless `keep_bytes`) of every row.
+def remove_repeats(docs: DataFrame, keep_text: bool = True, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (null unless `keep_text`) and rest of every row.
+
+    `rest` holds the columns named in `carry` as JSON, which spares the result a join.
 
     Each byte goes that a string of 50 bytes covers which also starts in a document with a smaller doc_id. A null or empty
     text has no bytes. Rows without an id come after all others and are no source for each other; rows of one id are one
@@ -350,11 +353,14 @@ def remove_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
 
     Texts are shuffled once, compressed, and written by part to the shared checkpoint folder. What moves after that: five
     bytes per anchor and part and a byte of marks back, then the distinct strings around shared anchors and a mask back.
-    There are as many parts and buckets as shuffle partitions.
+    There are as many parts and buckets as shuffle partitions. The digest is that of the bytes left; in `kept` a letter of which
+    bytes went goes whole.
     """
     spark = docs.sparkSession
     n = partitions(spark)
-    docs = _in_parts(texts(docs), n)
+    small_batches(spark)
+    rest = F.to_json(F.struct(*carry)) if carry else F.lit(None).cast("string")
+    docs = _in_parts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), rest.alias("rest")), n)
     notes, result = arrow_schema(spark, NOTE), arrow_schema(spark, RESULT)
 
     def first(table: pa.Table) -> pa.Table:
@@ -378,7 +384,7 @@ def remove_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
         answers = {b: d for kind, b, d in rows if kind == 1}
         for bucket, strings in part.by_bucket().items():
             masks[[number for _, _, number in strings]] = np.frombuffer(answers[bucket], dtype=np.uint64)
-        out = [_kept(row, used, part.least, masks, keep_bytes) for row, used in zip(part.rows, part.used)]
+        out = [_kept(row, used, part.least, masks, keep_text) for row, used in zip(part.rows, part.used)]
         return table_of(result, dict(zip(result.names, zip(*out))))
 
     grouped = docs.groupBy("part")
@@ -387,9 +393,9 @@ def remove_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     return grouped.cogroup(marks.unionByName(masks).groupBy("part")).applyInArrow(third, RESULT)
 
 
-def _kept(row: tuple, used: list[tuple[int, int, int]], least: list[int], masks: np.ndarray, keep_bytes: bool) -> tuple:
+def _kept(row: tuple, used: list[tuple[int, int, int]], least: list[int], masks: np.ndarray, keep_text: bool) -> tuple:
     """Result row of a document from the masks of its strings; a string that an earlier document of the part holds is covered."""
-    place, text, doc_id = row[:3]
+    place, text, doc_id, rest = row[:4]
     n = len(text)
     kept, removed, spans = text, 0, 0
     if used:
@@ -405,4 +411,4 @@ def _kept(row: tuple, used: list[tuple[int, int, int]], least: list[int], masks:
         if removed:
             spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
             kept = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
-    return doc_id, n, removed, spans, hashlib.sha256(kept).hexdigest(), kept if keep_bytes else None
+    return doc_id, rest, n, removed, spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if keep_text else None

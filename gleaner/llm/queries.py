@@ -38,7 +38,7 @@ def op2_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_column_bwt(spark: SparkSession, folder: str) -> DataFrame:
-    return column_bwt.remove_repeats(documents(spark, folder), keep_bytes=False).drop("kept")
+    return column_bwt.remove_repeats(documents(spark, folder), keep_text=False).drop("kept", "rest")
 
 
 @query

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -104,9 +103,6 @@ def learn_lexicon(docs: DataFrame, chosen: DataFrame) -> dict[str, float]:
     return {r["piece"]: float(r["odds"]) for r in best.collect()}
 
 
-FEATURES = 13
-
-
 class Measure:
     """Dense features of a text; what it knows of a token is kept for the next text."""
 
@@ -174,59 +170,68 @@ class Measure:
         ]
 
 
-def dense_features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
-    """(doc_id, digest, features) of every row; the digest tells equal ids with different texts apart."""
+def dense_features(rows: DataFrame, lexicon: dict[str, float]) -> DataFrame:
+    """`rows` with the column features; a null text is measured as empty."""
+    schema = ", ".join([f"`{name}` {kind}" for name, kind in rows.dtypes] + ["features array<double>"])
     measure = Measure(lexicon)
 
-    def rows(batch: pa.RecordBatch) -> dict[str, list]:
-        found = batch["text"].to_pylist()
-        return {"doc_id": batch["doc_id"], "digest": [zlib.crc32(t.encode()) for t in found], "features": [measure(t) for t in found]}
-
-    return map_batches(docs, rows, "doc_id long, digest long, features array<double>")
+    def add(batch: pa.RecordBatch) -> dict[str, list]:
+        found = dict(zip(batch.schema.names, batch.columns))
+        return found | {"features": [measure(t or "") for t in batch["text"].to_pylist()]}
+
+    return map_batches(rows, add, schema)
+
+
+class Model:
+    """A lexicon, trees over its features and a calibration, learned from labelled rows."""
+
+    def __init__(self, docs: DataFrame, labels: DataFrame, limit: int = LABELLED):
+        """Texts are scanned twice for at most `limit` labelled rows, found by a broadcast of their ids."""
+        chosen = cut_lineage(labelled(labels, limit))
+        self.lexicon = learn_lexicon(docs, chosen)
+        rows = dense_features(docs.join(F.broadcast(chosen.filter("part >= 5")), "doc_id").select("text", "part", "toxic"), self.lexicon)
+        known = cut_lineage(rows.select("part", F.col("toxic").cast("double").alias("label"), array_to_vector("features").alias("features")))
+        n = {(r["trees"], r["label"]): r["n"] for r in known.groupBy((F.col("part") < 8).alias("trees"), "label").agg(F.count("*").alias("n")).collect()}
+        self.trees = self.fair = None
+        # Without both kinds of labels every score is the share of toxic ones.
+        self.share = float(chosen.agg(F.coalesce(F.avg(F.col("toxic").cast("double")), F.lit(0.0))).first()[0])
+        if n.get((True, 1.0)) and n.get((True, 0.0)):
+            trees = GBTClassifier(maxIter=10, maxDepth=3, stepSize=0.3, seed=7, maxBins=64, featuresCol="features", labelCol="label")
+            # Training sees a bounded table; one partition spares its many small steps a shuffle.
+            self.trees = trees.fit(known.filter("part < 8").coalesce(1))
+            if n.get((False, 1.0)) and n.get((False, 0.0)):
+                fair = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score")
+                self.fair = fair.fit(self._raw(known.filter("part >= 8")).drop("features").coalesce(1))
+
+    def _raw(self, rows: DataFrame) -> DataFrame:
+        return self.trees.transform(rows).withColumn("raw", vector_to_array("probability")[1]).drop("probability", "rawPrediction", "prediction")
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        """`rows` with the column score: one pass over the texts, no shuffle."""
+        if self.trees is None:
+            return rows.withColumn("score", F.lit(self.share))
+        kept = rows.select(F.struct("*").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+        found = self._raw(dense_features(kept, self.lexicon).select("row", array_to_vector("features").alias("features")))
+        found = self.fair.transform(found) if self.fair else found.withColumn("score", F.col("raw"))
+        return found.select("row.*", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score"))).alias("score"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted of every row, trained on the labelled rows that are not held out.
 
-    Texts are read twice: by the lexicon, for at most `limit` rows found by a broadcast of their ids, and for the features,
-    thirteen numbers a row, which are written to the shared checkpoint folder. A null or empty text has features of zeros and
-    a score like any other. Without labels of both kinds every score is the share of toxic labels, or 0. A null id is not
-    held out; repeated rows are scored alike.
+    A null or empty text has features of zeros and a score like any other. A null id is not held out; repeated rows are
+    scored alike; an empty table gives no rows.
     """
     docs = texts(docs)
-    chosen = cut_lineage(labelled(labels, limit))
-    lexicon = learn_lexicon(docs, chosen)
-    measured = cut_lineage(dense_features(docs, lexicon))
-    rows = measured.join(F.broadcast(chosen.filter("part >= 5")), "doc_id")
-    known = cut_lineage(rows.select("part", F.col("toxic").cast("double").alias("label"), array_to_vector("features").alias("features")))
-    score = _scores(known, chosen)
-    return score(measured).select(
+    return Model(docs, labels, limit).score(docs).select(
         "doc_id",
         F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
-        F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score"))).alias("score"),
+        "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
 
 
-def _scores(known: DataFrame, chosen: DataFrame):
-    """A function that adds the column score to rows with features."""
-    split = {(r["trees"], r["label"]): r["n"] for r in known.groupBy((F.col("part") < 8).alias("trees"), "label").agg(F.count("*").alias("n")).collect()}
-    if not split.get((True, 1.0)) or not split.get((True, 0.0)):
-        share = chosen.agg(F.coalesce(F.avg(F.col("toxic").cast("double")), F.lit(0.0))).first()[0]
-        return lambda rows: rows.withColumn("score", F.lit(float(share)))
-    trees = GBTClassifier(maxIter=10, maxDepth=3, stepSize=0.3, seed=7, maxBins=64, featuresCol="features", labelCol="label")
-    trees = trees.fit(known.filter("part < 8").coalesce(1))
-
-    def raw(rows: DataFrame) -> DataFrame:
-        found = trees.transform(rows)
-        return found.withColumn("raw", vector_to_array("probability")[1]).drop("probability", "rawPrediction", "prediction")
-
-    fair = None
-    if split.get((False, 1.0)) and split.get((False, 0.0)):
-        fair = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(raw(known.filter("part >= 8")).drop("features").coalesce(1))
-
-    def score(rows: DataFrame) -> DataFrame:
-        found = raw(rows.withColumn("features", array_to_vector("features")))
-        return fair.transform(found) if fair else found.withColumn("score", F.col("raw"))
-
-    return score
+def without_toxic(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataFrame:
+    """The rows of `docs` that score below 0.5, with their columns."""
+    scored = Model(texts(docs), labels, limit).score(docs.select(F.struct("*").alias("_row"), "text"))
+    return scored.filter("score < 0.5").select("_row.*")
