@@ -30,7 +30,9 @@ from gleaner.session import cut_lineage
 
 SPAN = 50
 #: Bytes of an anchor.
-ANCHOR = 16
+ANCHOR = 32
+#: Bytes of a row that holds the stretch around an anchor, a whole number of 64-bit words.
+WIDTH = -(-(2 * SPAN - ANCHOR) // 8) * 8
 #: Bytes of the transform held in memory before its file goes to disk.
 SPOOL = 64 << 20
 NO_ID = np.iinfo(np.int64).max
@@ -69,61 +71,61 @@ def anchors(text: np.ndarray, span: int = SPAN, anchor: int = ANCHOR) -> tuple[n
     return places, _mixed(low[places].astype(np.uint64) << np.uint64(32) | high[places])
 
 
-def suffix_order(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def suffix_order(strings: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(string, start) of every suffix of the collection in sorted order, equal ones in the order of their strings.
 
-    A round holds the transform of all suffixes of up to its length: for each suffix in sorted order the symbol before it, its
-    string and its length. The symbols, put in order without changing the order of equal ones, give the places of the suffixes
-    that they begin; the empty suffixes stand before all.
+    `strings` has a row of bytes per string, of which the first `size` count. A round holds the transform of all suffixes of
+    up to its length: for each suffix in sorted order the symbol before it, its string and its length. The symbols, put in
+    order without changing the order of equal ones, give the places of the suffixes that they begin; the empty suffixes stand
+    before all.
     """
     m = len(strings)
-    size = np.array([len(s) for s in strings], dtype=np.int32)
-    # Column j holds the symbol before the last j symbols of each string; 0 stands before a whole string.
-    columns = np.zeros((int(size.max(initial=0)) + 1, m), dtype=np.uint16)
-    for i, s in enumerate(strings):
-        columns[: len(s), i] = np.frombuffer(s, dtype=np.uint8)[::-1]
-        columns[: len(s), i] += 1
-    strings_in_order = np.arange(m, dtype=np.int32)
+    most = int(size.max(initial=0))
+    # Row j holds the symbol before the last j symbols of each string; 0 stands before a whole string. UTF-8 leaves room for it.
+    symbols = np.zeros((most + 1, m), dtype=np.uint8)
+    for j in range(most):
+        long = np.flatnonzero(size > j)
+        symbols[j, long] = strings[long, size[long] - 1 - j] + np.uint8(1)
+    symbols = symbols.ravel()
+    # A suffix is its length times m, plus its string.
+    empty = np.arange(m, dtype=np.int32)
     with tempfile.SpooledTemporaryFile(max_size=SPOOL) as old, tempfile.SpooledTemporaryFile(max_size=SPOOL) as new:
-        _write(old, columns[0], strings_in_order, np.zeros(m, dtype=np.int32))
-        for _ in range(len(columns) - 1):
-            symbol, owner, length = _read(old)
-            order = np.argsort(symbol, kind="stable")
-            order = order[np.count_nonzero(symbol == 0) :]
-            owner = np.concatenate([strings_in_order, owner[order]])
-            length = np.concatenate([np.zeros(m, dtype=np.int32), length[order] + np.int32(1)])
-            _write(new, columns[length, owner], owner, length)
+        _write(old, symbols[empty], empty)
+        for _ in range(most):
+            symbol, suffix = _read(old)
+            order = np.argsort(symbol, kind="stable")[np.count_nonzero(symbol == 0) :]
+            suffix = np.concatenate([empty, suffix[order] + np.int32(m)])
+            _write(new, symbols[suffix], suffix)
             old, new = new, old
-        _, owner, length = _read(old)
+        _, suffix = _read(old)
+    length, owner = np.divmod(suffix, np.int32(max(m, 1)))
     return owner, size[owner] - length
 
 
-def _write(file, symbol: np.ndarray, owner: np.ndarray, length: np.ndarray) -> None:
+def _write(file, symbol: np.ndarray, suffix: np.ndarray) -> None:
     file.seek(0)
     file.truncate()
-    for part in (np.array([len(symbol)], dtype=np.int64), symbol, owner, length):
-        file.write(part.tobytes())
+    for part in (np.array([len(symbol)], dtype=np.int64), symbol, suffix):
+        file.write(part.data)
 
 
-def _read(file) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _read(file) -> tuple[np.ndarray, np.ndarray]:
     file.seek(0)
     n = int(np.frombuffer(file.read(8), dtype=np.int64)[0])
-    return tuple(np.frombuffer(file.read(n * np.dtype(t).itemsize), dtype=t) for t in (np.uint16, np.int32, np.int32))
+    return np.frombuffer(file.read(n), dtype=np.uint8), np.frombuffer(file.read(4 * n), dtype=np.int32)
 
 
-def first_holders(strings: list[bytes], docs: np.ndarray, span: int = SPAN) -> np.ndarray:
+def first_holders(strings: np.ndarray, size: np.ndarray, docs: np.ndarray, span: int = SPAN) -> np.ndarray:
     """Least document that holds each window of `span` bytes: a row per string, a column per start; NO_ID beyond the end."""
-    size = np.array([len(s) for s in strings], dtype=np.int64)
-    out = np.full((len(strings), max(1, int(size.max(initial=span)) - span + 1)), NO_ID)
-    owner, start = suffix_order(strings)
+    out = np.full((len(strings), max(1, strings.shape[1] - span + 1)), NO_ID)
+    owner, start = suffix_order(strings, size)
     whole = size[owner] - start >= span
     owner, start = owner[whole], start[whole]
     if len(owner) == 0:
         return out
     # Neighbours have a common prefix of a whole window if eight bytes are equal at enough places.
-    data = np.frombuffer(b"".join(strings) + bytes(8), dtype=np.uint8)
-    words = np.lib.stride_tricks.as_strided(data.view(), shape=(len(data) - 7, 8), strides=(1, 1))
-    at = np.concatenate([[0], np.cumsum(size)[:-1]])[owner] + start
+    words = np.lib.stride_tricks.sliding_window_view(strings.ravel(), 8)
+    at = owner.astype(np.int64) * strings.shape[1] + start
     equal = np.ones(len(at) - 1, dtype=bool)
     for j in [*range(0, span - 8, 8), span - 8]:
         word = np.ascontiguousarray(words[at + j]).view(np.uint64)[:, 0]
@@ -134,20 +136,54 @@ def first_holders(strings: list[bytes], docs: np.ndarray, span: int = SPAN) -> n
     return out
 
 
+def _row_hashes(strings: np.ndarray, size: np.ndarray, salt: int) -> np.ndarray:
+    """64-bit hashes of rows of bytes."""
+    found = _mixed(size.astype(np.uint64) + np.uint64(salt << 32))
+    words = strings.view(np.uint64)
+    for j in range(words.shape[1]):
+        found = _mixed(found * np.uint64(0x9E3779B97F4A7C15) + words[:, j])
+    return found
+
+
+def distinct(keys: np.ndarray, strings: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A first row of each distinct (key, string), and the number of its distinct one for each row.
+
+    Rows are told apart by a hash that is checked on the bytes; if two met in it, another hash is taken.
+    """
+    salt = 0
+    while True:
+        marks = _mixed(_row_hashes(strings, size, salt) ^ (keys * np.uint64(0x94D049BB133111EB)))
+        _, first, back = np.unique(marks, return_index=True, return_inverse=True)
+        if all((strings[i : i + 65536] == strings[first[back[i : i + 65536]]]).all() for i in range(0, len(back), 65536)) and (
+            (keys == keys[first[back]]) & (size == size[first[back]])
+        ).all():
+            return first, back
+        salt += 1
+
+
 class Part:
-    """The documents of a part, with their anchors; the same rows give the same numbers whenever it is built."""
+    """The documents of a part, one after another, with their anchors; the same rows give the same numbers whenever it is built."""
 
     def __init__(self, docs: pa.Table, buckets: int):
         unpack = zstandard.ZstdDecompressor().decompress
         columns = [docs[c].to_pylist() for c in ("place", "text", "doc_id", "rest")]
-        rows = sorted(zip(columns[0], map(unpack, columns[1]), *columns[2:]), key=lambda r: r[:2])
+        self.rows = sorted(zip(columns[0], map(unpack, columns[1]), *columns[2:]), key=lambda r: r[:2])
         self.buckets = np.uint64(buckets)
-        self.rows = [(*row, *anchors(np.frombuffer(row[1], dtype=np.uint8))) for row in rows]
-        keys = [self._keys(np.unique(r[5])) for r in self.rows]
-        # A document counts once for an anchor; rows of one id are one document.
-        ids = [np.full(len(k), r[0]) for k, r in zip(keys, self.rows)]
-        pairs = np.unique(np.rec.fromarrays([np.concatenate(keys), np.concatenate(ids)])) if keys else np.rec.fromarrays([[], []])
-        self.keys, self.count = np.unique(pairs.f0, return_counts=True)
+        self.ends = np.cumsum([len(r[1]) for r in self.rows])
+        self.begins = self.ends - [len(r[1]) for r in self.rows]
+        self.data = np.frombuffer(b"".join([r[1] for r in self.rows]) + bytes(WIDTH), dtype=np.uint8)
+        found = [anchors(self.data[a:b]) for a, b in zip(self.begins.tolist(), self.ends.tolist())]
+        self.row = np.repeat(np.arange(len(found)), [len(at) for at, _ in found])
+        self.at = np.concatenate([at for at, _ in found]) + self.begins[self.row]
+        hashes = [h for _, h in found]
+        self.hashes = np.concatenate(hashes)
+        # A document counts once for an anchor; rows of one id stand together and are one document.
+        keys: list[np.ndarray] = []
+        for i, own in enumerate(hashes):
+            own = np.unique(self._keys(own))
+            again = i > 0 and self.rows[i - 1][0] == self.rows[i][0]
+            keys.append(np.unique(np.concatenate([keys.pop(), own])) if again else own)
+        self.keys, self.count = np.unique(np.concatenate(keys), return_counts=True)
 
     def _keys(self, hashes: np.ndarray) -> np.ndarray:
         """Bucket and 40 more bits of an anchor's hash, enough to filter by."""
@@ -163,42 +199,52 @@ class Part:
         """Strings around the anchors that `shared` marks, distinct ones once, each with its least document in this part.
 
         A mark is 1 for an anchor in several documents and 2 for one in very many. Around these every window is a string of
-        its own, with its own key, so the windows at the edges of a common passage spread over the buckets.
+        its own, with its own key, so the windows at the edges of a common passage spread over the buckets. `low`, `windows`
+        and `number` say of each use of a string where it stands, how many windows it has and which string it is.
         """
         marks = np.zeros(len(self.keys), dtype=np.uint8)
         for bucket, a, b in _runs(self.keys >> np.uint64(40)):
             if bucket in shared:
                 marks[a:b] = np.frombuffer(shared[bucket], dtype=np.uint8)
-        self.strings: dict[tuple[int, bytes], int] = {}
-        self.least: list[int] = []
-        self.used: list[list[tuple[int, int, int]]] = []
-        for place, text, _, _, places, hashes in self.rows:
-            used = []
-            found = marks[np.searchsorted(self.keys, self._keys(hashes))] if len(hashes) else marks[:0]
-            for i in np.flatnonzero(found).tolist():
-                at = int(places[i])
-                low, high = max(0, at + ANCHOR - SPAN), min(len(text), at + SPAN)
-                if found[i] == 1:
-                    used.append((low, high - low - SPAN + 1, self._entry(int(hashes[i]), text[low:high], place)))
-                else:
-                    for start in range(low, high - SPAN + 1):
-                        window = text[start : start + SPAN]
-                        key = int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little")
-                        used.append((start, 1, self._entry(key, window, place)))
-            self.used.append(used)
-
-    def _entry(self, key: int, string: bytes, place: int) -> int:
-        number = self.strings.setdefault((key, string), len(self.least))
-        if number == len(self.least):
-            self.least.append(place)
-        return number
-
-    def by_bucket(self) -> dict[int, list[tuple[int, bytes, int]]]:
-        """Bucket -> (key, string, number) of its strings, in the order of their numbers."""
-        out: dict[int, list] = {}
-        for (key, string), number in self.strings.items():
-            out.setdefault(key % int(self.buckets), []).append((key, string, number))
-        return out
+        found = marks[np.searchsorted(self.keys, self._keys(self.hashes))] if len(self.keys) else marks
+        low = np.maximum(self.begins[self.row], self.at + ANCHOR - SPAN)
+        high = np.minimum(self.ends[self.row], self.at + SPAN)
+        one, many = np.flatnonzero(found == 1), np.flatnonzero(found == 2)
+        count = (high - low - SPAN + 1)[many]
+        step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        self.low = np.concatenate([low[one], np.repeat(low[many], count) + step])
+        size = np.concatenate([(high - low)[one], np.full(len(step), SPAN)])
+        self.windows = size - SPAN + 1
+        self.place = np.array([r[0] for r in self.rows], dtype=np.int64)[np.concatenate([self.row[one], np.repeat(self.row[many], count)])]
+        strings = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(self.data, WIDTH)[self.low])
+        strings[np.arange(WIDTH) >= size[:, None]] = 0
+        keys = np.concatenate([self.hashes[one], _row_hashes(strings[len(one) :], size[len(one) :], 1)])
+        first, self.number = distinct(keys, strings, size)
+        self.least = np.full(len(first), NO_ID)
+        np.minimum.at(self.least, self.number, self.place)
+        self.entry_keys, self.strings, self.size = keys[first], strings[first], size[first]
+
+    def by_bucket(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(bucket, numbers of its strings)."""
+        bucket = self.entry_keys % self.buckets
+        order = np.argsort(bucket, kind="stable")
+        for name, a, b in _runs(bucket[order]):
+            yield name, order[a:b]
+
+    def packed(self, numbers: np.ndarray) -> bytes:
+        """Key, least document, size and bytes of strings, compressed."""
+        parts = self.entry_keys[numbers], self.least[numbers], self.size[numbers], self.strings[numbers]
+        return zstandard.ZstdCompressor(1).compress(b"".join([np.array([len(numbers)]).tobytes(), *[p.tobytes() for p in parts]]))
+
+    def gone(self, masks: np.ndarray) -> np.ndarray:
+        """Which bytes of the part a window covers that an earlier document holds, from the mask of each string."""
+        mask = np.where(self.least[self.number] < self.place, np.uint64(0xFFFFFFFFFFFFFFFF), masks[self.number])
+        starts = np.zeros(len(self.data) + SPAN, dtype=np.int8)
+        for j in range(int(self.windows.max(initial=0))):
+            here = (mask >> np.uint64(j) & np.uint64(1)).astype(bool) & (self.windows > j)
+            starts[self.low[here] + j] = 1
+        starts[SPAN:] -= starts[:-SPAN].copy()
+        return np.cumsum(starts, dtype=np.int32)[: len(self.data)] > 0
 
 
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -244,62 +290,48 @@ def _shared_marks(table: pa.Table) -> list[tuple]:
     return [(b, p, 0, m.tobytes(), None) for b, p, m in zip(table["bucket"].to_pylist(), parts, np.split(marks, ends[:-1]))]
 
 
-def _packed(strings: list[tuple[int, bytes, int]], least: list[int]) -> bytes:
-    """Strings of a bucket with key and least document, compressed."""
-    parts = (
-        np.array([len(strings)], dtype=np.int64),
-        np.array([k for k, _, _ in strings], dtype=np.uint64),
-        np.array([least[n] for _, _, n in strings], dtype=np.int64),
-        np.array([len(s) for _, s, _ in strings], dtype=np.int64),
-    )
-    return zstandard.ZstdCompressor(1).compress(b"".join(p.tobytes() for p in parts) + b"".join(s for _, s, _ in strings))
-
-
-def _unpacked(data: bytes) -> tuple[list[int], list[int], list[bytes]]:
+def _unpacked(data: bytes) -> tuple[np.ndarray, ...]:
     raw = zstandard.ZstdDecompressor().decompress(data)
     n = int(np.frombuffer(raw, dtype=np.int64, count=1)[0])
-    keys = np.frombuffer(raw, dtype=np.uint64, count=n, offset=8).tolist()
-    least, size = (np.frombuffer(raw, dtype=np.int64, count=n, offset=8 + 8 * n * j) for j in (1, 2))
-    ends = (8 + 24 * n + np.cumsum(size)).tolist()
-    return keys, least.tolist(), [raw[e - s : e] for s, e in zip(size.tolist(), ends)]
+    keys, least, size = (np.frombuffer(raw, dtype=t, count=n, offset=8 + 8 * n * j) for j, t in enumerate((np.uint64, np.int64, np.int64)))
+    return keys, least, size, np.frombuffer(raw, dtype=np.uint8, offset=8 + 24 * n).reshape(n, WIDTH)
 
 
 def _covered(table: pa.Table) -> list[tuple]:
     """For each part of a bucket a mask per string: the windows that a document before the string's least one holds."""
     sent = [_unpacked(d) for d in table["data"].to_pylist()]
-    groups: dict[int, dict[bytes, int]] = {}
-    for keys, least, strings in sent:
-        for key, doc, string in zip(keys, least, strings):
-            group = groups.setdefault(key, {})
-            group[string] = min(doc, group.get(string, NO_ID))
+    keys, least, size, strings = (np.concatenate(x) for x in zip(*sent))
+    first, number = distinct(keys, strings, size)
+    holder = np.full(len(first), NO_ID)
+    np.minimum.at(holder, number, least)
     # An anchor with one string has the same document for all its windows; only others need an order.
-    holders: dict[tuple[int, bytes], np.ndarray] = {}
-    batch: list[tuple[int, bytes, int]] = []
+    masks = np.where(holder[number] < least, np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(0))
+    order = np.argsort(keys[first], kind="stable")
+    bits = np.uint64(1) << np.arange(WIDTH - SPAN + 1, dtype=np.uint64)
+    place = np.full(len(first), -1)
+    batch: list[np.ndarray] = []
+    held = 0
 
     def flush() -> None:
         if batch:
-            found = first_holders([s for _, s, _ in batch], np.array([d for _, _, d in batch], dtype=np.int64))
-            holders.update(((key, string), row) for (key, string, _), row in zip(batch, found))
+            own = np.concatenate(batch)
+            found = first_holders(strings[first[own]], size[first[own]], holder[own])
+            place[own] = np.arange(len(own))
+            uses = np.flatnonzero(place[number] >= 0)
+            masks[uses] = ((found[place[number[uses]]] < least[uses, None]) * bits[: found.shape[1]]).sum(axis=1, dtype=np.uint64)
+            place[own] = -1
             batch.clear()
 
-    for key, group in groups.items():
-        if len(group) > 1:
-            if len(batch) + len(group) > TOGETHER:
+    for _, a, b in _runs(keys[first][order]):
+        if b - a > 1:
+            if held + b - a > TOGETHER:
                 flush()
-            batch.extend((key, s, d) for s, d in group.items())
+                held = 0
+            batch.append(order[a:b])
+            held += b - a
     flush()
-    bits = np.uint64(1) << np.arange(SPAN - ANCHOR + 1, dtype=np.uint64)
-    out = []
-    for bucket, part, (keys, least, strings) in zip(table["bucket"].to_pylist(), table["part"].to_pylist(), sent):
-        masks = np.zeros(len(keys), dtype=np.uint64)
-        for i, (key, doc, string) in enumerate(zip(keys, least, strings)):
-            found = holders.get((key, string))
-            if found is not None:
-                masks[i] = bits[: len(found)][found < doc].sum(dtype=np.uint64)
-            elif groups[key][string] < doc:
-                masks[i] = np.uint64(0xFFFFFFFFFFFFFFFF)
-        out.append((bucket, part, 1, masks.tobytes(), None))
-    return out
+    ends = np.cumsum([len(x[0]) for x in sent])
+    return [(b, p, 1, m.tobytes(), None) for b, p, m in zip(table["bucket"].to_pylist(), table["part"].to_pylist(), np.split(masks, ends[:-1]))]
 
 
 def _by_bucket(notes: DataFrame, work) -> DataFrame:
@@ -372,7 +404,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True, carry: Sequence[str]
             return notes.empty_table()
         part, number = Part(table, n), table["part"][0].as_py()
         part.entries(dict(zip(marks["bucket"].to_pylist(), marks["data"].to_pylist())))
-        return _notes([(b, number, 1, _packed(strings, part.least), None) for b, strings in part.by_bucket().items()], notes)
+        return _notes([(b, number, 1, part.packed(own), None) for b, own in part.by_bucket()], notes)
 
     def third(table: pa.Table, found: pa.Table) -> pa.Table:
         if table.num_rows == 0:
@@ -382,9 +414,10 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True, carry: Sequence[str]
         part.entries({b: d for kind, b, d in rows if kind == 0})
         masks = np.zeros(len(part.least), dtype=np.uint64)
         answers = {b: d for kind, b, d in rows if kind == 1}
-        for bucket, strings in part.by_bucket().items():
-            masks[[number for _, _, number in strings]] = np.frombuffer(answers[bucket], dtype=np.uint64)
-        out = [_kept(row, used, part.least, masks, keep_text) for row, used in zip(part.rows, part.used)]
+        for bucket, own in part.by_bucket():
+            masks[own] = np.frombuffer(answers[bucket], dtype=np.uint64)
+        gone = part.gone(masks)
+        out = [_kept(row, gone[a:b], keep_text) for row, a, b in zip(part.rows, part.begins.tolist(), part.ends.tolist())]
         return table_of(result, dict(zip(result.names, zip(*out))))
 
     grouped = docs.groupBy("part")
@@ -393,22 +426,10 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True, carry: Sequence[str]
     return grouped.cogroup(marks.unionByName(masks).groupBy("part")).applyInArrow(third, RESULT)
 
 
-def _kept(row: tuple, used: list[tuple[int, int, int]], least: list[int], masks: np.ndarray, keep_text: bool) -> tuple:
-    """Result row of a document from the masks of its strings; a string that an earlier document of the part holds is covered."""
-    place, text, doc_id, rest = row[:4]
-    n = len(text)
-    kept, removed, spans = text, 0, 0
-    if used:
-        low, windows, number = (np.array(x, dtype=np.int64) for x in zip(*used))
-        mask = np.where(np.array(least, dtype=np.int64)[number] < place, np.uint64(0xFFFFFFFFFFFFFFFF), masks[number])
-        starts = np.zeros(n + 1, dtype=np.int64)
-        for j in range(int(windows.max())):
-            here = (mask >> np.uint64(j) & np.uint64(1)).astype(bool) & (windows > j)
-            starts[low[here] + j] = 1
-        starts[SPAN:] -= starts[:-SPAN].copy()
-        gone = np.cumsum(starts)[:n] > 0
-        removed = int(gone.sum())
-        if removed:
-            spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-            kept = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes()
-    return doc_id, rest, n, removed, spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if keep_text else None
+def _kept(row: tuple, gone: np.ndarray, keep_text: bool) -> tuple:
+    """Result row of a document from which the bytes marked as gone go."""
+    _, text, doc_id, rest = row
+    removed = int(gone.sum())
+    spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if removed else 0
+    kept = np.frombuffer(text, dtype=np.uint8)[~gone].tobytes() if removed else text
+    return doc_id, rest, len(text), removed, spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if keep_text else None
