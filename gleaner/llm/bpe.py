@@ -24,7 +24,7 @@ from tokenizers import Tokenizer
 from gleaner.llm.common import map_batches, texts
 
 #: Chunks remembered per Python worker before the memory is emptied; it bounds memory and changes no result.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 # White space as the pattern language of the vocabulary file sees it, and the word pattern of the file.
 _SPACE = regex.compile(r"[\t-\r \x85\xa0  -     　]+")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gleaner.session import cut_lineage, spread
 
 #: Text rows differ in size by a factor of a million, so Arrow batches are cut by bytes as well as by rows.
-BATCH_BYTES = str(16 * 1024 * 1024)
+BATCH_BYTES = str(4 * 1024 * 1024)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -38,7 +38,7 @@ _ODD = _mixed(_SEEDS) | np.uint64(1)
 class Shingles:
     """Sets of hashed word shingles; word hashes are kept for the next text."""
 
-    def __init__(self, words: int, remembered: int = 300_000):
+    def __init__(self, words: int, remembered: int = 150_000):
         self.words, self.remembered = words, remembered
         self.known: dict[bytes, int] = {}
 

@@ -106,7 +106,7 @@ def learn_lexicon(docs: DataFrame, chosen: DataFrame) -> dict[str, float]:
 class Measure:
     """Dense features of a text; what it knows of a token is kept for the next text."""
 
-    def __init__(self, lexicon: dict[str, float], remembered: int = 300_000):
+    def __init__(self, lexicon: dict[str, float], remembered: int = 150_000):
         self.lexicon, self.remembered = lexicon, remembered
         self.known: dict[str, tuple[float, float, bool, bool]] = {}
 
