@@ -191,7 +191,7 @@ class Part:
 
     def sent(self) -> Iterator[tuple[int, bytes, bytes]]:
         """(bucket, 40-bit keys in order, documents per key up to 255) for each bucket."""
-        low = np.ascontiguousarray(self.keys & np.uint64((1 << 40) - 1)).view(np.uint8).reshape(-1, 8)[:, :5]
+        low = _low_bytes(self.keys)
         for bucket, a, b in _runs(self.keys >> np.uint64(40)):
             yield bucket, low[a:b].tobytes(), np.minimum(self.count[a:b], 255).astype(np.uint8).tobytes()
 
@@ -232,9 +232,10 @@ class Part:
             yield name, order[a:b]
 
     def packed(self, numbers: np.ndarray) -> bytes:
-        """Key, least document, size and bytes of strings, compressed."""
-        parts = self.entry_keys[numbers], self.least[numbers], self.size[numbers], self.strings[numbers]
-        return zstandard.ZstdCompressor(1).compress(b"".join([np.array([len(numbers)]).tobytes(), *[p.tobytes() for p in parts]]))
+        """Least document, 40 bits of the key, size and bytes of strings, compressed."""
+        keys = _low_bytes(self.entry_keys[numbers] >> np.uint64(20))
+        parts = np.array([len(numbers)]), self.least[numbers], keys, self.size[numbers].astype(np.uint8), self.strings[numbers]
+        return zstandard.ZstdCompressor(3).compress(b"".join([p.tobytes() for p in parts]))
 
     def gone(self, masks: np.ndarray) -> np.ndarray:
         """Which bytes of the part a window covers that an earlier document holds, from the mask of each string."""
@@ -247,6 +248,18 @@ class Part:
         return np.cumsum(starts, dtype=np.int32)[: len(self.data)] > 0
 
 
+def _low_bytes(numbers: np.ndarray) -> np.ndarray:
+    """The low five bytes of each number."""
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, 8)[:, :5]
+
+
+def _wide(low: np.ndarray) -> np.ndarray:
+    """Numbers of five bytes each."""
+    wide = np.zeros((len(low) // 5, 8), dtype=np.uint8)
+    wide[:, :5] = low.reshape(-1, 5)
+    return wide.view(np.uint64)[:, 0]
+
+
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(value, first, after last) of the runs of equal values."""
     edges = np.flatnonzero(values[1:] != values[:-1]) + 1 if len(values) else np.empty(0, dtype=np.int64)
@@ -278,10 +291,7 @@ def _shared_marks(table: pa.Table) -> list[tuple]:
     parts = table["part"].to_pylist()
     keys = []
     for data in table["data"].to_pylist():
-        low = np.frombuffer(data, dtype=np.uint8).reshape(-1, 5)
-        wide = np.zeros((len(low), 8), dtype=np.uint8)
-        wide[:, :5] = low
-        keys.append(wide.view(np.uint64)[:, 0])
+        keys.append(_wide(np.frombuffer(data, dtype=np.uint8)))
     counts = np.concatenate([np.frombuffer(m, dtype=np.uint8) for m in table["more"].to_pylist()]).astype(np.int64)
     _, back = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(back, weights=counts)[back]
@@ -291,10 +301,10 @@ def _shared_marks(table: pa.Table) -> list[tuple]:
 
 
 def _unpacked(data: bytes) -> tuple[np.ndarray, ...]:
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    n = int(np.frombuffer(raw, dtype=np.int64, count=1)[0])
-    keys, least, size = (np.frombuffer(raw, dtype=t, count=n, offset=8 + 8 * n * j) for j, t in enumerate((np.uint64, np.int64, np.int64)))
-    return keys, least, size, np.frombuffer(raw, dtype=np.uint8, offset=8 + 24 * n).reshape(n, WIDTH)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    n = int(raw[:8].view(np.int64)[0])
+    least, keys, size, strings = np.split(raw[8:], np.cumsum([8 * n, 5 * n, n]))
+    return _wide(keys), least.view(np.int64), size.astype(np.int64), strings.reshape(n, WIDTH)
 
 
 def _covered(table: pa.Table) -> list[tuple]:
