@@ -24,12 +24,13 @@ from tokenizers import Tokenizer
 from gleaner.llm.common import map_batches, texts
 
 #: Chunks remembered per Python worker before the memory is emptied; it bounds memory and changes no result.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 
 # White space as the pattern language of the vocabulary file sees it, and the word pattern of the file.
 _SPACE = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")
 #: Beyond these letters the library's and this module's Unicode tables can differ in age; the library cuts such chunks.
+_VISIBLE = re.compile(r"[!-~]*").fullmatch
 _PLAIN = re.compile(r"[\x00-\u052f]*").fullmatch
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -167,9 +168,11 @@ class Encoder:
     def model_ids(self, words: list[str]) -> list[list[int]]:
         """Ids of each word by the library's own model."""
         model, letters = self.rules.model, self.letters
-        return [[t.id for t in model.tokenize(w.encode().decode("latin-1").translate(letters))] for w in words]
+        return [[t.id for t in model.tokenize(w if _VISIBLE(w) else w.encode().decode("latin-1").translate(letters))] for w in words]
 
     def _words(self, chunk: str) -> list[str]:
+        if chunk.isascii():
+            return self.words_of(chunk.lower())
         if _PLAIN(chunk):
             return self.words_of(_lower(unicodedata.normalize("NFC", chunk)))
         found = self.rules.pre_tokenizer.pre_tokenize_str(self.rules.normalizer.normalize_str(chunk))

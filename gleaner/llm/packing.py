@@ -37,20 +37,19 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = TaskContext.get().partitionId()
-        used = np.zeros(capacity.bit_length() + 1, dtype=np.int64)
+        used = [0] * (capacity.bit_length() + 1)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            columns: list[list] = [[] for _ in arrow]
+            rows: list[tuple] = []
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder(path, library=True).encode_batch(batch["text"].to_pylist())):
                 ids += end
                 tokens, start = len(ids) // 4, 0
                 for length in cut(tokens, capacity):
                     share = length.bit_length()
-                    row = (doc_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), tokens, worker, int(used[share]))
-                    for column, value in zip(columns, row):
-                        column.append(value)
+                    rows.append((doc_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), tokens, worker, used[share]))
                     used[share] += 1
                     start += length
+            columns = zip(*rows) if rows else [()] * len(arrow)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     return texts(docs).mapInArrow(run, PIECES)
