@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 CPUS = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
@@ -57,6 +58,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": str(CPUS),
             "spark.driver.memory": "16g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": os.environ.get("BENCH_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -22,7 +22,7 @@ FIELDS = ("node_id", "parent_id", "ord", "tag", "path", "sig")
 
 
 def subtree_prints(parents: list[int], sigs: list[int], alive: list[bool], from_end: bool) -> tuple[list[str], list[int]]:
-    """Position and subtree hash of every element that is alive."""
+    """Position and subtree hash of every element that is alive; a position starts with the number of its root."""
     children: list[list[int]] = [[] for _ in parents]
     for i, parent in enumerate(parents):
         if alive[i] and parent >= 0:
@@ -33,6 +33,8 @@ def subtree_prints(parents: list[int], sigs: list[int], alive: list[bool], from_
             data = repr((sigs[i], [prints[c] for c in children[i]])).encode()
             prints[i] = int.from_bytes(blake2b(data, digest_size=8).digest(), "big", signed=True)
     places = [""] * len(parents)
+    for at, i in enumerate([i for i, parent in enumerate(parents) if parent < 0]):
+        places[i] = str(at)
     for below in children:
         for at, i in enumerate(reversed(below) if from_end else below):
             places[i] = f"{places[parents[i]]}/{at}"
@@ -77,7 +79,7 @@ def _rows(pages: DataFrame, group: str, page: str, front: bool, back: bool) -> D
                 for n, place, mark, stays in zip(nodes, places, prints, alive):
                     if stays:
                         at.append(i)
-                        rows.append((n["node_id"], n["tag"], n["path"], place or None, mark))
+                        rows.append((n["node_id"], n["tag"], n["path"], place if n["parent_id"] >= 0 else None, mark))
             take = pa.array(at, pa.int64())
             flat = list(zip(*rows)) if rows else [[]] * 5
             kinds_out = (pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64())
@@ -105,9 +107,10 @@ def _with_places(pages: DataFrame, shared: DataFrame, group: str, name: str) ->
 
 
 def _passes(pages: DataFrame, group: str, page: str, html: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    sizes = pages.groupBy(group).agg(F.count("*").alias("n_pages"))
-    # Parsed once and written: both directions and the result read it again.
-    parsed = cut_lineage(lookup_join(parse_pages(pages, html, [page, group], FIELDS, ()), sizes, [group]))
+    # Parsed once and written: the sizes, both directions and the result read it again. A page without elements is no page.
+    parsed = cut_lineage(parse_pages(pages, html, [page, group], FIELDS, ()))
+    sizes = cut_lineage(parsed.filter(F.size("nodes") > 0).groupBy(group).agg(F.count("*").alias("n_pages")))
+    parsed = lookup_join(parsed, sizes, [group])
     front = cut_lineage(_shared(_rows(parsed, group, page, False, False), group, "front"))
     trimmed = _with_places(parsed, front, group, "front")
     back = cut_lineage(_shared(_rows(trimmed, group, page, True, False), group, "back"))

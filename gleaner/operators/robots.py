@@ -1,6 +1,6 @@
 """Robots rules as tables, and decisions as a join on the host.
 
-A robots text is at most 100 KiB, so the lines and rules of one host are bounded. The groups are read once
+A robots text is at small: crawlers read 100 KiB, so the lines and rules of one host are bounded. The groups are read once
 per host and kept nested in one row; a request meets one row of its host and finds the first matching rule
 inside it, so no request is multiplied by the rules.
 """
@@ -28,14 +28,14 @@ def unquote_path(path: Column) -> Column:
 
 
 def latest_robots(robots: DataFrame, host: str = "host", body: str = "body", fetched: str | None = None) -> DataFrame:
-    """One text per host, the last fetched one, however often a host was fetched."""
+    """One text per host, however often it was fetched: the one with the greatest `fetched`, else the greatest text."""
     text = F.max(body) if fetched is None else F.max_by(body, fetched)
     return robots.groupBy(host).agg(text.alias(body))
 
 
-def _directives(robots: DataFrame, host: str, body: str, relaxed: bool) -> DataFrame:
+def _directives(robots: DataFrame, host: str, body: str, relaxed: bool, fetched: str | None = None) -> DataFrame:
     """Lines that mean something: `field`, `data`; a blank line that ends a group has field ''."""
-    lines = scan_robots(latest_robots(robots, host, body), host, body).withColumn("line", strip(F.col("line")))
+    lines = scan_robots(latest_robots(robots, host, body, fetched), host, body).withColumn("line", strip(F.col("line")))
     cut = strip(F.regexp_replace("line", "#.*$", ""))
     if relaxed:
         # Only an empty line ends a group; the name must be the whole text before the first colon.
@@ -51,14 +51,16 @@ def _directives(robots: DataFrame, host: str, body: str, relaxed: bool) -> DataF
     return lines.select(host, "line_no", field.alias("field"), data.alias("data")).filter(F.col("field").isNotNull())
 
 
-def robots_groups(robots: DataFrame, host: str = "host", body: str = "body", relaxed: bool = False) -> DataFrame:
+def robots_groups(
+    robots: DataFrame, host: str = "host", body: str = "body", relaxed: bool = False, fetched: str | None = None
+) -> DataFrame:
     """One row per rule group in the order groups are tried: `host, group_no, agents, rules, crawl_delay`.
 
     Consecutive user-agent lines share a group; a user-agent line after rules, or a blank line, ends one.
     Groups without agent or rule are dropped, groups that name `*` come last.
     """
     by_line = Window.partitionBy(host).orderBy("line_no")
-    directives = _directives(robots, host, body, relaxed)
+    directives = _directives(robots, host, body, relaxed, fetched)
     is_agent = F.col("field") == "user-agent"
     opens = (F.col("field") == "") | (is_agent & (F.coalesce(F.lag("field").over(by_line), F.lit("")) != "user-agent"))
     spans = directives.withColumn("opens", opens).withColumn("span", F.sum(F.col("opens").cast("int")).over(by_line))
@@ -89,9 +91,9 @@ def robots_rules(groups: DataFrame, host: str = "host") -> DataFrame:
     return rules.select(host, "group_no", "agent", "ord", "rule.kind", "rule.path", "crawl_delay")
 
 
-def sitemaps(robots: DataFrame, host: str = "host", body: str = "body") -> DataFrame:
+def sitemaps(robots: DataFrame, host: str = "host", body: str = "body", fetched: str | None = None) -> DataFrame:
     """Sitemap urls of each robots text, in file order."""
-    named = _directives(robots, host, body, relaxed=False).filter("field = 'sitemap'")
+    named = _directives(robots, host, body, relaxed=False, fetched=fetched).filter("field = 'sitemap'")
     return named.select(host, "line_no", F.col("data").alias("sitemap"))
 
 
@@ -185,9 +187,15 @@ def robots_by_status(status: Column, strict: bool = True) -> Column:
     return F.when(status.isin(401, 403), "deny").when(status == 404, "allow").when(~status.between(200, 299), "error")
 
 
-def apply_robots_status(decided: DataFrame, fetches: DataFrame, strict: bool = True, host: str = "host") -> DataFrame:
-    """Let the status of the robots fetch, `fetches(host, status)`, overrule the rules; NULL after a failed fetch."""
-    status = fetches.groupBy(host).agg(F.max("status").alias("_status"))
+def apply_robots_status(
+    decided: DataFrame, fetches: DataFrame, strict: bool = True, host: str = "host", fetched: str | None = None
+) -> DataFrame:
+    """Let the status of the robots fetch, `fetches(host, status)`, overrule the rules; NULL after a failed fetch.
+
+    Of several fetches of a host the one with the greatest `fetched` counts, without that column the greatest status.
+    """
+    status = F.max("status") if fetched is None else F.max_by("status", fetched)
+    status = fetches.groupBy(host).agg(status.alias("_status"))
     joined = lookup_join(decided, status, [host])
     verdict = robots_by_status(F.col("_status"), strict)
     allowed = (

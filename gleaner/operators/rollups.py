@@ -72,10 +72,10 @@ def missing_field_counts(items: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 
 def expected_job_count(items: DataFrame, claims: DataFrame, run: str, claim: str) -> DataFrame:
-    """Items per run beside the number its site claims, -1 when the claim has no digits."""
+    """Items per run beside the number its site claims: -1 when the claim has no digits, NULL when there is no claim."""
     expected = claims.groupBy(run).agg(F.max(digits_of(F.col(claim))).alias("expected"))
     found = items.groupBy(run).agg(F.count("*").alias("n_items"))
-    return expected.join(found, run, "left").withColumn("n_items", F.coalesce("n_items", F.lit(0).cast("bigint")))
+    return expected.join(found, run, "full_outer").withColumn("n_items", F.coalesce("n_items", F.lit(0).cast("bigint")))
 
 
 def serp_expected_count(text: Column) -> Column:

@@ -7,6 +7,7 @@ where an earlier one has hits. Nothing here joins or shuffles except the merges
 from __future__ import annotations
 
 import re
+import itertools
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -222,21 +223,26 @@ def plan_pages(total_pages: Column | None = None, total_items: Column | None = N
     return F.when(pages >= 2, F.sequence(F.lit(2), pages.cast("int"))).otherwise(F.array().cast("array<int>"))
 
 
-def follow_next(seeds: DataFrame, links: DataFrame, max_depth: int = 1000) -> DataFrame:
+FOLD = 16
+
+
+def follow_next(seeds: DataFrame, links: DataFrame) -> DataFrame:
     """Urls reached from each seed over next links, with the least number of steps.
 
     `seeds(seed)`, `links(src, dst)` with the links whose condition holds. Each round joins only the newest
-    urls, is written to the checkpoint folder, and drops urls of earlier rounds, so cycles end the walk.
+    urls, is written to the checkpoint folder, and drops urls of earlier rounds, so cycles end the walk and it runs until
+    no url is new. What was reached is written anew every `FOLD` rounds, so the plan stays short however deep the walk.
     """
     edges = cut_lineage(links.select("src", "dst").distinct())
     frontier = cut_lineage(seeds.select("seed", F.col("seed").alias("url"), F.lit(0).alias("depth")).distinct())
     reached = frontier
-    for depth in range(1, max_depth + 1):
+    for depth in itertools.count(1):
         step = frontier.join(edges, frontier["url"] == edges["src"]).select("seed", F.col("dst").alias("url")).distinct()
         frontier = cut_lineage(step.join(reached.select("seed", "url"), ["seed", "url"], "left_anti").withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
             break
         reached = reached.unionByName(frontier)
+        reached = cut_lineage(reached) if depth % FOLD == 0 else reached
     return reached
 
 

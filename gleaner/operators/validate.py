@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.functions.entities import extract_emails, extract_logos, extract_salaries, extract_websites
+from gleaner.functions.entities import TOP_LEVEL_DOMAINS, extract_emails, extract_logos, extract_salaries, extract_websites
 from gleaner.functions.text import blank_to_null
 from gleaner.operators.rollups import top_per_group
 
@@ -48,7 +48,7 @@ def location_fallback(items: DataFrame) -> DataFrame:
 
 def auto_fields(
     pages: DataFrame,
-    tlds: Sequence[str],
+    tlds: Sequence[str] = TOP_LEVEL_DOMAINS,
     logos: bool = True,
     emails: bool = True,
     salaries: bool = True,

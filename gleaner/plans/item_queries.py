@@ -156,11 +156,9 @@ def extract_salaries(spark, folder):
     return _salary_texts(spark, folder).select("o_orderkey", F.array_join(G.extract_salaries(twice), "|").alias("found"))
 
 
-# The second engine has no list of countries, so both get the same short one.
-TLDS = (*G.GENERIC_TLDS, "de", "es", "uk")
 WEBSITES_SQL = r"""sites AS (SELECT page_id, list_transform(list_filter(flatten(list_transform(string_split(body_text, ' '), lambda w: regexp_extract_all(w, '(?:https?://)?(?:www.)?([0-9a-zA-Z.-]+\.[a-z]{2,})', 1))),
-      lambda s: regexp_matches(s, '\.(com|org|net|int|edu|gov|mil|arpa|de|es|uk)$')), lambda s: lower(s)) AS named,
-      list_transform(list_filter(regexp_extract_all(html, '<a href="([^"]*)">', 1), lambda h: starts_with(h, 'http')), lambda h: regexp_extract(h, '//(?:www\.)?([^/:?#]*)', 1)) AS hosts FROM body)"""
+      lambda s: regexp_matches(s, '\.(KNOWN)$')), lambda s: lower(s)) AS named,
+      list_transform(list_filter(regexp_extract_all(html, '<a href="([^"]*)">', 1), lambda h: starts_with(h, 'http')), lambda h: regexp_extract(h, '//(?:www\.)?([^/:?#]*)', 1)) AS hosts FROM body)""".replace("KNOWN", "|".join(G.TOP_LEVEL_DOMAINS))
 
 
 @query(
@@ -169,7 +167,7 @@ WEBSITES_SQL = r"""sites AS (SELECT page_id, list_transform(list_filter(flatten(
 )
 def extract_websites(spark, folder):
     parsed = parse_pages(pages(spark, folder).withColumn("links", extract_links(F.col("html"))), keep=["page_id", "links"])
-    found = G.extract_websites(body_text(), F.col("links"), TLDS)
+    found = G.extract_websites(body_text(), F.col("links"))
     return parsed.select("page_id", F.array_join(F.array_sort(found), "|").alias("websites"))
 
 
@@ -192,15 +190,18 @@ def extract_logos(spark, folder):
     "auto_fields",
     f"""WITH {BODY_SQL}, {WEBSITES_SQL} SELECT page_id, {LOGO_SQL} AS logos,
           array_to_string(list_sort({EMAIL_SQL.replace("text", "body_text")}), '|') AS emails,
+          '$4' || CAST(page_id % 10 AS VARCHAR) || ',000 - $50,000' AS salaries,
           CASE WHEN contains(url, 'blog') THEN 'kept.example' ELSE array_to_string(list_sort(list_distinct(list_concat(named, hosts))), '|') END AS websites
         FROM body JOIN sites USING (page_id)""",
 )
 def auto_fields(spark, folder):
-    source = _with_logos(spark, folder).withColumn("links", extract_links(F.col("html")))
+    pay = F.concat(F.lit("<body><p>Pay $4"), (F.col("page_id") % 10).cast("string"), F.lit(",000 - $50,000 gross</p>"))
+    source = _with_logos(spark, folder).withColumn("html", F.replace("html", F.lit("<body>"), pay))
+    source = source.withColumn("links", extract_links(F.col("html")))
     kept = F.when(F.contains("url", F.lit("blog")), F.array(F.lit("kept.example")))
     parsed = parse_pages(source, keep=["page_id", "url", "links", "html"])
     parsed = parsed.withColumns({"body_text": body_text(), "autoextracted_company_websites": kept})
-    done = H.auto_fields(parsed, TLDS)
+    done = H.auto_fields(parsed)
 
     def joined(name):
         return F.array_join(F.array_sort(F.col(name)), "|")
@@ -209,6 +210,7 @@ def auto_fields(spark, folder):
         "page_id",
         F.array_join("autoextracted_logo_urls", "|").alias("logos"),
         joined("autoextracted_emails").alias("emails"),
+        joined("autoextracted_salaries").alias("salaries"),
         joined("autoextracted_company_websites").alias("websites"),
     )
 

@@ -79,7 +79,7 @@ def ngram_titles(spark, folder):
 
 @query("fuzzy_field")
 def fuzzy_field(spark, folder):
-    words = table(spark, folder, "benchmark").select(F.explode(F.split("text", r"[\s.,]+")).alias("term")).filter("length(term) > 5")
+    words = table(spark, folder, "benchmark").select(F.explode(F.split("text", r"[\s.,]+")).alias("term")).filter("term <> ''")
     return K.fuzzy_field(parse_pages(pages(spark, folder), keep=["page_id"]), words)
 
 

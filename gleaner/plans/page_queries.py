@@ -277,7 +277,7 @@ def plan_pages(spark, folder):
     "follow_next",
     """WITH RECURSIVE t AS (SELECT conv_id, turn, CASE WHEN turn = max(turn) OVER (PARTITION BY conv_id) THEN 0 ELSE turn + 1 END AS next FROM conversations),
        walk AS (SELECT conv_id, turn, next, 0 AS depth FROM t WHERE turn = 0
-                UNION ALL SELECT t.conv_id, t.turn, t.next, depth + 1 FROM walk w JOIN t ON t.conv_id = w.conv_id AND t.turn = w.next WHERE w.depth < 20 AND w.next <> 0)
+                UNION ALL SELECT t.conv_id, t.turn, t.next, depth + 1 FROM walk w JOIN t ON t.conv_id = w.conv_id AND t.turn = w.next WHERE w.next <> 0)
        SELECT CAST(conv_id AS VARCHAR) || '/0' AS seed, CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) AS url, CAST(min(depth) AS INTEGER) AS depth
        FROM walk GROUP BY ALL""",
 )
@@ -291,7 +291,7 @@ def follow_next(spark, folder):
     after = F.when(F.col("turn") == F.col("last"), F.lit(0)).otherwise(F.col("turn") + 1)
     links = turns.join(last, "conv_id").select(url(F.col("turn")).alias("src"), url(after).alias("dst"))
     seeds = turns.filter("turn = 0").select(url(F.col("turn")).alias("seed"))
-    return R.follow_next(seeds, links, 50)
+    return R.follow_next(seeds, links)
 
 
 @query(

@@ -32,11 +32,16 @@ def scan_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=False).select(F.col("_c0").alias("term"))
 
 
-def scan_robots(robots: DataFrame, host: str = "host", body: str = "body") -> DataFrame:
-    """One row per line of each robots text, numbered in file order."""
+def scan_robots(robots: DataFrame, host: str = "host", body: str = "body", most_bytes: int | None = None) -> DataFrame:
+    """One row per line of each robots text, numbered in file order.
+
+    `most_bytes` reads only the head of a text, as crawlers that stop at `ROBOTS_BYTES` do; without it the whole text is read.
+    """
     text = F.col(body)
-    head = F.make_valid_utf8(F.substring(F.encode(text, "UTF-8"), 1, ROBOTS_BYTES).cast("string"))
-    whole = F.when(F.octet_length(text) <= ROBOTS_BYTES, text).otherwise(head)
+    whole = text
+    if most_bytes is not None:
+        head = F.make_valid_utf8(F.substring(F.encode(text, "UTF-8"), 1, most_bytes).cast("string"))
+        whole = F.when(F.octet_length(text) <= most_bytes, text).otherwise(head)
     return robots.select(host, F.posexplode(F.split(whole, "\r\n|\r|\n")).alias("line_no", "line"))
 
 

@@ -121,12 +121,15 @@ def stale_crawl_stream(
 
 def time_limit_stream(requests: DataFrame, runs: DataFrame, run: str, ts: str) -> DataFrame:
     """The time limit on a stream: a join to the table of runs."""
-    joined = requests.join(runs.select(run, "end_time"), run, "left")
+    # One row per run, so copies of a run do not multiply its requests.
+    joined = requests.join(runs.groupBy(run).agg(F.max("end_time").alias("end_time")), run, "left")
     return joined.filter(F.col("end_time").isNull() | (F.col(ts) <= F.col("end_time"))).drop("end_time")
 
 
 def preview_stream(items: DataFrame, run: str, order: Sequence[Column], max_jobs: int, state_folder: str, write: Sink) -> DataStreamWriter:
-    """The preview cutoff on a stream; how many items each run has had is carried between micro-batches."""
+    """The preview cutoff on a stream; how many items each run has had is carried between micro-batches. 0 has no end."""
+    if max_jobs <= 0:
+        return items.writeStream.foreachBatch(write)
     kinds = f"{run} {items.schema[run].dataType.simpleString()}, taken bigint"
     state = BatchState(items.sparkSession, state_folder, kinds)
 

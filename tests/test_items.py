@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from gleaner.operators import policy as P
 from gleaner.operators import robots as J
 from gleaner.operators import rollups as I
+from gleaner.operators import rules as R
 from gleaner.operators import runs
 from gleaner.operators import validate as H
 from gleaner.operators.code_tables import map_by_table
@@ -105,9 +106,47 @@ def test_one_robots_text_per_host(spark):
 
 def test_robots_size_limit(spark):
     body = "User-agent: *\n" + "Disallow: /é\n" * 20000
-    lines = files.scan_robots(robots(spark, body)).count()
     kept = body.encode()[: files.ROBOTS_BYTES].decode("utf-8", "replace")
-    assert lines == len(kept.split("\n"))
+    assert files.scan_robots(robots(spark, body), most_bytes=files.ROBOTS_BYTES).count() == len(kept.split("\n"))
+    assert files.scan_robots(robots(spark, body)).count() == 20002
+
+
+def test_robots_of_the_latest_fetch(spark):
+    fetches = spark.createDataFrame(
+        [("h", "User-agent: *\nDisallow: /z", 503, 1), ("h", "User-agent: *\nDisallow: /a\nSitemap: s", 200, 2)],
+        "host string, body string, status int, at int",
+    )
+    rules = J.robots_rules(J.robots_groups(fetches, fetched="at")).collect()
+    assert [r["path"] for r in rules] == ["/a"]
+    assert [r["sitemap"] for r in J.sitemaps(fetches, fetched="at").collect()] == ["s"]
+    decided = spark.createDataFrame([("h", True)], "host string, allowed boolean")
+    assert J.apply_robots_status(decided, fetches, fetched="at").first()["allowed"] is True
+    assert J.apply_robots_status(decided, fetches).first()["allowed"] is None
+
+
+def test_run_without_a_claim_keeps_its_items(spark):
+    items = spark.createDataFrame([("a",), ("a",), ("b",)], "run string")
+    claims = spark.createDataFrame([("b", "7 jobs"), ("c", "none")], "run string, claim string")
+    found = {r["run"]: (r["expected"], r["n_items"]) for r in I.expected_job_count(items, claims, "run", "claim").collect()}
+    assert found == {"a": (None, 2), "b": (7, 1), "c": (-1, 0)}
+
+
+def test_walk_deeper_than_any_cap(spark):
+    links = spark.createDataFrame([(f"u{i}", f"u{i + 1}") for i in range(40)], "src string, dst string")
+    found = R.follow_next(spark.createDataFrame([("u0",)], "seed string"), links)
+    assert found.agg({"depth": "max"}).first()[0] == 40 and found.count() == 41
+
+
+def test_boilerplate_of_several_roots_and_empty_pages(spark):
+    from gleaner.operators.boilerplate import boilerplate_elements, remove_boilerplate
+
+    pages = lambda *html: spark.createDataFrame([("h", i, x) for i, x in enumerate(html)], "host string, page_id int, html string")
+    tags = lambda frame: sorted((r["page_id"], r["tag"]) for r in frame.collect())
+    one = pages("<div><p>x</p></div><div><p>x</p></div>", "<div></div>")
+    assert tags(remove_boilerplate(one)) == [(0, "div"), (0, "div"), (0, "p"), (0, "p"), (1, "div")]
+    two = pages("<div><nav>m</nav><b>1</b></div><div><i>s</i></div>", "<div><nav>m</nav><b>2</b></div><div><i>s</i></div>", "")
+    assert tags(remove_boilerplate(two)) == [(0, "b"), (0, "div"), (0, "div"), (1, "b"), (1, "div"), (1, "div")]
+    assert sorted(r["tag"] for r in boilerplate_elements(two).collect()) == ["i", "nav"]
 
 
 def test_offsite(spark):

@@ -62,7 +62,7 @@ def test_remove_empty_tags_is_a_fixpoint(one, html):
 
 
 def test_all_entities(one):
-    names = T.entity_names()
+    names = T.ENTITY_NAMES
     assert len(names) == 88
     assert one(T.html_escape_codes(F.lit("a".join(names) + "&#9999;&"))) == "a".join(names.values()) + "&#9999;&"
     assert names["&#8211;"] == "&ndash;" and names["&#255;"] == "&yuml;   " and names["&#180;"] == "'"
@@ -134,12 +134,13 @@ def test_entities(one):
 
 
 def test_websites(one, spark):
-    tlds = G.top_level_domains(spark)
+    tlds = G.TOP_LEVEL_DOMAINS
     text = "see www.Acme.com or http://jobs.foo.org/x and v1.zzz"
     links = array(["https://www.l.de/x", "/rel", "ftp://no.com", "http://acme.com"])
     assert one(G.extract_websites(F.lit(text), array([]), tlds)) == ["acme.com", "jobs.foo.org"]
     assert one(G.extract_websites(F.lit(None).cast("string"), links, tlds)) == ["l.de", "acme.com"]
     assert {"uk", "krd", "de", "zw", "arpa"} <= set(tlds) and not {"um", "bl", "mf", "zzz"} & set(tlds)
+    assert len(set(tlds)) == len(tlds) == 264 and len(T.ENTITY_NAMES) == 88
 
 
 def test_logos(one):
