@@ -34,7 +34,7 @@ NODE_FIELDS = {
     "path": ("string", pa.string()),
     "sig": ("bigint", pa.int64()),  # same tag, attributes and leading text
 }
-TREE_FIELDS = ("node_id", "parent_id", "last_id", "tag", "attrs", "texts", "text_start", "text_len")
+TREE_FIELDS = ("node_id", "parent_id", "last_id", "ord", "tag", "attrs", "texts", "text_start", "text_len")
 ALL_FIELDS = tuple(f for f in NODE_FIELDS if f != "sig")
 PAGE_FIELDS = {"page_text": "string", "page_html": "string", "breaks": "array<int>"}
 PAGES_PER_BATCH = 200
@@ -127,19 +127,20 @@ def node_html(node: Column, page_html: Column | None = None) -> Column:
 def explode_elements(pages: DataFrame, keep: Sequence[str] = ("page_id",), skip: Sequence[str] = (), html: str = "html") -> DataFrame:
     """One row per element in document order; a skipped tag drops the element, not its descendants."""
     parsed = parse_pages(pages, html, keep, ALL_FIELDS, ("page_text", "page_html"))
-    rows = parsed.select(*keep, "page_text", "page_html", F.explode("nodes").alias("n"))
-    if skip:
-        rows = rows.filter(~F.col("n.tag").isin(*skip))
-    n = F.col("n")
-    return rows.select(
-        *keep,
-        *[n[f].alias(f) for f in ("node_id", "parent_id", "last_id", "depth", "ord", "tag_ord", "tag", "attrs")],
-        F.array_join(n["texts"], "").alias("own_text"),
-        node_text(n).alias("text"),
-        node_html(n).alias("html_string"),
-        n["html_len"].alias("html_len"),
-        n["path"].alias("path"),
-    )
+    nodes = F.filter("nodes", lambda n: ~n["tag"].isin(*skip)) if skip else F.col("nodes")
+
+    def row(n: Column) -> Column:
+        return F.struct(
+            *[n[f].alias(f) for f in ("node_id", "parent_id", "last_id", "depth", "ord", "tag_ord", "tag", "attrs")],
+            F.array_join(n["texts"], "").alias("own_text"),
+            node_text(n).alias("text"),
+            node_html(n).alias("html_string"),
+            n["html_len"].alias("html_len"),
+            n["path"].alias("path"),
+        )
+
+    # Texts are cut inside the row, so no element row carries its page.
+    return parsed.select(*keep, F.inline(F.transform(nodes, row)))
 
 
 def body_text(nodes: Column | None = None, page_text: Column | None = None) -> Column:

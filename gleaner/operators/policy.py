@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gleaner.functions.text import strip
 from gleaner.functions.urls import hostname, normalize_feed_url
 from gleaner.operators.joins import lookup_join
-from gleaner.operators.selectors import Page, css, select_nodes, take
+from gleaner.operators.selectors import Page, css_nodes, take
 from gleaner.session import cut_lineage
 
 # Feed urls that lead to no job board of their own.
@@ -81,7 +81,7 @@ def offsite_counts(flagged: DataFrame) -> DataFrame:
     )
 
 
-def clean_url_feed(feed: DataFrame, statuses: DataFrame, skip: Sequence[str] | DataFrame = SKIP_URLS) -> DataFrame:
+def clean_url_feed(feed: DataFrame, statuses: DataFrame, skip: Sequence[str] | DataFrame = ()) -> DataFrame:
     """Feed urls by first line, normalised and distinct, without skipped urls and urls known not to answer 200.
 
     `feed(line_no, url)`; `statuses(url, status)` holds what is known; a url of unknown status is kept.
@@ -101,7 +101,7 @@ def serp_value(page: Page, config: Sequence[dict], field: str) -> Column:
     selectors = [entry["selector"] for entry in config if entry.get("id") == field and entry.get("selector")]
     if not selectors:
         return F.lit(None).cast("string")
-    nodes = F.slice(select_nodes(page, *css(selectors[-1])), 1, 1)
+    nodes = F.slice(css_nodes(page, selectors[-1]), 1, 1)
     value = F.get(take(page, nodes, "@href" if field == "serp_job_link" else "string()"), F.lit(0))
     return F.when(value != "", value)
 

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.functions.text import digits_of
+from gleaner.functions.text import digits_of, long_of
 from gleaner.session import cut_lineage
 
 # Range and precision of the parse time histogram, in milliseconds.
@@ -82,7 +82,7 @@ def serp_expected_count(text: Column) -> Column:
     """Largest number in the text of the selected element, separators removed; 0 without one."""
     numbers = F.transform(
         F.regexp_extract_all(text, F.lit(r"[.,\d]+"), F.lit(0)),
-        lambda n: F.regexp_replace(n, "[^0-9]", "").try_cast("bigint"),
+        lambda n: long_of(F.regexp_replace(n, "[^0-9]", "")),
     )
     return F.coalesce(F.array_max(numbers), F.lit(0).cast("bigint"))
 

@@ -24,7 +24,11 @@ class Page:
 
 @dataclass(frozen=True)
 class Sel:
-    """Which elements: tag, equal attributes, attribute parts, present attributes, classes, leading text part."""
+    """Which elements: tag, equal attributes, attribute parts, present attributes, classes, leading text part.
+
+    `nth` is the place among all siblings, from 1. `join` says where a step looks from the elements before it: anywhere
+    below, or among children (`>`), at the next sibling (`+`) or at all later ones (`~`).
+    """
 
     tag: str = "*"
     eq: Mapping[str, str] = field(default_factory=dict)
@@ -32,15 +36,23 @@ class Sel:
     present: Sequence[str] = ()
     classes: Sequence[str] = ()
     text_has: str | None = None
+    starts: Mapping[str, str] = field(default_factory=dict)
+    ends: Mapping[str, str] = field(default_factory=dict)
+    nth: int | None = None
+    join: str = " "
 
     def matches(self, n: Column) -> Column:
         tests = [] if self.tag == "*" else [n["tag"] == self.tag]
         tests += [n["attrs"][k] == v for k, v in self.eq.items()]
         tests += [F.contains(n["attrs"][k], F.lit(v)) for k, v in self.has.items()]
+        tests += [F.startswith(n["attrs"][k], F.lit(v)) for k, v in self.starts.items()]
+        tests += [F.endswith(n["attrs"][k], F.lit(v)) for k, v in self.ends.items()]
         tests += [n["attrs"][k].isNotNull() for k in self.present]
         tests += [
             F.array_contains(F.split(F.coalesce(n["attrs"]["class"], F.lit("")), r"\s+"), c) for c in self.classes
         ]
+        if self.nth is not None:
+            tests.append(n["ord"] == self.nth - 1)
         if self.text_has is not None:
             tests.append(F.contains(F.get(n["texts"], F.lit(0)), F.lit(self.text_has)))
         out = F.lit(True)
@@ -60,12 +72,21 @@ def following_siblings(nodes: Column, n: Column) -> Column:
     return F.filter(after, lambda s: s["parent_id"] == n["parent_id"])
 
 
+def reached(nodes: Column, n: Column, join: str) -> Column:
+    """Elements a step looks at from one element."""
+    if join == ">":
+        return F.filter(descendants(nodes, n), lambda c: c["parent_id"] == n["node_id"])
+    if join == "+":
+        return F.slice(following_siblings(nodes, n), 1, 1)
+    return following_siblings(nodes, n) if join == "~" else descendants(nodes, n)
+
+
 def select_nodes(page: Page, *steps: Sel, within: Column | None = None) -> Column:
     """Elements of the page, or below `within`, that match the last step under matches of the earlier ones."""
     scope = page.nodes if within is None else descendants(page.nodes, within)
     found = F.filter(scope, steps[0].matches)
     for step in steps[1:]:
-        below = F.flatten(F.transform(found, lambda n: F.filter(descendants(page.nodes, n), step.matches)))
+        below = F.flatten(F.transform(found, lambda n: F.filter(reached(page.nodes, n, step.join), step.matches)))
         found = F.array_sort(F.array_distinct(F.transform(below, lambda n: n["node_id"])))
         found = F.transform(found, lambda i: F.get(page.nodes, i))
     return found
@@ -122,21 +143,65 @@ def following_rows_text(page: Page, row: str, marker: Sel) -> Column:
     return F.array_join(take(page, following_rows(page, row, marker), "string()"), "")
 
 
-def css(selector: str) -> list[Sel]:
-    """Steps of a plain css selector: tag, #id, .class and [name=value] parts joined by descent."""
-    steps = []
-    for part in selector.split():
-        found = re.fullmatch(r"(\*|[\w-]+)?((?:[#.][\w-]+|\[[\w-]+(?:=[^\]]*)?\])*)", part)
-        if not found:
+ATTRIBUTE = r"""\[\s*([\w-]+)\s*(?:([*^$]?=)\s*("[^"]*"|'[^']*'|[^\]"'\s]*)\s*)?\]"""
+PIECE = re.compile(rf"#([\w-]+)|\.([\w-]+)|{ATTRIBUTE}|:(first)-child|:nth-child\(\s*(\d+)\s*\)")
+JOIN = re.compile(r"\s*([>+~,])\s*|\s+")
+PARTS = {"=": "eq", "*=": "has", "^=": "starts", "$=": "ends"}
+
+
+def _compound(selector: str, at: int, join: str) -> tuple[Sel, int]:
+    """The step of a css selector that starts there, and where it ends."""
+    tag = re.compile(r"\*|[\w-]*").match(selector, at)
+    found: dict[str, dict] = {kind: {} for kind in PARTS.values()}
+    present, classes, nth, end = [], [], None, tag.end()
+    while piece := PIECE.match(selector, end):
+        ident, name, attribute, kind, value, first, place = piece.groups()
+        if ident:
+            found["eq"]["id"] = ident
+        elif name:
+            classes.append(name)
+        elif attribute and kind:
+            found[PARTS[kind]][attribute] = value[1:-1] if value[:1] in ("'", '"') else value
+        elif attribute:
+            present.append(attribute)
+        else:
+            nth = 1 if first else int(place)
+        end = piece.end()
+    if end == at:
+        raise ValueError(f"unsupported selector {selector!r}")
+    return Sel(tag[0] or "*", present=present, classes=classes, nth=nth, join=join, **found), end
+
+
+def css_list(selector: str) -> list[list[Sel]]:
+    """Steps of every selector of a css list: tag, #id, .class, [name], [name=value] with *=, ^= and $=, :first-child and
+    :nth-child(n), joined by blanks, `>`, `+` or `~`."""
+    selector = selector.strip()
+    step, at = _compound(selector, 0, " ")
+    lists = [[step]]
+    while at < len(selector):
+        join = JOIN.match(selector, at)
+        if join is None:
             raise ValueError(f"unsupported selector {selector!r}")
-        pieces = re.findall(r"#([\w-]+)|\.([\w-]+)|\[([\w-]+)(=[^\]]*)?\]", found[2])
-        eq = {"id": p[0] for p in pieces if p[0]} | {p[2]: p[3][1:].strip("\"'") for p in pieces if p[3]}
-        steps.append(
-            Sel(
-                found[1] or "*",
-                eq=eq,
-                present=[p[2] for p in pieces if p[2] and not p[3]],
-                classes=[p[1] for p in pieces if p[1]],
-            )
-        )
+        kind = join[1] or " "
+        if kind == ",":
+            lists.append([])
+        step, at = _compound(selector, join.end(), " " if kind == "," else kind)
+        lists[-1].append(step)
+    return lists
+
+
+def css(selector: str) -> list[Sel]:
+    """Steps of a single css selector; see `css_list`."""
+    steps, *more = css_list(selector)
+    if more:
+        raise ValueError(f"{selector!r} is a list; use css_nodes")
     return steps
+
+
+def css_nodes(page: Page, selector: str) -> Column:
+    """Elements that any selector of a css list finds, in document order."""
+    found = [select_nodes(page, *steps) for steps in css_list(selector)]
+    if len(found) == 1:
+        return found[0]
+    ids = F.array_sort(F.array_distinct(F.concat(*[F.transform(nodes, lambda n: n["node_id"]) for nodes in found])))
+    return F.transform(ids, lambda i: F.get(page.nodes, i))

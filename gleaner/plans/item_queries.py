@@ -45,14 +45,15 @@ def map_job_field(spark, folder):
 
 @query(
     "map_job_field_table",
-    f"""WITH {ITEMS_SQL}, c AS (SELECT min(n_name) AS code FROM nation)
-        SELECT item_no, CASE site_id WHEN '1-URGENT' THEN 'NATION_1' WHEN '2-HIGH' THEN 'NATION_2' WHEN '3-MEDIUM' THEN 'NATION_3'
-           WHEN '5-LOW' THEN 'NATION_5' ELSE '4 NOT SPECIFIED' END AS code FROM items""",
+    f"""WITH {ITEMS_SQL}
+        SELECT item_no, CASE WHEN starts_with(site_id, '4') THEN '4 NOT SPECIFIED' ELSE n_name END AS code
+        FROM items LEFT JOIN nation ON n_nationkey = CAST(left(site_id, 1) AS INTEGER)""",
 )
 def map_job_field_table(spark, folder):
     names = ["0", "urgent", "high", "medium", "x", "low"]
-    key = F.concat(F.col("n_nationkey").cast("string"), F.lit(" "), F.get(F.array(*map(F.lit, names)), F.col("n_nationkey")))
-    code_map = table(spark, folder, "nation").select(key.alias("key"), F.col("n_name").alias("code")).filter("key IS NOT NULL")
+    word = F.coalesce(F.get(F.array(*map(F.lit, names)), F.col("n_nationkey")), F.col("n_name"))
+    key = F.concat(F.col("n_nationkey").cast("string"), F.lit(" "), word)
+    code_map = table(spark, folder, "nation").select(key.alias("key"), F.col("n_name").alias("code"))
     return map_by_table(items(spark, folder), "site_id", code_map, "code").select("item_no", "code")
 
 

@@ -102,16 +102,13 @@ def label_value_pairs(spark, folder):
 
 @query(
     "following_rows_text",
-    f"WITH {LINKS_SQL} SELECT page_id, string_agg(label, '' ORDER BY pos) AS details FROM links GROUP BY page_id",
+    f"""WITH {LINKS_SQL}, d AS (SELECT page_id, string_agg(label, '' ORDER BY pos) AS details FROM links WHERE pos > 0 GROUP BY page_id)
+        SELECT page_id, coalesce(details, '') AS details FROM pages LEFT JOIN d USING (page_id)""",
 )
 def following_rows_text(spark, folder):
-    links = markup.extract_links(F.col("html"))
-    labels = F.regexp_extract_all("html", F.lit("<a href=[^>]*>([^<]*)</a>"), F.lit(1))
-    rows = F.array_join(F.transform(labels, lambda v: F.concat(F.lit("<tr><td>"), v, F.lit("</td>"))), "")
-    made = F.concat(F.lit("<table><tr><td>x<tr><td>Description</td></tr>"), rows, F.lit("</table>"))
-    source = pages(spark, folder).filter(F.size(links) > 0).select("page_id", made.alias("html"))
-    return E.parse_pages(source, keep=["page_id"]).select(
-        "page_id", S.following_rows_text(Page(), "tr", Sel("td", text_has="Description")).alias("details")
+    # The rows of these pages are the items of their menu; those behind the first one follow a marker.
+    return E.parse_pages(pages(spark, folder), keep=["page_id"]).select(
+        "page_id", S.following_rows_text(Page(), "li", Sel("a", present=["href"])).alias("details")
     )
 
 
@@ -142,18 +139,15 @@ def extract_links(spark, folder):
 
 @query(
     "remove_bad_elements",
-    r"""WITH t AS (SELECT page_id, replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&quot;', '"') AS title FROM pages)
-        SELECT page_id, '<div><ul><li>' || CAST(page_id AS VARCHAR) || '</li></ul>kept</div>|<p>'
-          || regexp_replace(regexp_replace(title, '&amp$', '&amp;'), '&(am|a|)$', '&amp;\1') || '</p>' AS cleaned FROM t""",
+    r"""WITH t AS (SELECT page_id, regexp_replace(html, '(?s)<script.*?</script>|<nav>.*?</nav>|<!--.*?-->|<[^>]*>', '', 'g') AS t FROM pages)
+        SELECT page_id, replace(replace(replace(replace(replace(t, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&'), '&amp', '&') AS cleaned FROM t""",
 )
 def remove_bad_elements(spark, folder):
-    title = F.regexp_extract("html", "<h1>([^<]*)</h1>", 1)
-    tidy = F.regexp_replace(F.replace(title, F.lit("&quot;"), F.lit('"')), "&(?!amp;)(amp$)?", "&amp;")
-    first = F.concat(
-        F.lit("<div><ul><li>"), F.col("page_id").cast("string"), F.lit("<script>a()</script></ul><nav><a>x</a></nav>kept<input></div>")
-    )
-    fragments = F.array(first, F.lit("<button>no</button>"), F.lit(" "), F.concat(F.lit("<p>"), tidy, F.lit("</p>")))
-    return pages(spark, folder).select("page_id", F.array_join(E.remove_bad_elements(fragments, ["nav"]), "|").alias("cleaned"))
+    left = F.array_join(E.remove_bad_elements(F.array("html"), ["nav"]), "|")
+    text = F.regexp_replace(left, "(?s)<!--.*?-->|<[^>]*>", "")
+    for name, letter in (("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(name), F.lit(letter))
+    return pages(spark, folder).select("page_id", text.alias("cleaned"))
 
 
 @query(
@@ -182,6 +176,40 @@ def rule_alternatives(spark, folder):
     return parsed.select("page_id", F.array_join(R.rule_alternatives([p(page) for p in picks]), "|").alias("hits"))
 
 
+@query(
+    "rule_function",
+    f"""WITH {LINKS_SQL}, h AS (SELECT page_id, string_agg(href, '|' ORDER BY pos) AS hits FROM links WHERE href <> '' GROUP BY page_id)
+        SELECT page_id, coalesce(hits, 'none') AS hits FROM pages LEFT JOIN h USING (page_id)""",
+)
+def rule_function(spark, folder):
+    def links(page, within):
+        return S.take(page, S.select_nodes(page, Sel("a", present=["href"]), within=within), "@href")
+
+    rule = R.Rule(xpath=[R.Source([R.Pick(Sel("h6"))])], function=links, static="none")
+    parsed = E.parse_pages(pages(spark, folder))
+    return parsed.select("page_id", F.array_join(R.extract_rule(rule, Page(), F.col("url")), "|").alias("hits"))
+
+
+@query(
+    "css_nodes",
+    f"""WITH {LINKS_SQL}, l AS (SELECT page_id, string_agg(label, '|') FILTER (WHERE pos = 1) AS second,
+          string_agg(label, '|' ORDER BY pos) FILTER (WHERE pos > 0) AS later, count(*) FILTER (WHERE starts_with(href, '/t')) AS n FROM links GROUP BY page_id)
+        SELECT page_id, coalesce(second, '') AS second, coalesce(later, '') AS later, CAST(coalesce(n, 0) + 1 AS INTEGER) AS n_hits FROM pages LEFT JOIN l USING (page_id)""",
+)
+def css_nodes(spark, folder):
+    page = Page()
+
+    def texts(selector):
+        return F.array_join(S.take(page, S.css_nodes(page, selector), "string()"), "|")
+
+    return E.parse_pages(pages(spark, folder), keep=["page_id"]).select(
+        "page_id",
+        texts("nav > ul > li:nth-child(2) > a").alias("second"),
+        texts("nav li:first-child ~ li").alias("later"),
+        F.size(S.css_nodes(page, 'nav a[href^="/t"], article > h1')).alias("n_hits"),
+    )
+
+
 @query(
     "rule_processors",
     f"""WITH {LINKS_SQL}, w AS (SELECT page_id, pos, unnest(regexp_extract_all(href, '([a-z])([a-z]+)', 1)) AS a, unnest(regexp_extract_all(href, '([a-z])([a-z]+)', 2)) AS b,

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gleaner.functions.markup import extract_links
 from gleaner.functions.urls import netloc
 from gleaner.operators import policy as P
 from gleaner.operators import robots as J
 from gleaner.operators.elements import TREE_FIELDS, parse_pages
 from gleaner.operators.selectors import Page
 from gleaner.plans.inputs import pages
+from gleaner.plans.page_queries import LINKS_SQL, TITLE_SQL
 from gleaner.plans.registry import query
 from gleaner.sources.tables import table
 
@@ -160,6 +162,15 @@ def offsite_filter(spark, folder):
     return _flagged(spark, folder).filter("follow").select("page_id")
 
 
+@query("offsite_policy", f"SELECT page_id, url FROM pages WHERE {HOST_SQL} LIKE '%.example.org'")
+def offsite_policy(spark, folder):
+    # The policy of the site stands in place of its domains.
+    requests = _requests(spark, folder).withColumn("site_id", F.lit("all"))
+    allowed = requests.select("site_id", netloc(F.col("url")).alias("domain"))
+    kept = P.offsite_filter(requests, allowed, policy=F.col("host").endswith(".example.org"))
+    return kept.select("page_id", "url")
+
+
 @query(
     "offsite_counts",
     f"WITH {ALLOWED_SQL} SELECT count(DISTINCT host) AS offsite_domains, count(*) AS offsite_filtered FROM flagged WHERE NOT follow",
@@ -194,7 +205,7 @@ def clean_url_feed(spark, folder):
     known = pages_.filter("contains(url, '#') OR contains(url, 'page=2')").select(
         P.normalize_feed_url(F.col("url")).alias("url"), F.when(F.contains("url", F.lit("#")), 404).otherwise(200).alias("status")
     )
-    return P.clean_url_feed(feed, known)
+    return P.clean_url_feed(feed, known, P.SKIP_URLS)
 
 
 @query(
@@ -209,28 +220,25 @@ def robots_media_type(spark, folder):
 
 
 SERP_CONFIG = [
-    {"id": "serp_job_link", "selector": "div.ad a[data-kind=job]"},
-    {"id": "serp_location", "selector": "#place"},
-    {"id": "serp_title", "selector": "h1"},
+    {"id": "serp_job_link", "selector": "nav li a[href]"},
+    {"id": "serp_location", "selector": "article h1"},
+    {"id": "serp_title", "selector": "title"},
 ]
 
 
 @query(
     "serp_link_match",
-    f"""SELECT page_id, url, CASE WHEN page_id > 0 AND NOT contains(url, '.html') THEN 'in ' || {LANG_SQL} END AS serp_location,
-               CASE WHEN page_id > 0 AND NOT contains(url, '.html') THEN url END AS serp_job_link FROM pages""",
+    f"""WITH {LINKS_SQL}, f AS (SELECT href, min({TITLE_SQL}) AS place FROM links JOIN pages USING (page_id)
+          WHERE pos = 0 AND href <> '' AND {TITLE_SQL} <> '' GROUP BY href)
+        SELECT page_id, CAST(pos AS INTEGER) AS pos, href AS url, place AS serp_location, CASE WHEN place IS NOT NULL THEN href END AS serp_job_link
+        FROM links LEFT JOIN f USING (href)""",
 )
 def serp_link_match(spark, folder):
-    following = _requests(spark, folder).select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("link"))
-    escaped = F.replace("link", F.lit("&"), F.lit("&amp;"))
-    place = F.when(F.contains("link", F.lit(".html")), "").otherwise(
-        F.concat(F.lit("in "), F.regexp_extract("link", "^https?://[^/]*/([a-z]+)", 1))
-    )
-    made = F.concat(F.lit('<div class="x ad"><p><a data-kind="job" href="'), escaped, F.lit('">go</a></div><b id=place>'), place, F.lit("</b>"))
-    source = pages(spark, folder).join(following, "page_id").select("page_id", made.alias("html"))
+    source = pages(spark, folder)
+    requests = source.select("page_id", F.posexplode(extract_links(F.col("html"))).alias("pos", "url"))
     parsed = parse_pages(source, keep=["page_id"], fields=TREE_FIELDS)
     serp = parsed.select(
         P.serp_value(Page(), SERP_CONFIG, "serp_job_link").alias("serp_job_link"),
         P.serp_value(Page(), SERP_CONFIG, "serp_location").alias("serp_location"),
     )
-    return P.serp_link_match(_requests(spark, folder), serp).select("page_id", "url", "serp_location", "serp_job_link")
+    return P.serp_link_match(requests, serp).select("page_id", "pos", "url", "serp_location", "serp_job_link")

@@ -81,6 +81,22 @@ def time_limit_filter(spark, folder):
     return R.time_limit_filter(_events(spark, folder), runs, "user_id", "ts").select("event_id")
 
 
+@query(
+    "time_limit_stream",
+    """WITH runs AS (SELECT c_custkey AS user_id, CASE WHEN c_acctbal > 5000 THEN TIMESTAMP '2024-01-10 00:00:00' END AS end_time FROM customer)
+       SELECT event_id FROM events LEFT JOIN runs USING (user_id) WHERE end_time IS NULL OR ts <= end_time""",
+)
+def time_limit_stream(spark, folder):
+    path = scratch(spark, "limit")
+    end = F.when(F.col("c_acctbal") > 5000, F.lit("2024-01-10 00:00:00").cast("timestamp"))
+    runs = table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"), end.alias("end_time"))
+    # Runs that were ended twice: the last end counts, and no request is multiplied.
+    earlier = runs.filter("end_time IS NOT NULL").withColumn("end_time", F.expr("end_time - INTERVAL 1 DAY"))
+    kept = L.time_limit_stream(_event_stream(spark, folder), runs.unionByName(earlier), "user_id", "ts").select("event_id")
+    _drain(kept.writeStream.format("parquet").option("path", path), path + "-checkpoint")
+    return spark.read.schema(kept.schema).parquet(path)
+
+
 @query(
     "preview_cutoff",
     f"""WITH {ITEMS_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY mining_job_id ORDER BY scraped_at, item_no) AS rn FROM items)

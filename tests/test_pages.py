@@ -94,8 +94,25 @@ def test_selectors(spark):
     assert take("@title", Sel("p", has={"title": "y"})) == ["x y"]
     assert take("html", Sel("p", text_has="ne")) == ['<p class="b">one<b>!</b></p>']
     assert take("string()", *S.css("[title=x]"), Sel("p")) == []
-    with pytest.raises(ValueError):
-        S.css("a > b")
+    for selector in ("a:hover", "a, b", "x*", ""):
+        with pytest.raises(ValueError):
+            S.css(selector)
+
+
+def test_css(spark):
+    page = Page()
+    df = parsed(spark, '<div><p title="a, b">1<b>2</b></p><p>3</p><i>4</i><p>5<a href="/t/x">6</a></p></div><p title=q>7</p>')
+
+    def texts(selector):
+        return first(df, S.take(page, S.css_nodes(page, selector), "text()"))
+
+    assert texts("div > p") == ["1", "3", "5"]
+    assert texts("div > b") == []
+    assert texts("p:first-child ~ p") == ["3", "5"]
+    assert texts("p + i, p b,a") == ["2", "4", "6"]
+    assert texts('[title*=", "], [title="q"]') == ["1", "7"]
+    assert texts("a[href^='/t'][href$=x]") == ["6"]
+    assert texts("div>p:nth-child( 4 ) , p:nth-child(4)") == ["5"]
 
 
 def test_labels(spark):

@@ -8,7 +8,7 @@ from gleaner.streaming import streams
 FOLDER = "/root/testdata/sf0.001"
 STREAMED = {
     "stale_run_sessions", "preview_stream", "stale_crawl_stream", "live_rollup", "live_missing_counts",
-    "idempotent_items", "stop_after_drain", "write_items_stream",
+    "idempotent_items", "stop_after_drain", "write_items_stream", "time_limit_stream",
 }
 
 
@@ -54,5 +54,10 @@ def test_first_rows_are_cut_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in below
 
 
+def test_elements_do_not_carry_their_page(spark):
+    generate = next(line for line in plan(spark, "explode_elements").splitlines() if "Generate" in line)
+    assert "[page_id" in generate and "page_html#" not in generate.split("], false")[0].rsplit("[", 1)[-1]
+
+
 def test_stream_names_exist():
     assert STREAMED <= set(QUERIES) and callable(streams.live_rollup)

@@ -71,6 +71,7 @@ def test_all_entities(one):
 
 def test_numbers(one):
     assert one(T.digits_of(F.lit("1,234 jobs (5 new)")), T.digits_of(F.lit("none"))) == [12345, -1]
+    assert one(T.digits_of(F.lit("9" * 30)), T.digits_of(F.lit("0" * 30 + "7"))) == [2**63 - 1, 7]
     assert one(T.language_prefix(F.lit("en-US"))) == "en"
 
 
