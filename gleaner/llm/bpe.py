@@ -3,8 +3,7 @@
 The vocabulary file gives the symbols, the merges in rank order and the text rules. Texts are cut into chunks between white
 space, chunks into words by the pattern of the file. The words that a batch brings anew are laid out in one symbol array; an
 index holds every position of every mergeable pair in it; the active ranks are applied in ascending order, and each merge
-updates the position lists of the pairs that it makes. A chunk
-keeps its ids for later batches.
+updates the position lists of the pairs that it makes. A chunk keeps its ids for later batches.
 """
 
 from __future__ import annotations
@@ -15,7 +14,10 @@ import json
 import re
 import struct
 import unicodedata
+from array import array
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -25,6 +27,8 @@ from gleaner.llm.common import map_batches, texts
 
 #: Chunks remembered per Python worker before the memory is emptied; it bounds memory and changes no result.
 REMEMBERED = 300_000
+#: Positions of a rank from which they are merged at once; it changes no result.
+MANY = 40
 
 # White space as the pattern language of the vocabulary file sees it, and the word pattern of the file.
 _SPACE = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
@@ -36,15 +40,15 @@ _PLAIN = re.compile(r"[\x00-\u052f]*").fullmatch
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, decoded: bool = False, library: bool = False) -> Encoder:
+def encoder(path: str, library: bool = False) -> Encoder:
     """The encoder of a vocabulary file, made once per Python worker.
 
-    `decoded` keeps the decoded text with the ids; `library` lets the library's model merge words instead of the pair index.
+    `library` lets the library's model merge words instead of the pair index.
     """
-    key = path, decoded, library
+    key = path, library
     if key not in _ENCODERS:
         with open(path, encoding="utf-8") as file:
-            _ENCODERS[key] = Encoder(file.read(), decoded, library)
+            _ENCODERS[key] = Encoder(file.read(), library)
     return _ENCODERS[key]
 
 
@@ -62,8 +66,8 @@ def _byte_letters() -> list[str]:
 
 
 class Encoder:
-    def __init__(self, text: str, decoded: bool, library: bool):
-        self.decoded, self.library = decoded, library
+    def __init__(self, text: str, library: bool):
+        self.library = library
         file = json.loads(text)
         model = file["model"]
         self.rules = Tokenizer.from_str(text)
@@ -83,103 +87,137 @@ class Encoder:
         self.words_of = regex.compile(next(r["pattern"]["Regex"] for r in rules if r["type"] == "Split")).findall
         letters = _byte_letters()
         self.bytes_of = {c: b for b, c in enumerate(letters)}
-        self.inner = [self.ids[c] for c in letters]
-        self.last = [self.ids[c + self.suffix] for c in letters]
+        self.inner = np.array([self.ids[c] for c in letters], np.int32)
+        self.last = np.array([self.ids[c + self.suffix] for c in letters], np.int32)
+        self.pairs = np.array(sorted(self.merges))
+        self.pair_ranks = np.array([self.merges[p][0] for p in self.pairs.tolist()])
         self.letters = dict(enumerate(letters))
-        self.known: dict[str, bytes | tuple[bytes, str]] = {}
-
-    def merged(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word: all pairs of all words are indexed by rank and merged rank by rank."""
-        symbols: list[int] = []
-        after: list[int] = []
-        before: list[int] = []
-        starts = []
-        inner, last, merges = self.inner, self.last, self.merges
+        self.known: dict[str, bytes] = {}
+
+    def _ranks(self, pairs: np.ndarray) -> np.ndarray:
+        """Rank of each pair, -1 where it does not merge."""
+        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pairs, self.pair_ranks[at], -1)
+
+    def merged(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, little-endian: all pairs of all words are indexed by rank and merged rank by rank.
+
+        A rank with many positions is merged at all of them at once, one with few position by position.
+        """
+        coded = [word.encode() for word in words]
+        data = np.frombuffer(b"".join(coded), np.uint8)
+        size = len(data)
+        ends = np.cumsum([len(c) for c in coded])
+        # The arrays lend their memory to numpy; the slot behind the last symbol stands for "no symbol".
+        symbols, after, before = (array("i", bytes(4 * (size + 1))) for _ in range(3))
+        symbol, next_to, prior = (np.frombuffer(a, np.int32) for a in (symbols, after, before))
+        symbol[:size] = self.inner[data]
+        symbol[ends - 1] = self.last[data[ends - 1]]
+        symbol[size] = -1
+        next_to[:] = np.arange(1, size + 2)
+        next_to[ends - 1] = size
+        prior[:] = np.arange(-1, size)
+        prior[0] = size
+        prior[ends[:-1]] = size
+
         at: dict[int, list[int]] = {}
-        for word in words:
-            data = word.encode()
-            start = len(symbols)
-            starts.append(start)
-            symbols.extend([inner[b] for b in data[:-1]])
-            symbols.append(last[data[-1]])
-            end = len(symbols)
-            before.append(-1)
-            before.extend(range(start, end - 1))
-            after.extend(range(start + 1, end))
-            after.append(-1)
-            for p in range(start, end - 1):
-                found = merges.get(symbols[p] << 20 | symbols[p + 1])
-                if found:
-                    at.setdefault(found[0], []).append(p)
-        active = list(at)
-        heapq.heapify(active)
+        active: list[int] = []
+
+        def index(pairs: np.ndarray, places: np.ndarray) -> None:
+            ranks = self._ranks(pairs)
+            hits = np.flatnonzero(ranks >= 0)
+            hits = hits[np.argsort(ranks[hits], kind="stable")]
+            ranks, found = ranks[hits], places[hits].tolist()
+            cuts = np.flatnonzero(np.diff(ranks, prepend=-1)).tolist()
+            for rank, i, j in zip(ranks[cuts].tolist(), cuts, [*cuts[1:], len(found)]):
+                if rank in at:
+                    at[rank].extend(found[i:j])
+                else:
+                    at[rank] = found[i:j]
+                    heapq.heappush(active, rank)
+
+        wide = symbol.astype(np.int64)
+        index(wide[:size] << 20 | wide[next_to[:size]], np.arange(size))
+        merges = self.merges
         while active:
             rank = heapq.heappop(active)
             places = at.pop(rank)
             a, b = self.parts[rank]
             new = merges[a << 20 | b][1]
+            if len(places) >= MANY and a != b:
+                p = np.array(places)
+                p = p[symbol[p] == a]
+                q = next_to[p]
+                both = symbol[q] == b
+                p, q = p[both], q[both]
+                symbol[p], symbol[q] = new, -1
+                n = next_to[q]
+                next_to[p], prior[n] = n, p
+                m = prior[p]
+                index(
+                    np.concatenate((symbol[n].astype(np.int64) | new << 20, symbol[m].astype(np.int64) << 20 | new)),
+                    np.concatenate((p, m)),
+                )
+                continue
             if a == b:
                 places.sort()
             for p in places:
-                if symbols[p] != a:
-                    continue
                 q = after[p]
-                if q < 0 or symbols[q] != b:
+                if symbols[p] != a or symbols[q] != b:
                     continue
                 symbols[p], symbols[q] = new, -1
                 n = after[p] = after[q]
-                if n >= 0:
-                    before[n] = p
-                    found = merges.get(new << 20 | symbols[n])
-                    if found:
-                        if found[0] in at:
-                            at[found[0]].append(p)
-                        else:
-                            at[found[0]] = [p]
-                            heapq.heappush(active, found[0])
+                before[n] = p
                 m = before[p]
-                if m >= 0:
-                    found = merges.get(symbols[m] << 20 | new)
+                for place, pair in ((p, new << 20 | symbols[n]), (m, symbols[m] << 20 | new)):
+                    found = merges.get(pair)
                     if found:
                         if found[0] in at:
-                            at[found[0]].append(m)
+                            at[found[0]].append(place)
                         else:
-                            at[found[0]] = [m]
+                            at[found[0]] = [place]
                             heapq.heappush(active, found[0])
-        starts.append(len(symbols))
-        return [[s for s in symbols[i:j] if s >= 0] for i, j in zip(starts, starts[1:])]
+        left = symbol[:size] >= 0
+        packed = symbol[:size][left].astype("<u4").tobytes()
+        bounds = [0, *(4 * np.cumsum(left)[ends - 1]).tolist()]
+        return [packed[i:j] for i, j in zip(bounds, bounds[1:])]
 
-    def _learn(self, chunks: set[str]) -> dict[str, bytes | tuple[bytes, str]]:
+    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
         """Ids of chunks not met before, remembered for later batches."""
         if len(self.known) + len(chunks) > REMEMBERED:
             self.known.clear()
-        parts = {c: self._words(c) for c in chunks}
-        words = list({w for found in parts.values() for w in found})
-        names = self.names
-        ids = dict(zip(words, self.model_ids(words) if self.library else self.merged(words)))
-        new: dict[str, bytes | tuple[bytes, str]] = {}
+        whole: dict[str, str] = {}
+        parts: dict[str, list[str]] = {}
+        for chunk in chunks:
+            if _PLAIN(chunk):
+                low = chunk.lower() if chunk.isascii() else _lower(unicodedata.normalize("NFC", chunk))
+                if low.isalpha():
+                    whole[chunk] = low
+                else:
+                    parts[chunk] = self.words_of(low)
+            else:
+                parts[chunk] = self._cut(chunk)
+        words = list({*whole.values(), *chain.from_iterable(parts.values())})
+        ids = dict(zip(words, self.model_ids(words) if self.library else self.merged(words))) if words else {}
+        new = {chunk: ids[word] for chunk, word in whole.items()}
         for chunk, found in parts.items():
-            own = ids[found[0]] if len(found) == 1 else [i for w in found for i in ids[w]]
-            packed = struct.pack(f"<{len(own)}I", *own)
-            new[chunk] = (packed, " ".join([names[i] for i in own])) if self.decoded else packed
+            new[chunk] = b"".join([ids[w] for w in found])
         self.known.update(new)
         return new
 
-    def model_ids(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word by the library's own model."""
+    def model_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word by the library's own model, little-endian."""
         model, letters = self.rules.model, self.letters
-        return [[t.id for t in model.tokenize(w if _VISIBLE(w) else w.encode().decode("latin-1").translate(letters))] for w in words]
+        found = [[t.id for t in model.tokenize(w if _VISIBLE(w) else w.encode().decode("latin-1").translate(letters))] for w in words]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
 
-    def _words(self, chunk: str) -> list[str]:
-        if chunk.isascii():
-            return self.words_of(chunk.lower())
-        if _PLAIN(chunk):
-            return self.words_of(_lower(unicodedata.normalize("NFC", chunk)))
+    def _cut(self, chunk: str) -> list[str]:
+        """Words of a chunk by the library's own rules."""
         found = self.rules.pre_tokenizer.pre_tokenize_str(self.rules.normalizer.normalize_str(chunk))
         return [bytes([self.bytes_of[c] for c in word]).decode() for word, _ in found]
 
-    def encode_batch(self, batch: list[str]) -> list:
-        """Ids of each text as little-endian 32-bit integers; with `decoded`, pairs of ids and decoded text."""
+    def encode_batch(self, batch: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
         known = self.known.get
         pieces: list[tuple[int, list[str], list, str]] = []
         missing: set[str] = set()
@@ -192,15 +230,16 @@ class Encoder:
                     missing.update([c for c, f in zip(chunks, found) if f is None])
                 pieces.append((k, chunks, found, parts[i + 1] if i + 1 < len(parts) else ""))
         new = self._learn(missing) if missing else {}
-        out: list[list] = [[] for _ in batch]
+        out: list[list[bytes]] = [[] for _ in batch]
         for k, chunks, found, special in pieces:
             out[k].extend([new[c] if f is None else f for c, f in zip(chunks, found)] if new else found)
             if special:
-                ids = struct.pack("<I", self.special[special])
-                out[k].append((ids, special) if self.decoded else ids)
-        if not self.decoded:
-            return [b"".join(found) for found in out]
-        return [(b"".join([f[0] for f in found]), " ".join([f[1] for f in found if f[0]])) for found in out]
+                out[k].append(struct.pack("<I", self.special[special]))
+        return list(map(b"".join, out))
+
+    def decode(self, ids: bytes) -> str:
+        """The text of little-endian 32-bit ids, as the library joins it."""
+        return " ".join(map(self.names.__getitem__, struct.unpack(f"<{len(ids) // 4}I", ids)))
 
 
 def _chunks(text: str) -> list[str]:
@@ -221,12 +260,13 @@ def bpe_round_trip(docs: DataFrame, path: str) -> DataFrame:
     """
 
     def rows(batch: pa.RecordBatch) -> dict[str, list]:
-        found = encoder(path, decoded=True).encode_batch(batch["text"].to_pylist())
+        own = encoder(path)
+        found = own.encode_batch(batch["text"].to_pylist())
         return {
             "doc_id": batch["doc_id"],
-            "n_tokens": [len(ids) // 4 for ids, _ in found],
-            "ids": [ids for ids, _ in found],
-            "decoded": [text for _, text in found],
+            "n_tokens": [len(ids) // 4 for ids in found],
+            "ids": found,
+            "decoded": [own.decode(ids) for ids in found],
         }
 
     return map_batches(texts(docs), rows, "doc_id long, n_tokens long, ids binary, decoded string")
@@ -236,12 +276,13 @@ def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
     """The round trip with SHA-256 digests in place of ids and decoded text, taken before the rows leave Python."""
 
     def rows(batch: pa.RecordBatch) -> dict[str, list]:
-        found = encoder(path, decoded=True).encode_batch(batch["text"].to_pylist())
+        own = encoder(path)
+        found = own.encode_batch(batch["text"].to_pylist())
         return {
             "doc_id": batch["doc_id"],
-            "n_tokens": [len(ids) // 4 for ids, _ in found],
-            "ids_sha256": [hashlib.sha256(ids).hexdigest() for ids, _ in found],
-            "decoded_sha256": [hashlib.sha256(text.encode()).hexdigest() for _, text in found],
+            "n_tokens": [len(ids) // 4 for ids in found],
+            "ids_sha256": [hashlib.sha256(ids).hexdigest() for ids in found],
+            "decoded_sha256": [hashlib.sha256(own.decode(ids).encode()).hexdigest() for ids in found],
         }
 
     return map_batches(texts(docs), rows, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

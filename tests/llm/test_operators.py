@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import random
 import struct
 import zlib
 
@@ -81,6 +82,18 @@ def test_pair_index_equals_the_library_for_every_letter():
             assert ids == struct.pack(f"<{len(want)}I", *want)
 
 
+def test_pairs_that_overlap_merge_alike_at_many_places_and_at_few():
+    own, library = bpe.encoder(PATH), Tokenizer.from_file(PATH)
+    draw = random.Random(5)
+    words = ["".join(draw.choices(letters, k=draw.randint(1, 40))) for letters in ("ab", "aab", "the", "ing1-", "éeö") for _ in range(200)]
+    for text in (" ".join(words), *words[::20]):
+        own.known.clear()
+        want = library.encode(text, add_special_tokens=False).ids
+        [ids] = own.encode_batch([text])
+        assert ids == struct.pack(f"<{len(want)}I", *want)
+        assert own.decode(ids) == library.decode(want, skip_special_tokens=False)
+
+
 def test_packing(docs, empty):
     rows = packing.harmonic_pack(docs, PATH).collect()
     library = Tokenizer.from_file(PATH)
