@@ -3,8 +3,12 @@
 Every document has a set of word shingles and a MinHash signature of several trees of `DEPTH` levels. Each tree is a sorted
 order of the documents by their levels in that tree. Documents with long common prefixes stand side by side, so the `REACH`
 rows before a row are its candidates as far as they share at least `LEAST` levels: where the order is thin this takes short
-prefixes, where it is dense the sorted order itself asks for longer ones. Candidates whose sizes or signatures rule out the
-similarity leave; the rest are confirmed on the full sets. Documents with equal sets are one node from the start.
+prefixes. Candidates whose sizes or signatures rule out the similarity leave; the rest are confirmed on the full sets. Documents
+with equal sets are one node from the start.
+
+Where more than `REACH` rows share `RUN` levels, the rows that the order leaves uncompared are compared after the links of the
+others are known: all pairs of a run that still lie in different components, in blocks of `BLOCK` nodes, by their sizes and by a
+lower bound of the difference of their sets. The bound never exceeds the true difference, so it loses no link.
 """
 
 from __future__ import annotations
@@ -26,6 +30,11 @@ TREES = 20
 DEPTH = 8
 LEAST = 2
 REACH = 6
+#: Levels that the rows of a run share; a pair of similarity 0.8 shares them in one of the trees with a chance of 0.99997.
+RUN = 4
+#: Nodes of a run that are compared with as many others at a time, and the most bits of a set's parity map.
+BLOCK = 512
+MOST_BITS = 1 << 14
 #: Signature places compared by four bits each before sets are fetched, and how far an estimate may fall below the threshold.
 PLACES = 80
 SLACK = 0.2
@@ -100,7 +109,7 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
 
 
 def forest_pairs(nodes: DataFrame, similarity: float) -> DataFrame:
-    """(a, b, alike): candidate pairs of node ids, a < b, with their estimated similarity.
+    """(a, b, alike): candidate pairs of node ids, a < b, with their estimated similarity, and (a, a, null) for a node of a long run.
 
     Nodes are ordered by (tree, levels, id) over range partitions, so a dense region is split like any other; a pair that a
     partition bound separates in one tree meets in the others.
@@ -143,10 +152,101 @@ def forest_pairs(nodes: DataFrame, similarity: float) -> DataFrame:
                 keep = alike >= similarity - SLACK
                 a, b = node[i[keep]], node[j[keep]]
                 found.append((np.minimum(a, b), np.maximum(a, b), alike[keep]))
-            held = [x[-REACH:] for x in now]
+            i = np.arange(max(old, REACH + 1), len(trees))
+            j = i - REACH - 1
+            long = (trees[i] == trees[j]) & (keys[i, :RUN] == keys[j, :RUN]).all(axis=1)
+            dense = np.unique(node[np.concatenate([i[long], j[long]])])
+            found.append((dense, dense, np.full(len(dense), np.nan)))
+            held = [x[-REACH - 1 :] for x in now]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], schema=arrow)
 
-    return rows.mapInArrow(run, schema).filter("a < b").groupBy("a", "b").agg(F.max("alike").alias("alike"))
+    return rows.mapInArrow(run, schema).groupBy("a", "b").agg(F.max("alike").alias("alike"))
+
+
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Bytes of a map with a bit for each residue of a shingle: whether it is that of an odd number of shingles.
+
+    A map differs from another in at most as many bits as the sets differ in shingles. Its halves combine to the shorter map.
+    """
+    bits = min(MOST_BITS, max(64, 1 << (2 * len(shingles) - 1).bit_length()))
+    counts = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little")
+
+
+def close(sizes: np.ndarray, maps: list[bytes], groups: np.ndarray, one: np.ndarray, two: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (of `one`, of `two`) in different groups whose sizes and maps allow the similarity."""
+    width = np.array([len(m) for m in maps])
+    for w in np.unique(width[one]):
+        a = one[width[one] == w]
+        for v in np.unique(width[two]):
+            b = two[width[two] == v]
+            n = min(w, v)
+            # Sets a size class apart or more are tried too: the sizes decide.
+            x, y = (np.frombuffer(b"".join([maps[k] for k in c]), dtype=np.uint8).reshape(len(c), -1, n) for c in (a, b))
+            x, y = (np.ascontiguousarray(np.bitwise_xor.reduce(m, axis=1)).view(np.uint64) for m in (x, y))
+            for k, row in enumerate(x):
+                total = sizes[a[k]] + sizes[b]
+                may = (groups[b] != groups[a[k]]) & (100 * np.minimum(sizes[b], sizes[a[k]]) >= percent * np.maximum(sizes[b], sizes[a[k]]))
+                at = np.flatnonzero(may)
+                if not len(at):
+                    continue
+                apart = np.bitwise_count(y[at] ^ row).sum(axis=1, dtype=np.int64)
+                # 100 * both >= percent * (total - both), where twice `both` is at most total - apart.
+                at = at[(100 + percent) * (total[at] - apart) >= 2 * percent * total[at]]
+                if len(at):
+                    yield np.full(len(at), a[k]), b[at]
+
+
+def run_pairs(dense: DataFrame, levels: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of the `dense` nodes that share a run, lie in different components and may be as similar as asked.
+
+    A run whose nodes are all of one component leaves. The others are cut into blocks by the hash of the node, and each pair of
+    blocks is a group of its own, so a hot run is spread over tasks.
+    """
+    spark = dense.sparkSession
+    wide = 2 * RUN
+    key = F.concat(F.col("tree").cast("string"), F.lit(":"), F.hex(F.substring("levels", F.col("tree") * 2 * DEPTH + 1, F.lit(wide))))
+    rows = dense.join(levels, "node").join(groups, "node", "left").select("node", "levels", F.coalesce("component", "node").alias("component"))
+    rows = rows.select("node", "component", "levels", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    rows = cut_lineage(rows.select("node", "component", F.xxhash64(key).alias("run")))
+    runs = rows.groupBy("run").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    runs = cut_lineage(runs.select("run", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    maps = map_batches(
+        sets.join(dense, "node"),
+        lambda batch: {"node": batch["node"]}
+        | dict(zip(("size", "map"), zip(*[(len(x), parity(x).tobytes()) for x in (np.frombuffer(s, dtype=np.uint64) for s in batch["shingles"].to_pylist())]))),
+        "node long, size long, map binary",
+    )
+    rows = rows.join(runs, "run").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.select("run", "node", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.join(maps, "node").select("run", F.least("own", "other").alias("s"), F.greatest("own", "other").alias("t"), "own", "node", "component", "size", "map")
+    rows = rows.repartition(partitions(spark), "run", "s", "t").sortWithinPartitions("run", "s", "t")
+    schema = "a long, b long"
+    arrow = arrow_schema(spark, schema)
+
+    def compared(block: list[tuple]) -> pa.RecordBatch:
+        own, node, group, size, maps = zip(*block)
+        own, node, group, size = np.array(own), np.array(node), np.array(group), np.array(size)
+        one, two = np.flatnonzero(own == own.min()), np.flatnonzero(own == own.max())
+        found = list(close(size, maps, group, one, two, percent))
+        a, b = (node[np.concatenate(c)] for c in zip(*found)) if found else (np.empty(0, dtype=np.int64),) * 2
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, block = None, []
+        for batch in batches:
+            for r, s, t, *rest in zip(*[c.to_pylist() for c in batch.columns]):
+                # Within the pair (s, t) of different blocks, one of them may be empty.
+                if (r, s, t) != last:
+                    if len(block) > 1 and (last[1] == last[2] or len({x[0] for x in block}) == 2):
+                        yield compared(block)
+                    last, block = (r, s, t), []
+                block.append(rest)
+        if len(block) > 1 and (last[1] == last[2] or len({x[0] for x in block}) == 2):
+            yield compared(block)
+
+    return rows.mapInArrow(run, schema).distinct()
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -171,7 +271,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     Texts are read twice: for signatures, and, shuffled by id, for the sets of documents in candidate pairs. Each document is
     first confirmed against its likeliest partner; the other pairs are confirmed where they would still join two components,
-    so copies in a large group cost no more than their number. Signatures, sets and links are written to the shared
+    so copies in a large group cost no more than their number. Last come the pairs within long runs of the orders that still
+    lie in different components. Signatures, sets and links are written to the shared
     checkpoint folder. A null, empty or blank text has no shingle and is linked with nothing; a row without an id is kept by
     itself, with no component; rows with the same id are one document; an empty table gives no rows.
     """
@@ -183,8 +284,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("levels").alias("levels"), F.first("places").alias("places")
         )
     )
-    pairs = cut_lineage(forest_pairs(nodes, percent / 100))
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "digest"), "node")
+    found = cut_lineage(forest_pairs(nodes, percent / 100))
+    pairs, dense = found.filter("a < b"), found.filter("a = b").select(F.col("a").alias("node"))
+    needed = found.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "digest"), "node")
     sets = cut_lineage(_sets(docs, needed, words))
     first = pairs.groupBy("b").agg(F.max_by("a", F.struct("alike", -F.col("a"))).alias("a")).select("a", "b")
     links = cut_lineage(confirmed(first, sets, percent))
@@ -194,7 +296,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
     )
     late = cut_lineage(confirmed(open_pairs, sets, percent))
-    groups = components(links.unionByName(late)) if late.limit(1).count() else groups
+    if late.limit(1).count():
+        links = links.unionByName(late)
+        groups = cut_lineage(components(links))
+    rest = cut_lineage(confirmed(run_pairs(dense, nodes.select("node", "levels"), sets, groups, percent), sets, percent))
+    groups = components(links.unionByName(rest)) if rest.limit(1).count() else groups
     member = nodes.select("digest", "node").join(groups, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     found = marks.select("doc_id", "n_shingles", "digest").join(member, "digest", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id"))

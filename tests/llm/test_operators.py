@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from collections import Counter
 import random
 import struct
 import zlib
@@ -237,6 +238,54 @@ def test_chain_of_near_copies(spark):
     assert {r["component_id"] for r in found.values()} == {0}
 
 
+def test_scattered_pairs_and_a_star_among_templates(spark):
+    draw = random.Random(11)
+    word = lambda: f"v{draw.randrange(10**9)}"
+
+    def changed(words, n):
+        words = list(words)
+        for at in draw.sample(range(len(words)), n):
+            words[at] = word()
+        return words
+
+    base = [word() for _ in range(200)]
+    rows = [base[:160] + [word() for _ in range(40)] for _ in range(2400)]
+    rows += [changed(rows[k * 20], 17 + k % 4) for k in range(120)]
+    star = [word() for _ in range(200)]
+    rows += [star, *[changed(star, 20) for _ in range(1500)]]
+    draw.shuffle(rows)
+    # Shingles of one word, so the sets are those of the words.
+    names = {w: k for k, w in enumerate(sorted({w for r in rows for w in r}))}
+    shared = [w for w, n in Counter(w for r in rows for w in set(r)).items() if n > 1]
+    column = {names[w]: k for k, w in enumerate(shared)}
+    marks = np.zeros((len(rows), len(shared)), dtype=np.float32)
+    for k, r in enumerate(rows):
+        marks[k, [column[names[w]] for w in set(r) if names[w] in column]] = 1
+    size = np.array([len(set(r)) for r in rows])
+    both = marks @ marks.T
+    links = 100 * both >= 80 * (size[:, None] + size[None, :] - both)
+    np.fill_diagonal(links, True)
+    least = np.arange(len(rows))
+    while True:
+        new = np.where(links, least[None, :], len(rows)).min(axis=1)
+        if (new == least).all():
+            break
+        least = new
+    found = by_id(lsh_forest.near_duplicates(spark.createDataFrame([(k, " ".join(r)) for k, r in enumerate(rows)], "doc_id long, text string"), 1))
+    assert [found[k]["component_id"] for k in range(len(rows))] == least.tolist()
+
+
+def test_parity_maps_never_exceed_the_difference():
+    rng = np.random.default_rng(4)
+    for n in (1, 30, 500, 20000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: n - n // 8], rng.integers(0, 2**63, n // 4).astype(np.uint64)]))
+        x, y = lsh_forest.parity(a), lsh_forest.parity(b)
+        w = min(len(x), len(y))
+        x, y = (np.bitwise_xor.reduce(m.reshape(-1, w), axis=0) for m in (x, y))
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
 def test_toxicity(spark, docs, empty):
     bad = ["idiot", "scum", "moron"]
     rows, marks = [], []
