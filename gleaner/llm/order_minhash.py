@@ -22,6 +22,9 @@ K = 8
 PLACES = 32
 PICKS = 2
 _BLOCK = 8192
+#: A k-mer is told by the other bits of its hash, in texts of any length.
+_PLACE_BITS = np.uint64(24)
+_PLACE_LIMIT = 1 << 24
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -56,12 +59,17 @@ def fingerprint(text: str, k: int = K, places: int = PLACES, picks: int = PICKS)
     n = len(points) - min(k, len(points)) + 1 if len(points) else 0
     if n == 0:
         return np.zeros(places, dtype=np.uint32)
-    # One sort brings equal k-mers together in text order: the low bits hold the place.
-    bits = np.uint64(n.bit_length())
-    at = (np.uint64(1) << bits) - np.uint64(1)
-    order = kmer_hashes(points, k) & ~at | np.arange(n, dtype=np.uint64)
-    order.sort()
-    place, kmer = order & at, order >> bits
+    # One sort brings equal k-mers together in text order: the low bits hold the place. A k-mer has the same bits in every text.
+    at = np.uint64(_PLACE_LIMIT - 1)
+    hashes = kmer_hashes(points, k)
+    if n <= _PLACE_LIMIT:
+        order = hashes & ~at | np.arange(n, dtype=np.uint64)
+        order.sort()
+        place, kmer = order & at, order >> _PLACE_BITS
+    else:
+        hashes >>= _PLACE_BITS
+        place = np.argsort(hashes, kind="stable")
+        kmer = hashes[place]
     first = np.zeros(n, dtype=np.int64)
     new = np.flatnonzero(kmer[1:] != kmer[:-1]) + 1
     first[new] = new

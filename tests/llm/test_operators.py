@@ -137,6 +137,20 @@ def test_order_minhash(spark, docs, empty):
     assert len(alone) == 1 and alone[0]["near_next"] == 1.0
 
 
+@pytest.mark.parametrize("n", [64, 1024, 65536])
+def test_fingerprint_of_one_letter_more_across_a_power_of_two(n):
+    text = prose(n, n)[: n + order_minhash.K - 2]
+    marks = [order_minhash.fingerprint(t) for t in (text, text + "x", text + "xy")]
+    assert order_minhash.likeness(marks[0], marks[1]) > 0.8 and order_minhash.likeness(marks[0], marks[2]) > 0.8
+
+
+def test_fingerprint_of_many_kmers_is_the_same_by_both_sorts(monkeypatch):
+    text = prose(3, 500)
+    mark = order_minhash.fingerprint(text)
+    monkeypatch.setattr(order_minhash, "_PLACE_LIMIT", 100)
+    assert (order_minhash.fingerprint(text) == mark).all()
+
+
 def test_fingerprint_knows_order():
     a, b = prose(1, 100), prose(2, 100)
     same = order_minhash.likeness(order_minhash.fingerprint(a + b), order_minhash.fingerprint(a + b + "x"))
