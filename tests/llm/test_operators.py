@@ -397,6 +397,24 @@ def test_template(spark):
     assert template.main_text(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("<div class='content has-sidebar'>", "</div>"),
+        ("<div id='content' class='no-comments'>", "</div>"),
+        ("<div class='content-sidebar-wrap'><div class=text>", "</div></div>"),
+        ("<div class='sidebar'><article>", "</article></div>"),
+        ("<div class='widget'>", "</div>"),
+    ],
+)
+def test_names_only_propose_what_is_no_article(before, after):
+    page = template.Page(
+        f"<body><div class=menu>home</div>{before}<div class='entry-header'><h1>Headline</h1></div><p>First of two paragraphs.</p>"
+        f"<p>Second one.</p><div class='share'>tell all</div>{after}<div class='related'>more</div></body>"
+    )
+    assert page.text(None, frozenset()) == "Headline First of two paragraphs. Second one."
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(5)
     centre = rng.normal(size=(30, 16))
