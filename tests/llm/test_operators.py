@@ -415,6 +415,20 @@ def test_names_only_propose_what_is_no_article(before, after):
     assert page.text(None, frozenset()) == "Headline First of two paragraphs. Second one."
 
 
+def test_template_of_a_host_with_an_empty_and_an_odd_page(spark):
+    page = "<body><div class=x><p>Story {0} goes on</p><p>Welcome to our site</p></div><div class=y>{1}</div></body>"
+    rows = [(k, f"http://a.com/{k}", page.format(k, "")) for k in range(8)]
+    rows += [(8, "http://a.com/8", None), (9, "http://a.com/9", "<table><tr><td>Index</table>")]
+    # A notice of some pages only is a class of its own.
+    rows += [(20 + k, f"http://b.com/{k}", page.format(k, "One notice" if k % 3 else "")) for k in range(9)]
+    # Copies of a page are one page.
+    rows += [(40 + k, f"http://c.com/{k}", page.format("same" if k < 9 else k, "")) for k in range(14)]
+    found = by_id(template.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id")
+    assert all(found[k]["text"] == f"Story {k} goes on" for k in range(8)) and found[8]["text"] == "" and found[9]["text"] == "Index"
+    assert all(found[20 + k]["text"] == f"Story {k} goes on" for k in range(9))
+    assert all(found[40 + k]["text"] == f"Story {'same' if k < 9 else k} goes on" for k in range(14))
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(5)
     centre = rng.normal(size=(30, 16))
