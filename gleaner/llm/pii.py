@@ -4,11 +4,14 @@ The field scores whole candidate segments of up to `MOST_TOKENS` white-space tok
 lengths of its digit groups, its separators, a check digit, and the word before it. Dynamic programming over the tokens of a
 stretch chooses the boundaries and types jointly; a segment has a bounded number of tokens, so the work is linear in the text.
 The weights maximise the conditional likelihood of labelled stretches, by the forward and backward sums over segmentations.
+Labelled are the base spans, the same rewritten into other forms, and clean numbers and words in their place. A segment of the
+texts that has such a form and is no base span is neither: it takes no part in training.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterable
 
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 from gleaner.llm.common import map_batches, texts
 
 KINDS = ("email", "ip", "card", "phone")
-MOST_TOKENS = 5
+MOST_TOKENS = 7
 #: Texts that training looks at, chosen by the hash of the text.
 TRAINING_TEXTS = 500
 #: Least conditional probability of a segment that is added.
@@ -34,6 +37,15 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _TOKEN = re.compile(r"\S+")
 _DIGIT = re.compile(r"[0-9]")
+_LABEL, _BRACKETED, _WRITTEN = r"[A-Za-z0-9-]+", r"[ ]*[\[({{][ ]*(?:{0})[ ]*[\])}}][ ]*", r"[ ]+{0}[ ]+"
+_DOT = rf"(?:{_WRITTEN.format('dot')}|{_BRACKETED.format('dot|[.]')})"
+#: Addresses with a written at. With an at of two letters alone the dots are written too: `look at index.html` is no address.
+_HIDDEN = re.compile(
+    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?:{_WRITTEN.format('at')}{_LABEL}(?:{_DOT}{_LABEL})+|(?:@|{_BRACKETED.format('at|@')}){_LABEL}(?:(?:[.]|{_DOT}){_LABEL})+)", re.I
+)
+_AT_WORD = re.compile(r"(?<=[A-Za-z0-9 \[({])at(?=[\])} ])", re.I)
+#: Characters of a text around a rewritten span that training sees.
+AROUND = 60
 Span = tuple[int, int, int]
 
 
@@ -84,7 +96,13 @@ def base_spans(text: str) -> list[Span]:
 def stretches(text: str) -> Iterable[list[tuple[int, int]]]:
     """Runs of tokens that could hold personal data, with a token around each run."""
     tokens = [m.span() for m in _TOKEN.finditer(text)]
-    hot = [i for i, (a, b) in enumerate(tokens) if "@" in text[a:b] or _DIGIT.search(text, a, b)]
+    hidden = [m.span() for m in _HIDDEN.finditer(text)] if _AT_WORD.search(text) else []
+    at, hot = 0, []
+    for i, (a, b) in enumerate(tokens):
+        while at < len(hidden) and hidden[at][1] <= a:
+            at += 1
+        if "@" in text[a:b] or _DIGIT.search(text, a, b) or at < len(hidden) and hidden[at][0] < b:
+            hot.append(i)
     run: list[int] = []
     for i in hot:
         if run and i - run[-1] > MOST_TOKENS:
@@ -104,6 +122,10 @@ def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
+def _lengths(groups: list[str]) -> str:
+    return "-".join([str(len(g)) for g in groups[:8]])
+
+
 def features(text: str, start: int, end: int, tokens: int, kind: int) -> list[str]:
     """Features of a whole segment as one entity of `kind`; they say nothing of single tokens."""
     span = text[start:end]
@@ -119,7 +141,10 @@ def features(text: str, start: int, end: int, tokens: int, kind: int) -> list[st
         f"{name}:groups={min(len(groups), 8)}",
         f"{name}:shape={letters[:24]}",
         f"{name}:letters={bool(re.search('[^0-9 ().+-]', span))}",
+        f"{name}:lengths={_lengths(groups)}",
     ]
+    if _HIDDEN.fullmatch(span):
+        out.append(f"{name}:hidden")
     if "@" in span:
         out.append(f"{name}:at={span.count('@')},dot={'.' in span.split('@')[-1]}")
     if span[:1] == "+":
@@ -132,8 +157,8 @@ def features(text: str, start: int, end: int, tokens: int, kind: int) -> list[st
 
 
 def _plausible(span: str) -> bool:
-    """A segment that could be an entity at all: an @, three dots, or the digits of a short phone number."""
-    return len(span) <= 120 and ("@" in span or span.count(".") >= 3 and "0" <= span[0] <= "9" or sum(map(span.count, "0123456789")) >= 9)
+    """A segment that could be an entity at all: an @, written or not, three dots, or the digits of a short phone number."""
+    return len(span) <= 120 and ("@" in span or _AT_WORD.search(span) and _HIDDEN.fullmatch(span) or span.count(".") >= 3 and "0" <= span[0] <= "9" or sum(map(span.count, "0123456789")) >= 9)
 
 
 def _segments(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, int, int, int, list[str]]]:
@@ -163,15 +188,94 @@ def _sums(n: int, segments: list, scores: np.ndarray) -> tuple[np.ndarray, np.nd
     return before, after
 
 
-def train(samples: list[str], rounds: int = 8, step: float = 0.5, shrink: float = 1e-3) -> dict[str, float]:
-    """Weights by gradient ascent on the conditional likelihood of the base spans in the stretches of `samples`."""
+def rewritten(span: str, kind: int, draw: random.Random) -> str:
+    """A base span in a form that is none of the base patterns."""
+    digits = "".join(c for c in span if c.isdigit())
+    if kind == 0:
+        local, domain = span.split("@", 1)
+        at = draw.choice([" at ", " [at] ", " (at) ", "[at]", "(at)"])
+        return local + at + domain.replace(".", draw.choice([" dot ", "[dot]", "(dot)", " [dot] ", *["."] * (at != " at ")]))
+    if kind == 1:
+        return span.replace(".", draw.choice(["[.]", "(.)", " . "]))
+    if kind == 2:
+        return draw.choice(["  ", ".", " - ", "/", "_"]).join([digits[k : k + 4] for k in range(0, len(digits), 4)])
+    code, area, middle, last = digits[:-10], digits[-10:-7], digits[-7:-4], digits[-4:]
+    sep = draw.choice(["-", ".", " ", "/"])
+    plain = draw.choice([f"({area}) {middle}-{last}", f"({area}) {middle} {last}", sep.join([area, middle, last])])
+    return f"{code}{draw.choice(['-', ' ', '.'])}{plain}" if code and draw.random() < 0.4 else plain
+
+
+def clean(span: str, kind: int, draw: random.Random) -> list[str]:
+    """What looks like a rewritten span and is none."""
+    digits = "".join(c for c in span if c.isdigit())
+    number = lambda n: "".join(draw.choices("0123456789", k=n))
+    if kind == 0:
+        return [f"{span.split('@')[0]} at {draw.choice(['the', 'our', 'this'])} place"]
+    if kind == 1:
+        return [f"{draw.randint(256, 999)}[.]{number(3)}[.]{draw.randint(256, 999)}[.]{number(2)}", f"{number(1)}.{number(1)}.{number(2)}-{number(4)}"]
+    if kind == 2:
+        wrong = digits[:-1] + str((int(digits[-1]) + draw.randint(1, 9)) % 10)
+        return [rewritten(wrong, 2, draw), number(len(digits) + 6)]
+    return [
+        number(len(digits)),
+        number(10),
+        f"20{number(2)}-{draw.randint(10, 12)}-{draw.randint(10, 28)} {draw.randint(10, 23)}:{draw.randint(10, 59)}:{draw.randint(10, 59)}",
+        f"{number(3)},{number(3)},{number(3)},{number(3)}",
+        f"{number(5)} {number(5)}",
+    ]
+
+
+def _form(span: str, kind: int) -> tuple[int, str] | None:
+    """What segments of an entity's form have in common; null for those that a check rules out."""
+    groups = re.findall("[0-9]+", span)
+    if kind == 0:
+        return (0, "@") if "@" in span or _HIDDEN.fullmatch(span) else None
+    if re.search("[A-Za-z:,@]", span):
+        return None
+    if kind == 1 and not all(int(g) <= 255 for g in groups if len(g) <= 3) or kind == 2 and not luhn("".join(groups)):
+        return None
+    return kind, _lengths(groups)
+
+
+def labelled(samples: list[str]) -> list[tuple[int, list, np.ndarray]]:
+    """(tokens, segments, which of them are entities) of the stretches of texts and of rewritten and clean ones."""
+    draw = random.Random(7)
+    stated: list[tuple[str, set[Span], int, int]] = []
+    forms: set[tuple[int, str] | None] = set()
+    for text in samples:
+        gold = base_spans(text)
+        for a, b, kind in gold:
+            before, after = text[max(0, a - AROUND) : a], text[b : b + AROUND]
+            # Another span beside this one would be cut or stand unlabelled.
+            before = before if _DIGIT.search(before) is None and "@" not in before else " "
+            after = after if _DIGIT.search(after) is None and "@" not in after else " "
+            new = rewritten(text[a:b], kind, draw)
+            forms.add(_form(new, kind))
+            for words, is_new in [(new, True), (draw.choice(clean(text[a:b], kind, draw)), False)]:
+                at, end = len(before), len(before) + len(words)
+                stated.append((before + words + after, {(*_trimmed(before + words + after, at, end), kind)} if is_new else set(), at, end))
+    forms.discard(None)
     data = []
     for text in samples:
-        gold = {(a, b, k) for a, b, k in base_spans(text)}
+        gold = set(base_spans(text))
+        for tokens in stretches(text):
+            open_ = lambda s: (s[2], s[3], s[4]) not in gold and _form(text[s[2] : s[3]], s[4]) in forms and all(  # noqa: E731, B023
+                s[3] <= a or b <= s[2] for a, b, _ in gold  # noqa: B023
+            )
+            segments = [s for s in _segments(text, tokens) if not open_(s)]
+            if segments:
+                data.append((len(tokens), segments, np.array([(s[2], s[3], s[4]) in gold for s in segments])))
+    for text, gold, a, b in stated:
         for tokens in stretches(text):
-            segments = _segments(text, tokens)
+            segments = [s for s in _segments(text, tokens) if s[2] < b and a < s[3]]
             if segments:
                 data.append((len(tokens), segments, np.array([(s[2], s[3], s[4]) in gold for s in segments])))
+    return data
+
+
+def train(samples: list[str], rounds: int = 8, step: float = 0.5, shrink: float = 1e-3) -> dict[str, float]:
+    """Weights by gradient ascent on the conditional likelihood of the labelled stretches of `samples`."""
+    data = labelled(samples)
     weights: dict[str, float] = {}
     for t in range(rounds):
         rate = step / (1 + t)
@@ -219,7 +323,7 @@ def all_spans(text: str, weights: dict[str, float]) -> tuple[list[Span], list[Sp
     """Base spans, and base spans with the segments of the field that touch none of them."""
     base = base_spans(text)
     found = list(base)
-    if "@" in text or _DIGIT.search(text):
+    if "@" in text or _DIGIT.search(text) or _AT_WORD.search(text):
         for tokens in stretches(text):
             for start, end, kind, sure in decode(text, tokens, weights):
                 if sure >= SURE and all(end <= a or b <= start for a, b, _ in base):
@@ -232,10 +336,11 @@ def written(spans: list[Span]) -> str:
 
 
 def learned_weights(docs: DataFrame, training: int = TRAINING_TEXTS) -> dict[str, float]:
-    """Weights from about `training` texts with a digit group or an @, chosen by hash; a bounded collect."""
+    """Weights from about `training` distinct texts with a digit group or an @, chosen and ordered by hash; a bounded collect."""
     seen = docs.filter(F.col("text").rlike("@[A-Za-z0-9]|[0-9][0-9 .-]{6}")).filter(F.length("text") < 20000)
-    every = max(1, seen.count() // training)
-    chosen = seen.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).select("text").limit(2 * training)
+    every = max(1, seen.agg(F.approx_count_distinct("text")).first()[0] // training)
+    mark = F.xxhash64("text")
+    chosen = seen.filter(F.pmod(mark, F.lit(every)) == 0).select("text").distinct().orderBy(mark, "text").limit(2 * training)
     return train(sorted({r["text"] for r in chosen.collect()}))
 
 

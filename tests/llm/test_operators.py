@@ -347,6 +347,44 @@ def test_field_adds_unseen_forms():
     assert found == base and len(base) == 1
 
 
+def test_field_finds_other_forms_and_leaves_clean_numbers():
+    rng = np.random.default_rng(2)
+    card = lambda d: d + next(c for c in "0123456789" if pii.luhn(d + c))
+    digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    samples = []
+    for i in range(60):
+        c = card("4" + digits(14))
+        samples += [
+            f"call +1 ({rng.integers(200, 999)}) 555-{rng.integers(1000, 9999)} now {WORDS[i % 18]}",
+            f"write to {WORDS[i % 18]}.x{i}@mail{i % 7}.example.com or {WORDS[i % 17]}{i}@post.org soon",
+            f"paid with {c[:4]} {c[4:8]} {c[8:12]} {c[12:]} at the shop",
+            f"host {'.'.join(map(str, rng.integers(1, 255, 4)))} is up, order 12 of {rng.integers(9999)}",
+        ]
+    weights = pii.train(samples)
+    for text, want, kind in [
+        ("please dial (456) 555-2186 today", "(456) 555-2186", 3),
+        ("please dial 456-555-2186 today", "456-555-2186", 3),
+        ("the card 4111  1111  1111  1111 was used", "4111  1111  1111  1111", 2),
+        ("the card 4111.1111.1111.1111 was used", "4111.1111.1111.1111", 2),
+        ("ask bob at mail dot com for it", "bob at mail dot com", 0),
+        ("ask bob [at] mail [dot] com for it", "bob [at] mail [dot] com", 0),
+        ("ping 10[.]20[.]30[.]40 first", "10[.]20[.]30[.]40", 1),
+    ]:
+        base, found = pii.all_spans(text, weights)
+        assert base == [] and [(text[a:b], k) for a, b, k in found] == [(want, kind)], text
+    for text in [
+        "order 4565552186 was sent",
+        "the card 4111.1111.1111.1112 was used",
+        "on 2024-11-15 10:30:45 it ran",
+        "about 123,456,789,012 people",
+        "look at the place and stay",
+        "we met at 10.30 in the park",
+        "look at index.html first",
+        "ping 910[.]320[.]330[.]440 first",
+    ]:
+        assert pii.all_spans(text, weights) == ([], []), text
+
+
 @pytest.mark.parametrize("text", ["a@b@c.d x@y.z.", "1.2.3.4.5 999.1.1.1 0001.2.3.4", "x" * 50 + "@q.r @a.b a@.c", "4111 1111 1111 1111 5" * 3])
 def test_base_spans_as_patterns(text):
     want = [(m.start(), m.end(), 0) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
