@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,6 +38,8 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _INNER = re.compile(r"(?<=[^\W\d_])[\d@$*.!_-]+(?=[^\W\d_])")
 _LEET = str.maketrans("013457@$!", "oieastasi")
+# Every code point that str.isupper knows as a capital, in any script.
+_CAPITAL = re.compile(f"[{''.join([re.escape(chr(c)) for c in range(sys.maxunicode + 1) if chr(c).isupper()])}]")
 _PUNCTUATION = re.compile(r"[!?.,;:*#%&$]")
 # Words that address the reader, in the languages of the texts.
 SECOND_PERSON = frozenset(
@@ -151,7 +154,7 @@ class Measure:
             near = int((np.minimum(left, right) <= NEAR).sum())
         n = max(1, len(tokens))
         size = max(1, len(text))
-        upper = sum(map(str.isupper, text)) if len(text) < 2000 else len(re.findall(r"[A-ZÀ-ÖØ-Þ]", text))
+        upper = len(_CAPITAL.findall(text))
         strongest = max((max(known[tokens[i]][:2]) for i in hits), default=0.0)
         return [
             len(hits) / n,

@@ -327,6 +327,13 @@ def test_toxicity(spark, docs, empty):
     assert len(none) == len(TEXTS) and {r["score"] for r in none} == {0.0}
 
 
+@pytest.mark.parametrize("word", ["ПРИВЕТ ", "ΚΑΛΗΜΕΡΑ ", "ŻÓŁĆ ", "HELLO "])
+def test_capitals_are_the_same_in_texts_of_any_length(word):
+    measure = toxicity.Measure({})
+    short, long = measure(word * 10), measure(word * 1000)
+    assert short[7] == long[7] == (len(word) - 1) / len(word)
+
+
 def test_personal_data(docs, empty):
     found = by_id(pii.personal_data(docs))
     text = text_of(12)
