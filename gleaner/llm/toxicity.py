@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
@@ -38,8 +38,8 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _INNER = re.compile(r"(?<=[^\W\d_])[\d@$*.!_-]+(?=[^\W\d_])")
 _LEET = str.maketrans("013457@$!", "oieastasi")
-# Every code point that str.isupper knows as a capital, in any script.
-_CAPITAL = re.compile(f"[{''.join([re.escape(chr(c)) for c in range(sys.maxunicode + 1) if chr(c).isupper()])}]")
+# Capitals of every script.
+_CAPITAL = regex.compile(r"\p{Uppercase}")
 _PUNCTUATION = re.compile(r"[!?.,;:*#%&$]")
 # Words that address the reader, in the languages of the texts.
 SECOND_PERSON = frozenset(
