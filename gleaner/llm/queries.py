@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, column_bwt, hnsw, lsh_forest, packing, pii, secrets, template, toxicity
+from gleaner.llm import bpe, column_bwt, hnsw, language, lsh_forest, packing, pii, secrets, spelling, template, toxicity, whitening
 from gleaner.llm import order_minhash as omh
 from gleaner.llm.common import documents
 from gleaner.session import spread
@@ -75,3 +75,19 @@ def op9_hnsw(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_bpe_pair_index(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.bpe_digests(documents(spark, folder), VOCABULARY)
+
+
+@query
+def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spread(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang"))
+    return language.language(docs).drop("n_words")
+
+
+@query
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(_table(spark, folder, "embeddings"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, folder))
