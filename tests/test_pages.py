@@ -1,4 +1,6 @@
 import json
+import random
+import math
 from collections import defaultdict
 
 import pytest
@@ -255,6 +257,41 @@ def test_ngram_search(spark):
     assert reference_similarity("leeds", "leeds uk", 3) == 5 / 12
 
 
+def test_index_posts_no_gram_that_all_terms_hold(spark):
+    terms = [f"{a}{b} limited company" for a in ("north", "south", "east", "west") for b in ("gate", "field", "moor", "wick", "ham")]
+    index = K.GramIndex(spark.createDataFrame([(t,) for t in terms], "term string"))
+    held = {r.token: r.held for r in index.frequency.collect()}
+    common = {t for t, n in held.items() if n == len(terms)}
+    posted = {r.token for r in index.postings.collect()}
+    sizes = [len(t) + 2 for t in terms]
+    dropped = min(math.ceil(0.2 * s - 1e-9) - 1 for s in sizes)
+    assert len(common) > 15 and len(common - posted) >= dropped > 3
+    # At a higher bound a term posts its rarest grams alone.
+    keys = index.keys(spark.createDataFrame([("northgate limited company",)], "t string"), "t")
+    matched = index.matches(keys, 0.8)
+    assert [r.similarity for r in matched.collect()] == [1.0]
+    text = matched._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.2, 0.35, 0.5, 0.8, 1.0])
+def test_index_loses_no_pair(spark, threshold):
+    draw = random.Random(int(threshold * 10))
+    words = ["".join(draw.choices("abc ", k=draw.randint(1, 25))) for _ in range(90)]
+    texts = spark.createDataFrame([(i, w) for i, w in enumerate(words)] + [(99, None)], "id int, text string")
+    terms = spark.createDataFrame([(w,) for w in words[:60]] + [(None,)], "term string")
+    got = {(r.id, r.term): r.similarity for r in K.ngram_search(texts, ["id"], "text", terms, 3, threshold).collect()}
+    want = {(i, t): reference_similarity(w, t, 3) for i, w in enumerate(words) for t in words[:60]}
+    assert got == {k: v for k, v in want.items() if v >= threshold and v > 0}
+
+
+def test_empty_dictionary(spark):
+    texts = spark.createDataFrame([(1, "leeds")], "id int, text string")
+    nothing = spark.createDataFrame([], "term string")
+    assert K.ngram_search(texts, ["id"], "text", nothing).count() == 0
+    assert K.fuzzy_field(parsed(spark, "<p>leeds</p>"), nothing).count() == 0
+
+
 def test_fuzzy_field(spark):
     df = parsed(spark, "<div><p>Leed</p><p>Leeds</p><b>Leeds</b></div>", "<p>nothing alike</p>")
     terms = spark.createDataFrame([("leeds uk",), ("leeds",), ("Leeds",)], "term string")
