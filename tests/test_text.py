@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from datetime import datetime
 from urllib.parse import urljoin
 
@@ -51,6 +52,32 @@ def test_empty_tags_go_at_any_depth(one):
     assert one(T.remove_empty_tags(F.lit(deep + "end"))) == "end"
 
 
+def test_empty_tags_take_time_in_proportion(spark):
+    texts = {
+        "nested": "<div>" * 10_000 + "</div>" * 10_000,
+        "flat": "<b></b>" * 100_000,
+        "full": "<b>x</b>" * 100_000,
+        "void": "<br>" * 100_000 + "</p>",
+        "open": "<p>x" * 100_000 + "</p>",
+    }
+    rows = spark.createDataFrame(list(texts.items()), "name string, html string").repartition(5)
+    start = time.time()
+    left = {r.name: r.left for r in rows.select("name", T.remove_empty_tags(F.col("html")).alias("left")).collect()}
+    # A pass over the text per pair took minutes.
+    assert time.time() - start < 40
+    assert left == {k: "" if k in ("nested", "flat") else v for k, v in texts.items()}
+
+
+@few
+@given(st.lists(st.sampled_from(["<b>", "</b>", "<bx a='1'>", "</bx>", "<br>", " ", "&nbsp;", "x", "\n", "</B>", "</b >", ">", "\xa0", "\x01", "<i <b>"]), max_size=40))
+def test_tags_are_reduced_as_the_pattern_would(one, parts):
+    pattern = re.compile("<([a-zA-Z]*)[^>]*?>(?:[ \\t\\n\\x0b\\f\\r\xa0\xc2]|&nbsp;)*</\\1>")
+    expected, before = "".join(parts), None
+    while before != expected:
+        before, expected = expected, pattern.sub("", expected)
+    assert one(T.remove_empty_tags(F.lit("".join(parts)))) == expected
+
+
 @few
 @given(st.text(alphabet="<>/bip &;nsx", max_size=60))
 def test_remove_empty_tags_is_a_fixpoint(one, html):
