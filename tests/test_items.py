@@ -165,8 +165,11 @@ def test_url_feed(spark, tmp_path):
     path.write_text(" http://www.a.com/\t\nhttps://a.com/\nhttps://taleo.net/\nhttps://gone.com/\nhttps://new.com/\n")
     feed = files.scan_url_feed(spark, str(path))
     known = spark.createDataFrame([("https://gone.com/", 404), ("https://a.com/", 200)], "url string, status int")
-    kept = P.clean_url_feed(feed, known).orderBy("line_no").collect()
+    kept = P.clean_url_feed(feed, known, P.SKIP_URLS).orderBy("line_no").collect()
     assert [r.url for r in kept] == ["https://a.com/", "https://new.com/"]
+    # Nothing is skipped unless it is listed.
+    whole = P.clean_url_feed(feed, known).orderBy("line_no").collect()
+    assert [r.url for r in whole] == ["https://a.com/", "https://taleo.net/", "https://new.com/"]
     skip = spark.createDataFrame([("https://new.com/",)], "url string")
     assert P.clean_url_feed(feed, known, skip).count() == 2
 
