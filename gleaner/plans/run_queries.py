@@ -113,13 +113,9 @@ def preview_cutoff(spark, folder):
 )
 def preview_stream(spark, folder):
     path = scratch(spark, "preview")
-
-    def write(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    stream = _event_stream(spark, folder)
-    _drain(L.preview_stream(stream, "user_id", [F.asc("ts")], 4, path + "-state", write), path + "-checkpoint")
-    return spark.read.parquet(path).select("event_id", "user_id")
+    kept = L.preview_stream(_event_stream(spark, folder), "user_id", "ts", ["ts"], 4).select("event_id", "user_id")
+    _drain(kept.writeStream.format("parquet").option("path", path), path + "-checkpoint")
+    return spark.read.schema(kept.schema).parquet(path)
 
 
 @query(
@@ -130,14 +126,10 @@ def preview_stream(spark, folder):
 )
 def stale_crawl_stream(spark, folder):
     path = scratch(spark, "stale")
-
-    def write(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
     stream = _event_stream(spark, folder)
-    writer = L.stale_crawl_stream(stream, "user_id", "ts", F.expr(IS_ITEM), F.expr(LIMIT), path + "-state", write)
-    _drain(writer, path + "-checkpoint")
-    return spark.read.parquet(path).select("event_id", "rejected")
+    done = L.stale_crawl_stream(stream, "user_id", "ts", F.expr(IS_ITEM), F.expr(LIMIT)).select("event_id", "rejected")
+    _drain(done.writeStream.format("parquet").option("path", path), path + "-checkpoint")
+    return spark.read.schema(done.schema).parquet(path)
 
 
 @query(
@@ -148,10 +140,8 @@ def stale_crawl_stream(spark, folder):
 def live_rollup(spark, folder):
     path = scratch(spark, "rollup")
     rollup = L.live_rollup(_event_stream(spark, folder), "ts", ["event_type", "user_id"], "1 day")
-    _drain(L.write_updates(rollup, path), path + "-checkpoint")
-    keys = ["window_start", "field", "value"]
-    latest = L.latest_updates(spark.read.parquet(path), keys)
-    return latest.select(F.unix_micros("window_start").alias("window_us"), "field", "value", "n")
+    _drain(L.write_updates(rollup, path, ["window_start", "field", "value"]), path + "-checkpoint")
+    return spark.read.schema(rollup.schema).parquet(path).select(F.unix_micros("window_start").alias("window_us"), "field", "value", "n")
 
 
 @query(
@@ -166,9 +156,8 @@ def live_missing_counts(spark, folder):
     kind = F.when(F.col("event_type") != "error", F.col("event_type")).otherwise("")
     worth = F.when(F.col("value") >= 10, F.col("value").cast("string"))
     counts = L.live_missing_counts(stream.select("ts", kind.alias("kind"), worth.alias("worth")), "ts", ["kind", "worth"], "1 day")
-    _drain(L.write_updates(counts, path), path + "-checkpoint")
-    latest = L.latest_updates(spark.read.parquet(path), ["window_start", "field"])
-    return latest.select(F.unix_micros("window_start").alias("window_us"), "field", "n")
+    _drain(L.write_updates(counts, path, ["window_start", "field"]), path + "-checkpoint")
+    return spark.read.schema(counts.schema).parquet(path).select(F.unix_micros("window_start").alias("window_us"), "field", "n")
 
 
 @query("idempotent_items", "SELECT user_id, event_id FROM events")
@@ -182,7 +171,9 @@ def idempotent_items(spark, folder):
 
 @query(
     "stop_after_drain",
-    "SELECT user_id, count(*) FILTER (WHERE event_type <> 'purchase') AS n_items, count(*) FILTER (WHERE event_type = 'purchase') AS n_stops FROM events GROUP BY user_id",
+    """WITH m AS (SELECT user_id, event_type = 'purchase' AS stop, ts < (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE AS passed FROM events)
+       SELECT user_id, count(*) FILTER (WHERE NOT stop) AS n_items, count(*) FILTER (WHERE stop AND passed) AS n_stops FROM m
+       GROUP BY user_id HAVING count(*) FILTER (WHERE NOT stop OR passed) > 0""",
 )
 def stop_after_drain(spark, folder):
     path = scratch(spark, "drain")
@@ -190,8 +181,9 @@ def stop_after_drain(spark, folder):
     def to(kind):
         return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/kind={kind}/batch_id={batch_id}")
 
-    writer = L.stop_after_drain(_event_stream(spark, folder), F.col("event_type") == "purchase", to("item"), to("stop"))
-    _drain(writer, path + "-checkpoint")
+    stream, is_stop = _event_stream(spark, folder), F.col("event_type") == "purchase"
+    _drain(L.stop_after_drain(stream, "user_id", "ts", is_stop, to("item"), to("stop")), path + "-checkpoint")
+    # Stops of the last ten minutes wait for a watermark that passes them.
     delivered = spark.read.parquet(path).groupBy("user_id")
     return delivered.agg(
         F.count_if(F.col("kind") == "item").alias("n_items"), F.count_if(F.col("kind") == "stop").alias("n_stops")

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from datetime import timedelta
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from gleaner.operators.joins import lookup_join
-from gleaner.operators.rollups import top_per_group
-from gleaner.operators.runs import stale_crawl_filter
-from gleaner.streaming.state import BatchState
+from gleaner.session import cut_lineage
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -37,18 +37,34 @@ def live_missing_counts(items: DataFrame, ts: str, fields: Sequence[str], window
     return counted.select(F.col("w.start").alias("window_start"), "field", "n")
 
 
-def write_updates(rollup: DataFrame, folder: str) -> DataStreamWriter:
-    """Write only the rows each micro-batch changed, one folder per batch, so a repeated batch replaces itself."""
+def merge_updates(changed: DataFrame, folder: str, keys: Sequence[str], window: str = "window_start", first: bool = False) -> None:
+    """Put changed rows in place of those with the same keys in a table with a folder per window.
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
-
-    return rollup.writeStream.outputMode("update").foreachBatch(sink)
-
-
-def latest_updates(updates: DataFrame, keys: Sequence[str], value: str = "n") -> DataFrame:
-    """The last written value of each key."""
-    return updates.groupBy(*keys).agg(F.max_by(value, "batch_id").alias(value))
+    Only the windows of the changed rows are read and written again.
+    """
+    changed = cut_lineage(changed)
+    if changed.isEmpty():
+        return
+    if first:
+        merged = changed
+    else:
+        known = changed.sparkSession.read.schema(changed.schema).parquet(folder)
+        known = known.join(changed.select(window).distinct(), window, "left_semi")
+        merged = changed.unionByName(known.join(changed, list(keys), "left_anti").select(*changed.columns))
+    # Written before its folders are replaced.
+    merged = cut_lineage(merged.repartition(window, *[k for k in keys if k != window][:1]))
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(window).parquet(folder)
+
+
+def write_updates(rollup: DataFrame, folder: str, keys: Sequence[str], window: str = "window_start") -> DataStreamWriter:
+    """Keep a table of one row per key, a folder per window, current with the rows that each micro-batch changed.
+
+    A window behind the watermark changes no more, so it is never touched again. A repeated micro-batch brings the same rows
+    and leaves the same table.
+    """
+    return rollup.writeStream.outputMode("update").foreachBatch(
+        lambda batch, batch_id: merge_updates(batch, folder, keys, window, first=batch_id == 0)
+    )
 
 
 def stale_run_sessions(messages: DataFrame, run: str, ts: str, is_stop: Column, gap: str = STALE_GAP, delay: str = "1 minute") -> DataFrame:
@@ -68,22 +84,86 @@ def idempotent_items(
     Copies of one item may be a third of the stream, so they are first dropped within a few salts of the key
     and only what is left of them meets in one task.
     """
-    salted = items.withWatermark(ts, delay).withColumn("_salt", F.spark_partition_id() % salts)
+    # Drawn row by row, so few tasks use all salts too, and alike when a task runs again; the draw changes no result.
+    salted = items.withWatermark(ts, delay).withColumn("_salt", F.floor(F.rand(7) * salts))
     once_per_salt = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
     return once_per_salt.dropDuplicatesWithinWatermark(list(keys))
 
 
-def stop_after_drain(messages: DataFrame, is_stop: Column, write_items: Sink, write_stops: Sink) -> DataStreamWriter:
-    """Deliver the items of a micro-batch before its stop records, so no run stops ahead of its items."""
+# Rows pass a state function as JSON texts, exact in every type.
+_EXACT = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "ignoreNullFields": "false",
+}
+
+
+def _packed(rows: DataFrame, ts: str, delay: str, **more: Column) -> DataFrame:
+    """The event time with its watermark, the same in microseconds, the whole row as one text, and `more`."""
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), _EXACT)
+    marked = rows.withColumns({"_row": row, "_us": F.unix_micros(F.col(ts).cast("timestamp")), **more})
+    if dict(rows.dtypes)[ts] != "timestamp":
+        marked = marked.withColumn(ts, F.col(ts).cast("timestamp"))
+    return marked.withWatermark(ts, delay)
+
+
+def _unpacked(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows as they were, with the columns that the state function added."""
+    added = [c for c in found.columns if c != "_row"]
+    return found.select(F.from_json("_row", rows.schema, _EXACT).alias("_row"), *added).select("_row.*", *added)
+
+
+def held_stops(messages: DataFrame, run: str, ts: str, is_stop: Column, delay: str = "10 minutes") -> DataFrame:
+    """The stop records of a stream, each held until the watermark has passed it.
+
+    Only stops are kept as state, by run, with a timer at the last of them; then they are sent and the run is forgotten.
+    A stop that is itself later than `delay` is dropped, as a watermark does; one without a time is not among them.
+    """
+    # The condition looks at the time, as one that does not would be pushed below the watermark, which then saw stops alone.
+    timed_stop = F.when(F.col(ts).isNotNull(), F.coalesce(is_stop, F.lit(False))).otherwise(F.lit(False))
+    stops = _packed(messages, ts, delay).filter(timed_stop).select(run, ts, "_us", "_row")
+
+    def hold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            [rows] = state.get
+            state.remove()
+            yield pd.DataFrame({"_row": rows})
+            return
+        rows, last = list(state.get[0]) if state.exists else [], 0
+        for batch in batches:
+            rows += batch["_row"].tolist()
+            last = max(last, int(batch["_us"].max()) // 1000)
+        state.update((rows,))
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs() + 1))
+
+    found = stops.groupBy(run).applyInPandasWithState(
+        hold, "_row string", "rows array<string>", "append", GroupStateTimeout.EventTimeTimeout
+    )
+    return _unpacked(found, messages)
+
+
+def stop_after_drain(
+    messages: DataFrame, run: str, ts: str, is_stop: Column, write_items: Sink, write_stops: Sink, delay: str = "10 minutes"
+) -> DataStreamWriter:
+    """Deliver items as they arrive and a stop record only after all items of its run that are at most `delay` late.
+
+    Items pass no state, so a run with most of them is spread as it was read and none of them is dropped; within a micro-batch
+    they are written before the stops that go out with it. A stop without a time goes out at once.
+    """
+    stopped = F.coalesce(is_stop, F.lit(False))
+    items = messages.withColumn("_stop", stopped).filter(~F.col("_stop") | F.col(ts).isNull())
+    stops = held_stops(messages, run, ts, is_stop, delay).withColumn("_stop", F.lit(True))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # Kept for both writes; a lost executor only means reading its part of the batch again.
-        marked = batch.withColumn("_stop", F.coalesce(is_stop, F.lit(False))).persist()
-        write_items(marked.filter("NOT _stop").drop("_stop"), batch_id)
-        write_stops(marked.filter("_stop").drop("_stop"), batch_id)
-        marked.unpersist()
+        batch.persist()
+        try:
+            write_items(batch.filter("NOT _stop").drop("_stop"), batch_id)
+            write_stops(batch.filter("_stop").drop("_stop"), batch_id)
+        finally:
+            batch.unpersist()
 
-    return messages.writeStream.foreachBatch(sink)
+    return items.unionByName(stops).writeStream.foreachBatch(sink)
 
 
 def write_items_stream(items: DataFrame, folder: str, route: str | None = None) -> DataStreamWriter:
@@ -93,30 +173,33 @@ def write_items_stream(items: DataFrame, folder: str, route: str | None = None)
 
 
 def stale_crawl_stream(
-    messages: DataFrame, run: str, ts: str, is_item: Column, limit: Column, state_folder: str, write: Sink
-) -> DataStreamWriter:
-    """The stale-crawl filter on a stream; the last item time of each run is carried between micro-batches.
+    messages: DataFrame, run: str, ts: str, is_item: Column, limit: Column, delay: str = "10 minutes", forget: timedelta = timedelta(days=7)
+) -> DataFrame:
+    """The stale-crawl filter on a stream; the time of the first message or last item of each run is kept as state.
 
-    Every micro-batch runs the batch filter, so a run with most of the messages is spread over its hours.
+    A micro-batch is taken in the order of its times. A run that is silent for `forget` behind the watermark has ended and
+    leaves the state; a message later than `delay` is dropped, as a watermark does.
     """
-    kinds = f"{run} {messages.schema[run].dataType.simpleString()}, seen {messages.schema[ts].dataType.simpleString()}"
-    state = BatchState(messages.sparkSession, state_folder, kinds)
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        before = state.read(batch_id)
-        known = before.select(run, F.col("seen").alias(ts), F.lit(True).alias("_item"), F.lit(0).cast("bigint").alias("_limit"))
-        arrived = batch.withColumns({"_item": is_item, "_limit": limit.cast("bigint")}).persist()
-        both = arrived.unionByName(known, allowMissingColumns=True)
-        write(stale_crawl_filter(both, run, ts, F.col("_item"), F.col("_limit")), batch_id)
-        latest = arrived.groupBy(run).agg(
-            F.max(F.when(F.col("_item"), F.col(ts))).alias("item"), F.min(ts).alias("first")
-        )
-        joined = before.join(latest, run, "full_outer")
-        seen = F.greatest(F.coalesce("seen", "first"), F.col("item"))
-        state.write(batch_id, joined.select(run, seen.alias("seen")))
-        arrived.unpersist()
-
-    return messages.writeStream.foreachBatch(sink)
+    marked = _packed(messages, ts, delay, _item=F.coalesce(is_item, F.lit(False)), _limit=limit.cast("bigint"))
+    kept = forget // timedelta(milliseconds=1)
+
+    def watch(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(batches)).sort_values(["_us", "_item"], ascending=[True, False], kind="stable")
+        start = state.get[0] if state.exists else int(rows["_us"].iloc[0])
+        seen = rows["_us"].where(rows["_item"]).cummax().ffill().fillna(start).clip(lower=start)
+        state.update((int(seen.iloc[-1]),))
+        state.setTimeoutTimestamp(max(int(rows["_us"].iloc[-1]) // 1000 + kept, state.getCurrentWatermarkMs() + 1))
+        late = (rows["_limit"] > 0) & (rows["_us"] - seen > rows["_limit"] * 1_000_000)
+        found = pd.DataFrame({"_row": rows["_row"], "rejected": late.fillna(False).astype(bool)})
+        yield found[~rows["_item"].astype(bool)]
+
+    found = marked.select(run, ts, "_us", "_item", "_limit", "_row").groupBy(run).applyInPandasWithState(
+        watch, "_row string, rejected boolean", "seen bigint", "append", GroupStateTimeout.EventTimeTimeout
+    )
+    return _unpacked(found, messages)
 
 
 def time_limit_stream(requests: DataFrame, runs: DataFrame, run: str, ts: str) -> DataFrame:
@@ -126,21 +209,34 @@ def time_limit_stream(requests: DataFrame, runs: DataFrame, run: str, ts: str) -
     return joined.filter(F.col("end_time").isNull() | (F.col(ts) <= F.col("end_time"))).drop("end_time")
 
 
-def preview_stream(items: DataFrame, run: str, order: Sequence[Column], max_jobs: int, state_folder: str, write: Sink) -> DataStreamWriter:
-    """The preview cutoff on a stream; how many items each run has had is carried between micro-batches. 0 has no end."""
-    if max_jobs <= 0:
-        return items.writeStream.foreachBatch(write)
-    kinds = f"{run} {items.schema[run].dataType.simpleString()}, taken bigint"
-    state = BatchState(items.sparkSession, state_folder, kinds)
+def preview_stream(
+    items: DataFrame, run: str, ts: str, order: Sequence[str], max_jobs: int, delay: str = "10 minutes", forget: timedelta = timedelta(days=7)
+) -> DataFrame:
+    """The preview cutoff on a stream: the first `max_jobs` items of each run, by `order` within a micro-batch. 0 has no end.
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        before, batch = state.read(batch_id), batch.persist()
-        ranked = lookup_join(top_per_group(batch, [run], order, max_jobs), before, [run])
-        accepted = ranked.filter(F.coalesce("taken", F.lit(0)) + F.col("rank") <= max_jobs).drop("taken", "rank")
-        write(accepted, batch_id)
-        counts = batch.groupBy(run).agg(F.count("*").alias("n"))
-        total = F.least(F.coalesce("taken", F.lit(0)) + F.coalesce("n", F.lit(0)), F.lit(max_jobs))
-        state.write(batch_id, before.join(counts, run, "full_outer").select(run, total.cast("bigint").alias("taken")))
-        batch.unpersist()
-
-    return items.writeStream.foreachBatch(sink)
+    How many items a run has had is kept as state; no more than `max_jobs` rows of a run are held at a time. A run that is
+    silent for `forget` behind the watermark leaves the state; an item later than `delay` is dropped, as a watermark does.
+    """
+    if max_jobs <= 0:
+        return items
+    marked = _packed(items, ts, delay)
+    places = [f"_place{i}" for i in range(len(order))]
+    marked = marked.select(run, ts, "_us", "_row", *[F.col(c).alias(p, metadata={}) for c, p in zip(order, places)])
+    kept = forget // timedelta(milliseconds=1)
+
+    def take(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        taken = state.get[0] if state.exists else 0
+        first, last = None, 0
+        for batch in batches:
+            last = max(last, int(batch["_us"].max()) // 1000)
+            first = batch if first is None else pd.concat([first, batch])
+            first = first.sort_values(places, kind="stable", na_position="first").head(max_jobs - taken)
+        state.update((taken + len(first),))
+        state.setTimeoutTimestamp(max(last + kept, state.getCurrentWatermarkMs() + 1))
+        yield first[["_row"]]
+
+    found = marked.groupBy(run).applyInPandasWithState(take, "_row string", "taken bigint", "append", GroupStateTimeout.EventTimeTimeout)
+    return _unpacked(found, items)
