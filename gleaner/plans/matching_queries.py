@@ -11,6 +11,7 @@ from gleaner.operators.elements import TREE_FIELDS, node_text, parse_pages
 from gleaner.plans.inputs import pages
 from gleaner.plans.page_queries import LINKS_SQL
 from gleaner.plans.registry import query
+from gleaner.plans.tree_sql import REMAINING_SQL, REMOVED_SQL, TREE_SQL
 from gleaner.sources.tables import table
 
 
@@ -26,7 +27,13 @@ def best_element(spark, folder):
     return scored.select("page_id", node_text(F.col("best.node")).alias("label"), F.col("best.score").alias("score"))
 
 
-@query("description_score")
+@query(
+    "description_score",
+    f"""WITH {TREE_SQL}, s AS (SELECT *, CAST(length(text) AS DOUBLE) * length(text) / html_len AS score FROM tree
+          WHERE tag NOT IN ('html', 'body', 'head', 'script') AND length(text) > 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, node_id) AS rn FROM s)
+        SELECT page_id, score, tag, path, text AS description FROM r WHERE rn = 1""",
+)
 def description_score(spark, folder):
     fields = (*TREE_FIELDS, "html_len", "path")
     parsed = parse_pages(pages(spark, folder), keep=["page_id"], fields=fields)
@@ -77,7 +84,18 @@ def ngram_titles(spark, folder):
     return K.ngram_search(texts, ["s_suppkey"], "text", terms, K.TITLE_N)
 
 
-@query("fuzzy_field")
+@query(
+    "fuzzy_field",
+    f"""WITH {TREE_SQL}, words AS (SELECT DISTINCT unnest(string_split_regex(text, '[\\s.,]+')) AS term FROM benchmark),
+        terms AS (SELECT term FROM words WHERE term <> ''), texts AS (SELECT DISTINCT lower(text) AS label FROM tree
+          WHERE length(text) + 2 <= 5 * (SELECT max(length(term)) + 2 FROM terms)),
+        {_grams_sql('a', 'texts', 'label', 'label', 3)}, {_grams_sql('b', 'terms', 'term', 'term', 3)},
+        p AS (SELECT label, term, count(*) / (a.size + b.size - count(*)) AS similarity FROM a JOIN b ON a.gram = b.gram AND a.seen = b.seen
+          GROUP BY label, term, a.size, b.size HAVING similarity >= 0.2),
+        r AS (SELECT page_id, node_id, tag, p.term, similarity, row_number() OVER (PARTITION BY page_id ORDER BY similarity DESC, node_id, p.term) AS rn
+          FROM tree JOIN p ON lower(tree.text) = p.label)
+        SELECT page_id, node_id, tag, term, similarity FROM r WHERE rn = 1""",
+)
 def fuzzy_field(spark, folder):
     words = table(spark, folder, "benchmark").select(F.explode(F.split("text", r"[\s.,]+")).alias("term")).filter("term <> ''")
     return K.fuzzy_field(parse_pages(pages(spark, folder), keep=["page_id"]), words)
@@ -87,11 +105,11 @@ def _by_host(spark, folder):
     return pages(spark, folder).withColumn("host", url_host(F.col("url")))
 
 
-@query("remove_boilerplate")
+@query("remove_boilerplate", REMAINING_SQL)
 def remove_boilerplate(spark, folder):
     return B.remove_boilerplate(_by_host(spark, folder))
 
 
-@query("boilerplate_elements")
+@query("boilerplate_elements", REMOVED_SQL)
 def boilerplate_elements(spark, folder):
     return B.boilerplate_elements(_by_host(spark, folder))

@@ -17,6 +17,7 @@ from gleaner.operators.rollups import top_per_group
 from gleaner.operators.selectors import Page, Sel
 from gleaner.plans.inputs import BODY_SQL, ITEMS_SQL, items, pages
 from gleaner.plans.registry import query
+from gleaner.plans.tree_sql import TREE_SQL
 from gleaner.session import spread
 from gleaner.sources.tables import table
 
@@ -59,6 +60,18 @@ def explode_elements(spark, folder):
     )
 
 
+@query(
+    "element_tree",
+    f"""WITH {TREE_SQL} SELECT page_id, node_id, parent_id, last_id, depth, ord, tag_ord, tag, text, html_len, path,
+           replace(regexp_extract(t, ' (lang|charset|href|class)="([^"]*)"', 2), '&amp;', '&') AS attr FROM tree""",
+)
+def element_tree(spark, folder):
+    rows = E.explode_elements(pages(spark, folder))
+    attr = F.coalesce(*[F.col("attrs")[name] for name in ("lang", "charset", "href", "class")], F.lit(""))
+    columns = ("page_id", "node_id", "parent_id", "last_id", "depth", "ord", "tag_ord", "tag", "text", "html_len", "path")
+    return rows.select(*columns, attr.alias("attr"))
+
+
 @query("page_body_text", f"WITH {BODY_SQL} SELECT page_id, body_text FROM body")
 def page_body_text(spark, folder):
     return E.parse_pages(pages(spark, folder), keep=["page_id"]).select("page_id", E.body_text().alias("body_text"))

@@ -87,7 +87,7 @@ def main() -> None:
         except Exception as error:  # noqa: BLE001
             problem = outcome = f"{type(error).__name__}: {str(error)[:1200]}"
         bad += problem is not None
-        print(f"{name:32s} {time.time() - start:6.2f}s {outcome}", flush=True)
+        print(f"\n{name:32s} {time.time() - start:6.2f}s {outcome}", flush=True)
     print(f"{len(chosen)} queries, {bad} bad")
     sys.exit(bad > 0)
 
