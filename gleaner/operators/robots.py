@@ -1,16 +1,18 @@
 """Robots rules as tables, and decisions as a join on the host.
 
-A robots text is at small: crawlers read 100 KiB, so the lines and rules of one host are bounded. The groups are read once
-per host and kept nested in one row; a request meets one row of its host and finds the first matching rule
-inside it, so no request is multiplied by the rules.
+The groups of a host are kept nested in one row. For the asked agents, all at once, the group of each is chosen and its rules are
+made into matchers: the literal parts between wildcards, found one after another. A request meets the one row of its host and
+finds the first matching rule inside it, so no request is multiplied by rules or agents, and no pattern is built for a request.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.functions.text import let, strip
+from gleaner.functions.text import strip
 from gleaner.functions.urls import netloc, unquote, url_path, url_tail
 from gleaner.operators.joins import lookup_join
 from gleaner.session import cut_lineage
@@ -97,64 +99,98 @@ def sitemaps(robots: DataFrame, host: str = "host", body: str = "body", fetched:
     return named.select(host, "line_no", F.col("data").alias("sitemap"))
 
 
-def _first_group(groups: DataFrame, host: str, user_agent: str, relaxed: bool) -> DataFrame:
-    """The group that counts for one user agent, one row per host; written once for the size check and the join."""
+def _names(user_agent: str, relaxed: bool) -> Column:
+    """Whether a group is meant for a user agent."""
     if relaxed:
         token = F.lit(user_agent.split("/")[0].lower())
-        names = F.exists("agents", lambda a: (a == "*") | F.contains(token, F.substring_index(F.lower(a), "/", 1)))
-    else:
-        token = F.lit(user_agent.lower())
-        names = F.exists("agents", lambda a: (a == "*") | F.contains(token, F.lower(a)))
-    chosen = F.min_by(F.struct("rules", "crawl_delay"), "group_no").alias("_group")
-    return cut_lineage(groups.filter(names).groupBy(host).agg(chosen))
+        return F.exists("agents", lambda a: (a == "*") | F.contains(token, F.substring_index(F.lower(a), "/", 1)))
+    token = F.lit(user_agent.lower())
+    return F.exists("agents", lambda a: (a == "*") | F.contains(token, F.lower(a)))
 
 
 def _quoted(text: Column) -> Column:
     return F.concat(F.lit(r"\Q"), F.replace(text, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
 
 
-def _pattern(path: Column, floating: bool = False) -> Column:
-    """Regular expression of a path: `*` is any text, a last `$` the end, all else literal.
+def _matcher(path: Column, floating: bool = False) -> dict[str, Column]:
+    """A path whose `*` is any text, a last `$` the end and all else literal: its literal parts, and whether the last ends it.
 
-    A floating path without a leading slash may start anywhere.
+    A floating path without a leading slash may start anywhere. `pattern` says the same for targets of several lines, which no
+    `*` crosses.
     """
-    anchored = F.endswith(path, F.lit("$"))
-    plain = F.when(anchored, F.substr(path, F.lit(1), F.length(path) - 1)).otherwise(path)
-    start = F.when(F.startswith(path, F.lit("/")), "(?i)^").otherwise("(?i)^.*") if floating else F.lit("^")
-    literal = F.array_join(F.transform(F.split(plain, r"\*"), _quoted), ".*")
-    return F.concat(start, literal, F.when(anchored, "$").otherwise(""))
+    ends = F.endswith(path, F.lit("$"))
+    plain = F.when(ends, F.substr(path, F.lit(1), F.length(path) - 1)).otherwise(path)
+    loose = ~F.startswith(path, F.lit("/")) if floating else F.lit(False)
+    parts = F.split(F.when(loose, F.concat(F.lit("*"), plain)).otherwise(plain), r"\*")
+    pattern = F.concat(F.lit("^"), F.array_join(F.transform(parts, _quoted), ".*"), F.when(ends, "$").otherwise(""))
+    return {"parts": parts, "ends": ends, "pattern": pattern}
 
 
-def _matches(target: Column, path: Column) -> Column:
-    """A path without wildcard is a prefix, which needs no regular expression."""
-    wild = path.contains("*") | F.endswith(path, F.lit("$"))
-    return F.when(wild, F.rlike(target, _pattern(path))).otherwise(F.startswith(target, path))
+def _fits(target: Column, rule: Column) -> Column:
+    """The parts of a rule stand in the target, one behind the other, the first at its start."""
+    parts, ends, n = rule["parts"], rule["ends"], F.size(rule["parts"])
+    first, last = F.get(parts, F.lit(0)), F.get(parts, n - 1)
+    inner = F.filter(F.slice(parts, 2, F.greatest(F.lit(0), n - F.when(ends, 2).otherwise(1))), lambda p: p != "")
 
+    def behind(at: Column, part: Column) -> Column:
+        """Place behind the next occurrence of a part, 0 once one was not found."""
+        found = F.call_function("locate", part, target, at)
+        return F.when((at > 0) & (found > 0), found + F.length(part)).otherwise(0)
 
-def _verdict(rules: Column, target: Column, wildcards: bool) -> Column:
-    def hit(rule: Column) -> Column:
-        return _matches(target, rule["path"]) if wildcards else F.startswith(target, rule["path"])
+    reached = F.aggregate(inner, F.length(first) + 1, behind)
+    closed = F.endswith(target, last) & (F.length(target) - F.length(last) + 1 >= reached)
+    whole = F.when(n == 1, target == first).otherwise((reached > 0) & closed)
+    one_line = F.startswith(target, first) & F.when(ends, whole).otherwise(reached > 0)
+    return F.when(target.contains("\n"), F.rlike(target, rule["pattern"])).otherwise(one_line)
 
-    def allowed(rule: Column) -> Column:
-        return (rule["kind"] == "allow") != (rule["path"] == "")
 
-    return let(F.get(F.filter(rules, hit), F.lit(0)), lambda r: F.coalesce(allowed(r), F.lit(True)))
+def _chosen(groups: DataFrame, host: str, agents: Mapping[str, str], relaxed: bool, compiled: Callable[[Column], Column]) -> DataFrame:
+    """One row per host: for each agent, under its name, the matchers and the delay of the group that counts for it.
 
+    Written once for the size check and the join.
+    """
+    first = [F.min_by(F.struct("rules", "crawl_delay"), F.when(_names(a, relaxed), F.col("group_no"))).alias(f"_g{i}") for i, a in enumerate(agents.values())]
+    chosen = groups.groupBy(host).agg(*first)
+    made = [
+        F.when(g.isNotNull(), F.struct(F.transform(g["rules"], compiled).alias("rules"), g["crawl_delay"].alias("delay"))).alias(f"_of_{name}")
+        for g, name in zip((F.col(f"_g{i}") for i in range(len(agents))), agents)
+    ]
+    return cut_lineage(chosen.select(host, *made))
 
-def robots_decide(
-    requests: DataFrame, groups: DataFrame, user_agent: str, url: str = "url", host: str = "host", strict: bool = False
+
+def decide_for_agents(
+    requests: DataFrame, groups: DataFrame, agents: Mapping[str, str], url: str = "url", host: str = "host", strict: bool = False
 ) -> DataFrame:
-    """Add `allowed` and `crawl_delay`: first group for the agent, first matching rule in file order.
+    """Add for each name of `agents` whether its user agent may ask, and `<name>_delay`.
 
+    The first group for the agent counts, and in it the first matching rule in file order; a blank path turns its rule round.
     `strict` takes `*` and `$` literally. Without rules everything is allowed.
     """
     target = unquote_path(url_tail(F.col(url)))
     keyed = requests.withColumn(host, netloc(F.col(url))).withColumn("_target", target)
-    joined = lookup_join(keyed, _first_group(groups, host, user_agent, relaxed=False), [host])
-    allowed = _verdict(F.col("_group.rules"), F.col("_target"), not strict)
-    return joined.withColumns(
-        {"allowed": F.coalesce(allowed, F.lit(True)), "crawl_delay": F.col("_group.crawl_delay")}
-    ).drop("_group", "_target")
+
+    def compiled(rule: Column) -> Column:
+        more = {} if strict else _matcher(rule["path"])
+        allows = (rule["kind"] == "allow") != (rule["path"] == "")
+        return F.struct(allows.alias("allows"), rule["path"].alias("path"), *[c.alias(k) for k, c in more.items()])
+
+    def hit(rule: Column) -> Column:
+        return F.startswith(F.col("_target"), rule["path"]) if strict else _fits(F.col("_target"), rule)
+
+    joined = lookup_join(keyed, _chosen(groups, host, agents, False, compiled), [host])
+    added = {}
+    for name in agents:
+        first = F.get(F.filter(F.col(f"_of_{name}.rules"), hit), F.lit(0))
+        added |= {name: F.coalesce(first["allows"], F.lit(True)), f"{name}_delay": F.col(f"_of_{name}.delay")}
+    return joined.withColumns(added).drop("_target", *[f"_of_{name}" for name in agents])
+
+
+def robots_decide(
+    requests: DataFrame, groups: DataFrame, user_agent: str, url: str = "url", host: str = "host", strict: bool = False
+) -> DataFrame:
+    """Add `allowed` and `crawl_delay` for one user agent; see `decide_for_agents`."""
+    decided = decide_for_agents(requests, groups, {"allowed": user_agent}, url, host, strict)
+    return decided.withColumnRenamed("allowed_delay", "crawl_delay")
 
 
 def _quote(path: Column) -> Column:
@@ -162,22 +198,33 @@ def _quote(path: Column) -> Column:
     return F.replace(plain, F.lit("%2F"), F.lit("/"))
 
 
-def robots_decide_relaxed(
-    requests: DataFrame, groups: DataFrame, user_agent: str, url: str = "url", host: str = "host"
+def decide_relaxed_for_agents(
+    requests: DataFrame, groups: DataFrame, agents: Mapping[str, str], url: str = "url", host: str = "host"
 ) -> DataFrame:
-    """Add `allowed`: any matching allow rule, else any matching disallow rule; only the path counts, in any case."""
+    """Add for each name of `agents`: any matching allow rule, else any matching disallow rule; only the path counts, in any case."""
     path = F.lower(_quote(url_path(unquote(F.col(url)))))
     keyed = requests.withColumn(host, netloc(F.col(url))).withColumn("_target", F.when(path == "", "/").otherwise(path))
-    joined = lookup_join(keyed, _first_group(groups, host, user_agent, relaxed=True), [host])
+
+    def compiled(rule: Column) -> Column:
+        more = {"prefix": F.lower(_quote(rule["path"])), **_matcher(F.lower(rule["path"]), floating=True)}
+        allows = (rule["kind"] == "allow") | (rule["path"] == "")
+        return F.struct(allows.alias("allows"), (rule["kind"] == "disallow").alias("denies"), *[c.alias(k) for k, c in more.items()])
 
     def hit(rule: Column) -> Column:
-        by_prefix = F.startswith(F.col("_target"), F.lower(_quote(rule["path"])))
-        return by_prefix | F.rlike(F.col("_target"), _pattern(rule["path"], floating=True))
+        return F.startswith(F.col("_target"), rule["prefix"]) | _fits(F.col("_target"), rule)
+
+    joined = lookup_join(keyed, _chosen(groups, host, agents, True, compiled), [host])
+    added = {}
+    for name in agents:
+        rules = F.col(f"_of_{name}.rules")
+        allows, denies = F.exists(rules, lambda r: r["allows"] & hit(r)), F.exists(rules, lambda r: r["denies"] & hit(r))
+        added[name] = F.coalesce(allows | ~denies, F.lit(True))
+    return joined.withColumns(added).drop("_target", *[f"_of_{name}" for name in agents])
+
 
-    rules = F.col("_group.rules")
-    allows = F.exists(rules, lambda r: ((r["kind"] == "allow") | (r["path"] == "")) & hit(r))
-    denies = F.exists(rules, lambda r: (r["kind"] == "disallow") & hit(r))
-    return joined.withColumn("allowed", F.coalesce(allows | ~denies, F.lit(True))).drop("_group", "_target")
+def robots_decide_relaxed(requests: DataFrame, groups: DataFrame, user_agent: str, url: str = "url", host: str = "host") -> DataFrame:
+    """Add `allowed` for one user agent; see `decide_relaxed_for_agents`."""
+    return decide_relaxed_for_agents(requests, groups, {"allowed": user_agent}, url, host)
 
 
 def robots_by_status(status: Column, strict: bool = True) -> Column:

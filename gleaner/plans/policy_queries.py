@@ -58,9 +58,8 @@ def robots_rules(spark, folder):
 )
 def robots_decide(spark, folder):
     groups = J.robots_groups(_robots(spark, folder))
-    other = J.robots_decide(_requests(spark, folder), groups, "Other/2.0 (x)").withColumnRenamed("allowed", "other")
-    foobot = J.robots_decide(other.drop("crawl_delay"), groups, "Mozilla FOOBOT/1.0")
-    return foobot.select("page_id", "other", F.col("allowed").alias("foobot"))
+    agents = {"other": "Other/2.0 (x)", "foobot": "Mozilla FOOBOT/1.0"}
+    return J.decide_for_agents(_requests(spark, folder), groups, agents).select("page_id", *agents)
 
 
 @query(
@@ -77,9 +76,8 @@ def robots_decide_strict(spark, folder):
 def robots_decide_relaxed(spark, folder):
     # The empty disallow rule of the default group allows all, and allow rules go first.
     groups = J.robots_groups(_robots(spark, folder), relaxed=True)
-    other = J.robots_decide_relaxed(_requests(spark, folder), groups, "Other").withColumnRenamed("allowed", "other")
-    foobot = J.robots_decide_relaxed(other, groups, "FooBot/1.0")
-    return foobot.select("page_id", "other", F.col("allowed").alias("foobot"))
+    agents = {"other": "Other", "foobot": "FooBot/1.0"}
+    return J.decide_relaxed_for_agents(_requests(spark, folder), groups, agents).select("page_id", *agents)
 
 
 STATUS_SQL = "CASE WHEN contains(url, 'blog') THEN 403 WHEN contains(url, 'www') THEN 404 WHEN contains(url, '//m.') THEN 503 ELSE 200 END"
@@ -125,6 +123,38 @@ def apply_robots_status(spark, folder):
     return relaxed.select("page_id", "strict", F.col("allowed").alias("relaxed"))
 
 
+REFETCHED_SQL = f"""fetches AS (SELECT {HOST_SQL} AS host, page_id AS nth, CASE page_id % 5 WHEN 0 THEN 404 WHEN 1 THEN 403 WHEN 2 THEN 503 ELSE 200 END AS status,
+           '/' || {LANG_SQL} || CASE WHEN page_id % 2 = 0 THEN '/*' || page_id % 10 || '$' ELSE '/' || page_id % 10 END AS path FROM pages),
+        last AS (SELECT host, max(nth) AS nth, max_by(status, nth) AS status, max_by(path, nth) AS path FROM fetches GROUP BY host)"""
+
+
+@query(
+    "robots_refetched",
+    f"""WITH {REFETCHED_SQL}, d AS (SELECT page_id, status, CASE WHEN path LIKE '%$' THEN starts_with(tail, replace(split_part(path, '*', 1), '$', '')) AND ends_with(tail, replace(split_part(path, '*', 2), '$', ''))
+             AND length(tail) >= length(path) - 2 ELSE starts_with(tail, path) END AS hit, EXTRACT(YEAR FROM TIMESTAMP '2016-01-01 00:00:00' + to_days(CAST(nth AS INTEGER)) + INTERVAL 7 DAY) > 2016 AS late
+           FROM (SELECT page_id, {TAIL_SQL} AS tail, {HOST_SQL} AS host FROM pages) JOIN last USING (host))
+        SELECT page_id, CASE WHEN status = 403 THEN false WHEN status = 404 THEN true WHEN status = 503 THEN NULL ELSE NOT hit END AS allowed, late FROM d""",
+)
+def robots_refetched(spark, folder):
+    """Every page was also a fetch of its host's robots text; of all fetches of a host, the last one decides."""
+    lang = F.regexp_extract("url", "^https?://[^/]*/([a-z]+)", 1)
+    last = (F.col("page_id") % 10).cast("string")
+    path = F.concat(F.lit("/"), lang, F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("/*"), last, F.lit("$"))).otherwise(F.concat(F.lit("/"), last)))
+    status = F.get(F.array(*map(F.lit, (404, 403, 503, 200, 200))), (F.col("page_id") % 5).cast("int"))
+    fetches = table(spark, folder, "pages").select(
+        netloc(F.col("url")).alias("host"),
+        F.col("page_id").alias("nth"),
+        status.alias("status"),
+        F.format_string("User-agent: *\nDisallow: %s\n", path).alias("body"),
+    )
+    decided = J.robots_decide(_requests(spark, folder), J.robots_groups(fetches, fetched="nth"), "Other")
+    decided = J.apply_robots_status(decided, fetches, fetched="nth")
+    times = fetches.groupBy("host").agg(F.max("nth").alias("nth"))
+    fetched = F.timestamp_add("DAY", F.col("nth").cast("int"), F.lit("2016-01-01 00:00:00").cast("timestamp"))
+    late = F.year(J.robots_expiry(F.lit(None).cast("string"), fetched)) > 2016
+    return decided.join(times, "host").select("page_id", "allowed", late.alias("late"))
+
+
 @query("sitemaps", f"WITH {HOSTS_SQL} SELECT host, 'https://' || host || '/sitemap.xml' AS sitemap FROM hosts")
 def sitemaps(spark, folder):
     return J.sitemaps(_robots(spark, folder)).select("host", "sitemap")
