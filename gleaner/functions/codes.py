@@ -118,17 +118,16 @@ def map_functions(values: Column, mapping: Mapping[str, str] = FUNCTIONS, remove
     return F.to_json(F.slice(F.filter(codes, lambda c: c != ""), 1, MAX_CODES))
 
 
-def _json_text(value: Column) -> Column:
-    encoded = F.to_json(F.array(value))
-    return F.substr(encoded, F.lit(2), F.length(encoded) - 2)
+def industry_codes(values: Column, mapping: Mapping[str, int | str] = INDUSTRIES, splitter: str = ",", most: int = MAX_CODES) -> Column:
+    """The first industries as `array<variant>`: the code, a number or a text, where it is known, else the text itself."""
+    pieces = F.flatten(F.transform(values, lambda v: F.split(v, r"\Q" + splitter + r"\E")))
+    pieces = F.slice(F.filter(each(strip)(pieces), lambda p: p != ""), 1, most)
+    codes = {k: json.dumps(code) for k, code in mapping.items()}
+    return F.transform(pieces, lambda p: F.coalesce(F.parse_json(lookup(F.lower(p), codes)), p.cast("variant")))
 
 
 def map_industries(
-    values: Column, mapping: Mapping[str, int | str] = INDUSTRIES, splitter: str = ","
+    values: Column, mapping: Mapping[str, int | str] = INDUSTRIES, splitter: str = ",", most: int = MAX_CODES
 ) -> Column:
     """JSON array of the first three industries: the code where known, else the text itself."""
-    pieces = F.flatten(F.transform(values, lambda v: F.split(v, r"\Q" + splitter + r"\E")))
-    pieces = F.slice(F.filter(each(strip)(pieces), lambda p: p != ""), 1, MAX_CODES)
-    codes = {k: json.dumps(code) for k, code in mapping.items()}
-    texts = F.transform(pieces, lambda p: F.coalesce(lookup(F.lower(p), codes), _json_text(p)))
-    return F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
+    return F.to_json(industry_codes(values, mapping, splitter, most))

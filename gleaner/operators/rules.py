@@ -223,27 +223,56 @@ def plan_pages(total_pages: Column | None = None, total_items: Column | None = N
     return F.when(pages >= 2, F.sequence(F.lit(2), pages.cast("int"))).otherwise(F.array().cast("array<int>"))
 
 
-FOLD = 16
+def _along_chains(starts: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """(seed, url, depth): the starts and all urls behind them along links with one successor, at the least depth.
+
+    `jumps[k]` leads 2**k steps ahead; missing ones are made from the one before. What is reached is doubled each round, so the
+    rounds grow with the logarithm of the longest chain; a round that brings nothing new has closed every cycle.
+    """
+    found, known = starts, starts.count()
+    for k in itertools.count():
+        if k == len(jumps):
+            half = jumps[-1]
+            behind = half.select(F.col("src").alias("dst"), F.col("dst").alias("end"))
+            jumps.append(cut_lineage(half.join(behind, "dst").select("src", F.col("end").alias("dst"))))
+        ahead = found.join(jumps[k], found["url"] == jumps[k]["src"])
+        ahead = ahead.select("seed", F.col("dst").alias("url"), (F.col("depth") + (1 << k)).alias("depth"))
+        found = cut_lineage(found.unionByName(ahead).groupBy("seed", "url").agg(F.min("depth").alias("depth")))
+        before, known = known, found.count()
+        if known == before:
+            return found
 
 
 def follow_next(seeds: DataFrame, links: DataFrame) -> DataFrame:
     """Urls reached from each seed over next links, with the least number of steps.
 
-    `seeds(seed)`, `links(src, dst)` with the links whose condition holds. Each round joins only the newest
-    urls, is written to the checkpoint folder, and drops urls of earlier rounds, so cycles end the walk and it runs until
-    no url is new. What was reached is written anew every `FOLD` rounds, so the plan stays short however deep the walk.
+    `seeds(seed)`, `links(src, dst)` with the links whose condition holds. Links with one successor are followed by doubled
+    steps; a url with several is left by all of them at once, and what is new or nearer that way is followed again. Every
+    round is written to the checkpoint folder, and cycles bring nothing new, so the walk runs to its end however deep it is.
     """
-    edges = cut_lineage(links.select("src", "dst").distinct())
-    frontier = cut_lineage(seeds.select("seed", F.col("seed").alias("url"), F.lit(0).alias("depth")).distinct())
-    reached = frontier
-    for depth in itertools.count(1):
-        step = frontier.join(edges, frontier["url"] == edges["src"]).select("seed", F.col("dst").alias("url")).distinct()
-        frontier = cut_lineage(step.join(reached.select("seed", "url"), ["seed", "url"], "left_anti").withColumn("depth", F.lit(depth)))
-        if frontier.isEmpty():
-            break
-        reached = reached.unionByName(frontier)
-        reached = cut_lineage(reached) if depth % FOLD == 0 else reached
-    return reached
+    edges = cut_lineage(links.filter("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct())
+    ways = edges.groupBy("src").agg(F.count("*").alias("ways"))
+    counted = cut_lineage(edges.join(ways, "src"))
+    single, forks = counted.filter("ways = 1").select("src", "dst"), counted.filter("ways > 1").select("src", "dst")
+    jumps, forked = [cut_lineage(single)], not forks.isEmpty()
+    starts = cut_lineage(seeds.select("seed", F.col("seed").alias("url"), F.lit(0).alias("depth")).distinct())
+    reached = None
+    while True:
+        found = _along_chains(starts, jumps)
+        if not forked:
+            return found
+        new = found
+        if reached is not None:
+            nearer = reached.select("seed", "url", F.col("depth").alias("known"))
+            new = cut_lineage(found.join(nearer, ["seed", "url"], "left").filter("known IS NULL OR depth < known").drop("known"))
+            found = cut_lineage(reached.unionByName(new).groupBy("seed", "url").agg(F.min("depth").alias("depth")))
+        reached = found
+        left = new.join(forks, new["url"] == forks["src"]).select("seed", F.col("dst").alias("url"), (F.col("depth") + 1).alias("depth"))
+        left = left.groupBy("seed", "url").agg(F.min("depth").alias("depth"))
+        known = reached.select("seed", "url", F.col("depth").alias("known"))
+        starts = cut_lineage(left.join(known, ["seed", "url"], "left").filter("known IS NULL OR depth < known").drop("known"))
+        if starts.isEmpty():
+            return reached
 
 
 def two_hop_follow(links: DataFrame, responses: DataFrame, order: str, href: str = "href") -> DataFrame:

@@ -1,4 +1,6 @@
 import json
+import re
+import random
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -104,6 +106,32 @@ def test_one_robots_text_per_host(spark):
     assert [tuple(r) for r in J.latest_robots(fetches, fetched="at").collect()] == [("h", "new")]
 
 
+def test_robots_globs(spark):
+    draw = random.Random(2)
+    rows = [
+        (i, "".join(draw.choices("/ab*$.", k=draw.randint(0, 7))), "".join(draw.choices("/ab.$\n" if i % 9 == 0 else "/ab.$", k=draw.randint(0, 9))))
+        for i in range(2000)
+    ]
+    frame = spark.createDataFrame(rows, "i int, path string, target string")
+    for floating in (False, True):
+        rule = F.struct(*[c.alias(k) for k, c in J._matcher(F.col("path"), floating).items()])
+        got = {r.i: r.fits for r in frame.select("i", J._fits(F.col("target"), rule).alias("fits")).collect()}
+        for i, path, target in rows:
+            plain = path.removesuffix("$")
+            pattern = ("^.*" if floating and not path.startswith("/") else "^") + ".*".join(map(re.escape, plain.split("*"))) + ("$" if plain != path else "")
+            assert got[i] == bool(re.search(pattern, target)), (path, target)
+
+
+def test_robots_for_several_agents(spark):
+    body = "User-agent: a\nDisallow: /x*y$\nAllow: /x\nCrawl-delay: 2\n\nUser-agent: *\nDisallow: /x"
+    groups = J.robots_groups(robots(spark, body))
+    urls = [f"http://{groups.first()['host']}{p}" for p in ("/x1y", "/x1yz", "/z")]
+    asked = J.decide_for_agents(spark.createDataFrame([(u,) for u in urls], "url string"), groups, {"one": "A/1", "two": "B"})
+    assert [(r.one, r.two, r.one_delay, r.two_delay) for r in asked.orderBy("url").collect()] == [
+        (False, False, 2.0, None), (True, False, 2.0, None), (True, True, 2.0, None)
+    ]
+
+
 def test_robots_size_limit(spark):
     body = "User-agent: *\n" + "Disallow: /é\n" * 20000
     kept = body.encode()[: files.ROBOTS_BYTES].decode("utf-8", "replace")
@@ -137,6 +165,34 @@ def test_walk_deeper_than_any_cap(spark):
     assert found.agg({"depth": "max"}).first()[0] == 40 and found.count() == 41
 
 
+def walked(seeds, links):
+    out = {}
+    for seed in seeds:
+        depth, frontier = {seed: 0}, [seed]
+        while frontier:
+            frontier = [d for u in frontier for s, d in links if s == u and d not in depth and not depth.update({d: depth[u] + 1})]
+        out |= {(seed, u): d for u, d in depth.items()}
+    return out
+
+
+def test_long_chain_takes_few_rounds(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(R, "_along_chains", lambda starts, jumps, run=R._along_chains: (run(starts, jumps), rounds.append(len(jumps)))[0])
+    links = spark.createDataFrame([(f"u{i}", f"u{i + 1}") for i in range(5000)], "src string, dst string")
+    found = R.follow_next(spark.createDataFrame([("u0",), ("u4990",)], "seed string"), links)
+    assert found.count() == 5001 + 11 and found.agg({"depth": "max"}).first()[0] == 5000
+    assert rounds and max(rounds) < 20
+
+
+def test_walk_over_forks_and_cycles(spark):
+    draw = random.Random(4)
+    for size in (12, 28, 40):
+        links = [(f"u{draw.randrange(25)}", f"u{draw.randrange(25)}") for _ in range(size)] + [("u1", "u2"), ("u1", "u2"), (None, "u3"), ("u3", None)]
+        seeds = [f"u{draw.randrange(25)}" for _ in range(4)] + ["alone"]
+        found = R.follow_next(spark.createDataFrame([(x,) for x in seeds], "seed string"), spark.createDataFrame(links, "src string, dst string"))
+        assert {(r.seed, r.url): r.depth for r in found.collect()} == walked(seeds, [x for x in links if None not in x])
+
+
 def test_boilerplate_of_several_roots_and_empty_pages(spark):
     from gleaner.operators.boilerplate import boilerplate_elements, remove_boilerplate
 

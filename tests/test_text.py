@@ -141,6 +141,9 @@ def test_codes(one):
     assert one(C.map_functions(array(["Engineering", "Sales", "Foo", "Legal"]))) == '["ENG","SALE","FOO"]'
     assert one(C.map_functions(array(["Accounting/Auditing", "none", "Business Development"]))) == '["ACCT","BD"]'
     assert one(C.map_industries(array(["Retail,Banking"]))) == '[47,"Banking"]'
+    codes = C.industry_codes(array(["Q,Retail , shops"]), {"retail": 47, "q": "QQ"})
+    assert one(F.transform(codes, F.schema_of_variant)) == ["STRING", "BIGINT", "STRING"]
+    assert one(F.variant_get(F.get(codes, F.lit(1)), "$", "int"), F.variant_get(F.get(codes, F.lit(2)), "$", "string")) == [47, "shops"]
     assert one(C.map_industries(array(["Retail: \"x\""]), splitter=":")) == '[47,"\\"x\\""]'
 
 
