@@ -7,18 +7,20 @@ from pyspark.sql.types import StructType
 
 from gleaner.functions import markup
 from gleaner.functions.text import WHITESPACE
-from gleaner.functions.urls import url_host
+from gleaner.functions.urls import url_host, url_join
 from gleaner.operators import elements as E
 from gleaner.operators import rules as R
 from gleaner.operators import selectors as S
 from gleaner.operators.callbacks import page_callback as page_callback_of
 from gleaner.operators.callbacks import python_processor as python_processor_of
+from gleaner.operators.crawl import Site, crawl_items
 from gleaner.operators.rollups import top_per_group
 from gleaner.operators.selectors import Page, Sel
 from gleaner.plans.inputs import BODY_SQL, ITEMS_SQL, items, pages
 from gleaner.plans.registry import query
 from gleaner.plans.tree_sql import TREE_SQL
 from gleaner.session import spread
+from gleaner.sources.files import route_items
 from gleaner.sources.tables import table
 
 LINKS_SQL = """links AS (SELECT page_id, url, generate_subscripts(hrefs, 1) - 1 AS pos, unnest(hrefs) AS href, unnest(labels) AS label FROM
@@ -303,6 +305,54 @@ def merge_index_detail(spark, folder):
     )
 
 
+_BLANK = r"'\\s+', ' ', 'g'"
+
+
+@query(
+    "whole_crawl",
+    rf"""WITH {LINKS_SQL}, {BODY_SQL}, clean AS (SELECT page_id, html, regexp_extract(url, '^(https?://[^/]*)', 1) AS site,
+           nullif(trim(regexp_replace({TITLE_SQL}, {_BLANK})), '') AS title, nullif(trim(regexp_replace(regexp_extract(html, '<div class="ad">([^<]*)</div>', 1), {_BLANK})), '') AS ad FROM pages),
+        requests AS (SELECT site || href AS url, l.page_id, pos, nullif(trim(regexp_replace(label, {_BLANK})), '') AS company, CASE WHEN pos = 0 THEN ad END AS location
+           FROM links l JOIN clean USING (page_id)),
+        first AS (SELECT url, min_by(company, page_id * 1000 + pos) AS company, arg_min_null(location, page_id * 1000 + pos) AS location FROM requests GROUP BY url),
+        answers AS (SELECT site || href AS url, min(c.page_id) AS page_id FROM links l JOIN clean c USING (page_id) WHERE pos = 1 GROUP BY 1),
+        items AS (SELECT f.url, c.title, f.company, f.location, nullif(regexp_extract(f.url, '([a-z]+)$', 1), '') AS referencenumber, page_id % 7 = 0 AS gone, contains(b.body_text, 'eß') AS broken
+           FROM answers a JOIN clean c USING (page_id) JOIN body b USING (page_id) JOIN first f ON f.url = a.url),
+        judged AS (SELECT *, CASE WHEN gone OR broken THEN 'error_page' WHEN referencenumber IS NULL THEN 'missing_reference' END AS reject FROM items)
+        SELECT url, title, coalesce(company, 'the board') AS company, location, referencenumber, '2016/06/01' AS date, 'xx' AS language, reject,
+               CASE WHEN reject IS NULL THEN CASE WHEN contains(url, 'blog') THEN 'aggregator' WHEN contains(url, '//www.') THEN 'autocrawl' ELSE 'job' END END AS route FROM judged""",
+)
+def whole_crawl(spark, folder):
+    """Every page is a list page; the page behind its second link is answered by that page itself."""
+    source = pages(spark, folder)
+    second = F.get(markup.extract_links(F.col("html")), F.lit(1))
+    behind = source.select(
+        "page_id", url_join(F.col("url"), second).alias("url"), "html", F.when(F.col("page_id") % 7 == 0, 404).otherwise(200).alias("status")
+    )
+    site = Site(
+        rule_sets=[
+            R.RuleSet(
+                base=R.Pick(Sel("nav"), Sel("li")),
+                joburl=R.Rule(xpath=[R.Source([R.Pick(Sel("a"), what="@href")])]),
+                relative={"company": R.Rule(xpath=[R.Source([R.Pick(Sel("a"))])])},
+                nonrelative={"location": R.Rule(xpath=[R.Source([R.Pick(Sel("div", classes=["ad"]))])])},
+            )
+        ],
+        rules={
+            "title": R.Rule(xpath=[R.Source([R.Pick(Sel("h1"), what="string()")])]),
+            "company": R.Rule(xpath=[R.Source([R.Pick(Sel("h5"))])]),
+            "referencenumber": R.Rule(responseurl=[R.Source(pattern="([a-z]+)$")]),
+        },
+        index_fields=["company", "location"],
+        messages=["eß"],
+        defaults={"company": F.lit("the board")},
+    )
+    route = route_items(F.lit(False), F.contains("url", F.lit("blog")), F.contains("url", F.lit("//www.")), F.lit(True))
+    now = F.lit("2016-06-01").cast("timestamp")
+    found = crawl_items(source.select("page_id", "url", "html"), behind.filter("url IS NOT NULL"), site, now, route, F.lit("xx"))
+    return found.select("url", "title", "company", "location", "referencenumber", "date", "language", "reject", "route")
+
+
 @query(
     "plan_pages",
     """SELECT o_orderkey, CAST(p AS INTEGER) AS page FROM (SELECT o_orderkey, unnest(range(2, CAST(ceil(floor(o_totalprice / 10000) / 20.0) AS BIGINT) + 1)) AS p FROM orders)""",

@@ -404,3 +404,38 @@ def test_selector_config(one):
     assert [r.selector for r in one(parse_selector_config(F.lit(json.dumps(config))))] == ["#p"]
     assert one(parse_selector_config(F.lit(None).cast("string"))) == []
     assert serp_value(Page(), [], "serp_location") is not None
+
+
+def test_whole_crawl(spark):
+    from gleaner.operators.crawl import Site, crawl_items
+
+    lists = [
+        (1, "http://a.com/l", "<ul><li><a href='/j1'>One</a><li><a href='/j2'>Two</a><li><b>no link</b></ul>"),
+        (2, "http://a.com/m", "<ul><li><a href='j1'>Again</a><li><a href='/j3'>Three</a><li><a href='/j4'>Four</a></ul>"),
+    ]
+    answers = [
+        (8, "http://a.com/j1", "<h1> A  job </h1><i>7</i>", 200),
+        (9, "http://a.com/j1", "<h1>Later</h1><i>9</i>", 200),
+        (8, "http://a.com/j2", "<i>2</i>", 200),
+        (8, "http://a.com/j3", "<h1>x</h1>", 200),
+        (8, "http://a.com/j4", "<body><h1>gone for good</h1><i>4</i></body>", 200),
+        (8, "http://a.com/other", "<h1>never asked for</h1><i>1</i>", 200),
+        (8, "http://a.com/m", None, 500),
+    ]
+    pick = lambda tag: R.Rule(xpath=[R.Source([R.Pick(Sel(tag))])])
+    sets = [R.RuleSet(base=R.Pick(Sel("li")), joburl=R.Rule(xpath=[R.Source([R.Pick(Sel("a"), what="@href")])]), relative={"title": pick("a")})]
+    site = Site(sets, {"title": pick("h1"), "referencenumber": pick("i")}, ["title"], ["for good"], {"company": F.lit("c")})
+    found = crawl_items(
+        spark.createDataFrame(lists, "page_id int, url string, html string"),
+        spark.createDataFrame(answers, "page_id int, url string, html string, status int"),
+        site, F.lit("2020-01-02").cast("timestamp"), F.when(F.col("title") == "Two", "temp-job").otherwise("job"),
+    )
+    rows = {r.url[-2:]: (r.title, r.referencenumber, r.company, r.date, r.reject, r.route) for r in found.collect()}
+    assert rows == {
+        "j1": ("A job", "7", "c", "2020/01/02", None, "job"),
+        "j2": ("Two", "2", "c", "2020/01/02", None, "temp-job"),
+        "j3": ("x", None, "c", "2020/01/02", "missing_reference", None),
+        "j4": ("gone for good", "4", "c", "2020/01/02", "error_page", None),
+    }
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.split("== Initial Plan ==")[0].count("MapInArrow") == 1
