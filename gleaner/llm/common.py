@@ -57,13 +57,19 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Edges of a task that writes to a shuffle of `components`.
+EDGES = 50_000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the undirected `edges` (a, b); component is the least node reachable.
 
     Rounds of large-star and small-star: each node hangs its larger neighbours, then its smaller ones, under the
     least node it sees, so the depth of a component shrinks by a constant factor per round. Messages to a node are
     combined before the shuffle; no node's neighbours are gathered, so a hub is no hot group. Lineage is cut every round.
+    A round is written by as many tasks as its edges need, as few edges in many tasks would be mostly files.
     """
+    spark = edges.sparkSession
     edges = cut_lineage(
         edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
@@ -75,19 +81,20 @@ def components(edges: DataFrame) -> DataFrame:
                 edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             )
         before = state
-        edges = cut_lineage(_small_star(_large_star(edges)))
+        tasks = min(partitions(spark), max(spark.sparkContext.defaultParallelism, state[0] // EDGES + 1))
+        edges = cut_lineage(_small_star(_large_star(edges.coalesce(tasks), tasks).coalesce(tasks), tasks).coalesce(tasks))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, tasks: int) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).coalesce(tasks).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
     moved = edges.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-    return moved.filter("a != b").distinct()
+    return moved.filter("a != b").coalesce(tasks).distinct()
 
 
 def joined(spans: Column) -> Column:

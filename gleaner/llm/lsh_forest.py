@@ -7,8 +7,10 @@ prefixes. Candidates whose sizes or signatures rule out the similarity leave; th
 with equal sets are one node from the start.
 
 Where more than `REACH` rows share `RUN` levels, the rows that the order leaves uncompared are compared after the links of the
-others are known: all pairs of a run that still lie in different components, in blocks of `BLOCK` nodes, by their sizes and by a
-lower bound of the difference of their sets. The bound never exceeds the true difference, so it loses no link.
+others are known. A run of up to `BLOCKS` blocks of `BLOCK` nodes is compared whole: all pairs that still lie in different
+components, block by block, by their sizes and by a lower bound of the difference of their sets, which loses no link. In a longer
+run, as of documents that share a passage, the levels say little, so its nodes descend to their shingles: in a fixed order, rarest
+first, two sets as similar as asked share one of their first shingles, and only such pairs are compared. That loses no link either.
 """
 
 from __future__ import annotations
@@ -33,7 +35,10 @@ REACH = 6
 #: Levels that the rows of a run share; a pair of similarity 0.8 shares them in one of the trees with a chance of 0.99997.
 RUN = 4
 #: Nodes of a run that are compared with as many others at a time, and the most bits of a set's parity map.
-BLOCK = 512
+BLOCK, BLOCKS = 512, 8
+#: Nodes whose shingles are counted, one of so many; least count of a frequent one; places of the table of frequent ones. They
+#: only decide how early a shingle stands in the order, and change no result.
+COUNTED, FREQUENT, PLACED = 8, 4, 1 << 18
 MOST_BITS = 1 << 14
 #: Signature places compared by four bits each before sets are fetched, and how far an estimate may fall below the threshold.
 PLACES = 80
@@ -211,12 +216,10 @@ def run_pairs(dense: DataFrame, levels: DataFrame, sets: DataFrame, groups: Data
     rows = cut_lineage(rows.select("node", "component", F.xxhash64(key).alias("run")))
     runs = rows.groupBy("run").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
     runs = cut_lineage(runs.select("run", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    maps = map_batches(
-        sets.join(dense, "node"),
-        lambda batch: {"node": batch["node"]}
-        | dict(zip(("size", "map"), zip(*[(len(x), parity(x).tobytes()) for x in (np.frombuffer(s, dtype=np.uint64) for s in batch["shingles"].to_pylist())]))),
-        "node long, size long, map binary",
-    )
+    long = rows.join(runs.filter(F.col("blocks") > BLOCKS), "run").select("node", "component").distinct()
+    found = rare_pairs(cut_lineage(long), sets, percent)
+    runs = runs.filter(F.col("blocks") <= BLOCKS)
+    maps = _maps(sets.join(dense, "node"))
     rows = rows.join(runs, "run").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.select("run", "node", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.join(maps, "node").select("run", F.least("own", "other").alias("s"), F.greatest("own", "other").alias("t"), "own", "node", "component", "size", "map")
@@ -246,7 +249,97 @@ def run_pairs(dense: DataFrame, levels: DataFrame, sets: DataFrame, groups: Data
         if len(block) > 1 and (last[1] == last[2] or len({x[0] for x in block}) == 2):
             yield compared(block)
 
-    return rows.mapInArrow(run, schema).distinct()
+    return rows.mapInArrow(run, schema).unionByName(found).distinct()
+
+
+def _maps(sets: DataFrame) -> DataFrame:
+    """(node, size, map) of sets (node, shingles)."""
+
+    def rows(batch: pa.RecordBatch) -> dict[str, list]:
+        found = [np.frombuffer(x, dtype=np.uint64) for x in batch["shingles"].to_pylist()]
+        return {"node": batch["node"], "size": [len(x) for x in found], "map": [parity(x).tobytes() for x in found]}
+
+    return map_batches(sets.select("node", "shingles"), rows, "node long, size long, map binary")
+
+
+def frequent_places(sets: DataFrame) -> np.ndarray:
+    """For each place, a shingle's last bits, the binary logarithm of how often a frequent shingle there was counted.
+
+    Every `COUNTED`-th node is counted; the table has `PLACED` entries however many shingles there are.
+    """
+    some = sets.filter(F.pmod(F.xxhash64("node"), F.lit(COUNTED)) == 0).select("shingles")
+    arrow = arrow_schema(sets.sparkSession, "shingle long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(batch["shingles"].to_pylist()), dtype=np.int64))], schema=arrow)
+
+    counts = some.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= FREQUENT)
+    place = F.col("shingle").bitwiseAND(PLACED - 1).cast("int")
+    table = counts.groupBy(place.alias("place")).agg(F.max("n").alias("n")).toArrow()
+    out = np.zeros(PLACED, dtype=np.uint8)
+    out[table["place"].to_numpy()] = np.log2(table["n"].to_numpy()).astype(np.uint8)
+    return out
+
+
+def rare_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of `nodes` (node, component) of different components whose sets may be as similar as asked.
+
+    The shorter set of a pair has a common shingle among its first n - 2t/(1+t) n + 1, the longer one among its first
+    n - tn + 1, for a similarity of t; where these stand leaves room for enough common ones behind. Shingles of one component
+    alone leave, and the component that most holders of a shingle belong to meets the others alone, not itself.
+    """
+    kept = sets.join(nodes.select("node"), "node", "left_semi")
+    place = frequent_places(kept)
+    schema = "shingle long, node long, size int, at int, short boolean"
+    arrow = arrow_schema(sets.sparkSession, schema)
+
+    def first(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out: list[list] = [[] for _ in range(5)]
+        for node, data in zip(batch["node"].to_pylist(), batch["shingles"].to_pylist()):
+            x = np.frombuffer(data, dtype=np.uint64)
+            x = x[np.lexsort((x, place[(x & np.uint64(PLACED - 1)).astype(np.int64)]))]
+            n = len(x)
+            # -(-a // b) rounds up; both shares are whole numbers of hundredths.
+            probe, index = n + (-percent * n) // 100 + 1, n + (-2 * percent * n) // (100 + percent) + 1
+            at = np.arange(probe, dtype=np.int32)
+            for column, values in zip(out, (x[:probe].view(np.int64), np.full(probe, node), np.full(probe, n, np.int32), at, at < index)):
+                column.append(values)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(out, arrow)], schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield first(batch)
+
+    rows = cut_lineage(kept.mapInArrow(run, schema).join(nodes, "node"))
+    held = rows.groupBy("shingle", "component").agg(F.count("*").alias("n")).groupBy("shingle")
+    held = held.agg(F.max_by("component", F.struct("n", "component")).alias("most"), F.count("*").alias("components")).filter("components > 1")
+    rows = rows.join(held.select("shingle", "most"), "shingle").withColumn("big", F.col("component") == F.col("most"))
+    side = lambda name: [F.col(c).alias(f"{c}_{name}") for c in ("node", "component", "size", "at")]
+    ways = lambda big, small: F.explode(F.when(F.col("big"), F.array(F.lit(big))).otherwise(F.array(F.lit(small), F.lit(2)))).alias("way")
+    one = rows.filter("short").select("shingle", ways(0, 1), *side("a"))
+    two = rows.select("shingle", ways(1, 0), *side("b"))
+    sizes = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("node_a") < F.col("node_b")))
+    sizes &= 100 * F.col("size_a") >= percent * F.col("size_b")
+    room = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
+    enough = (100 + percent) * room >= percent * (F.col("size_a") + F.col("size_b"))
+    pairs = one.join(two, ["shingle", "way"]).filter(sizes & enough & (F.col("component_a") != F.col("component_b")))
+    pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    maps = cut_lineage(_maps(kept))
+    for name in ("a", "b"):
+        pairs = pairs.join(maps.select(*[F.col(c).alias(c if c == name else f"{c}_{name}") for c in ("size", "map")], F.col("node").alias(name)), name)
+
+    def test(batch: pa.RecordBatch) -> dict[str, list]:
+        keep = []
+        for m, n, x, y in zip(*[batch[c].to_pylist() for c in ("size_a", "size_b", "map_a", "map_b")]):
+            x, y = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
+            w = min(len(x), len(y))
+            x, y = (np.bitwise_xor.reduce(v.reshape(-1, w), axis=0) for v in (x, y))
+            keep.append((100 + percent) * (m + n - int(np.bitwise_count(x ^ y).sum())) >= 2 * percent * (m + n))
+        return {"a": batch["a"], "b": batch["b"], "keep": keep}
+
+    return map_batches(pairs, test, "a long, b long, keep boolean").filter("keep").select("a", "b")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

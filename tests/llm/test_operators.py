@@ -252,7 +252,10 @@ def test_chain_of_near_copies(spark):
     assert {r["component_id"] for r in found.values()} == {0}
 
 
-def test_scattered_pairs_and_a_star_among_templates(spark):
+@pytest.mark.parametrize("blocks", [8, 0])
+def test_scattered_pairs_and_a_star_among_templates(spark, monkeypatch, blocks):
+    # With no block at all every run is a long one, whose nodes meet by their rare shingles.
+    monkeypatch.setattr(lsh_forest, "BLOCKS", blocks)
     draw = random.Random(11)
     word = lambda: f"v{draw.randrange(10**9)}"
 
@@ -430,13 +433,13 @@ def test_template(spark):
         f"<html><head><title>t{k}</title><style>p{{}}</style></head><body><nav><a href=x>menu {k}</a></nav><div class='ad'>buy {k}</div>"
         f"<article><h1>Head {k}</h1>{body}<p>Read more on our site</p></article>{more}<footer>foot {k}</footer></body></html>"
     )
-    rows = [(k, f"http://a.com/{k}", page(k, f"<p>Text &amp; <b>bold</b>{k}<br>next<p>Two\n  lines", "<div id=comments>nice</div>")) for k in range(6)]
+    rows = [(k, f"http://a.com/{k}", page(k, f"<p>Text &amp; <b>bold</b>{k}<br>next {k}<p>Two\n  lines {k}", "<div id=comments>nice</div>")) for k in range(6)]
     rows += [(20 + k, f"http://d.com/{k}", f"<body><div class=x><p>Story {k} goes on</p><p>Welcome to our site</p></div></body>") for k in range(6)]
     rows += [(10, None, None), (11, "x", ""), (12, "http://b.com/", "plain < text"), (13, "http://c.com/1", "<div class=x><p>only</p></div><form>f</form>")]
     table = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("clash"))
     found = by_id(template.main_text(table), "page_id")
-    assert found[3]["text"] == "Head 3 Text & bold3 next Two lines Read more on our site"
-    # Where no name tells the article, a text that stands on every page of the host is part of the template.
+    # A text that stands on every page of the host is part of the template, within an article named as one too.
+    assert found[3]["text"] == "Head 3 Text & bold3 next 3 Two lines 3"
     assert found[23]["text"] == "Story 3 goes on"
     assert found[10]["text"] == found[11]["text"] == "" and found[12]["text"] == "plain < text" and found[13]["text"] == "only"
     assert template.main_text(table.limit(0)).count() == 0
