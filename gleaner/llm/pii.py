@@ -10,10 +10,13 @@ texts that has such a form and is no base span is neither: it takes no part in t
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import math
 import random
 import re
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +27,16 @@ from gleaner.llm.common import map_batches, texts
 
 KINDS = ("email", "ip", "card", "phone")
 MOST_TOKENS = 7
-#: Texts that training looks at, chosen by the hash of the text.
-TRAINING_TEXTS = 500
+#: Letters of the longest entity; a longer segment is none.
+LONGEST = 120
+#: Texts that training looks at, chosen by the hash of the text, and the letters of the longest of them: both bound what comes
+#: to the driver.
+TRAINING_TEXTS, TRAINING_LETTERS = 500, 20_000
 #: Least conditional probability of a segment that is added.
 SURE = 0.9
 
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# A match begins where its digits begin: from a later digit it would end alike.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -37,6 +44,8 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _TOKEN = re.compile(r"\S+")
 _DIGIT = re.compile(r"[0-9]")
+_TELLING = re.compile(r"@|[0-9]+")
+_ZEROS = str.maketrans("123456789", "000000000")
 _LABEL, _BRACKETED, _WRITTEN = r"[A-Za-z0-9-]+", r"[ ]*[\[({{][ ]*(?:{0})[ ]*[\])}}][ ]*", r"[ ]+{0}[ ]+"
 _DOT = rf"(?:{_WRITTEN.format('dot')}|{_BRACKETED.format('dot|[.]')})"
 #: Addresses with a written at. With an at of two letters alone the dots are written too: `look at index.html` is no address.
@@ -93,29 +102,26 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (s[0], s[2]))
 
 
-def stretches(text: str) -> Iterable[list[tuple[int, int]]]:
-    """Runs of tokens that could hold personal data, with a token around each run."""
-    tokens = [m.span() for m in _TOKEN.finditer(text)]
-    hidden = [m.span() for m in _HIDDEN.finditer(text)] if _AT_WORD.search(text) else []
-    at, hot = 0, []
-    for i, (a, b) in enumerate(tokens):
-        while at < len(hidden) and hidden[at][1] <= a:
-            at += 1
-        if "@" in text[a:b] or _DIGIT.search(text, a, b) or at < len(hidden) and hidden[at][0] < b:
-            hot.append(i)
-    run: list[int] = []
-    for i in hot:
-        if run and i - run[-1] > MOST_TOKENS:
-            yield tokens[max(0, run[0] - 1) : run[-1] + 2]
-            run = []
-        run.append(i)
-    if run:
-        yield tokens[max(0, run[0] - 1) : run[-1] + 2]
+def stretches(text: str) -> Iterable[np.ndarray]:
+    """Runs of tokens (start, end) that could hold personal data, with a token around each run; some bytes a token."""
+    tokens = np.fromiter(chain.from_iterable(m.span() for m in _TOKEN.finditer(text)), np.int32).reshape(-1, 2)
+    # A run of digits or an @ lies within one token, an address with a written at in several.
+    found = np.fromiter((m.start() for m in _TELLING.finditer(text)), np.int32)
+    hot = [np.searchsorted(tokens[:, 1], found, "right")]
+    for m in _HIDDEN.finditer(text) if _AT_WORD.search(text) else ():
+        hot.append(np.arange(np.searchsorted(tokens[:, 1], m.start(), "right"), np.searchsorted(tokens[:, 0], m.end())))
+    hot = np.unique(np.concatenate(hot))
+    if not len(hot):
+        return
+    edges = np.flatnonzero(np.diff(hot) > MOST_TOKENS) + 1
+    for first, last in zip(hot[np.concatenate([[0], edges])].tolist(), hot[np.concatenate([edges - 1, [len(hot) - 1]])].tolist()):
+        yield tokens[max(0, first - 1) : last + 2]
 
 
 def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
     """Segment without the punctuation around it."""
-    while start < end and text[start] in "\"'([{<,;:" and not (text[start] == "(" and ")" in text[start:end]):
+    closed = text.rfind(")", start, end)
+    while start < end and text[start] in "\"'([{<,;:" and not (text[start] == "(" and closed > start):
         start += 1
     while end > start and text[end - 1] in "\"')]}>,;:.!?":
         end -= 1
@@ -158,12 +164,13 @@ def features(text: str, start: int, end: int, tokens: int, kind: int) -> list[st
 
 def _plausible(span: str) -> bool:
     """A segment that could be an entity at all: an @, written or not, three dots, or the digits of a short phone number."""
-    return len(span) <= 120 and ("@" in span or _AT_WORD.search(span) and _HIDDEN.fullmatch(span) or span.count(".") >= 3 and "0" <= span[0] <= "9" or sum(map(span.count, "0123456789")) >= 9)
+    return len(span) <= LONGEST and ("@" in span or _AT_WORD.search(span) and _HIDDEN.fullmatch(span) or span.count(".") >= 3 and "0" <= span[0] <= "9" or sum(map(span.count, "0123456789")) >= 9)
 
 
 def _segments(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, int, int, int, list[str]]]:
     """(first token, token after, start, end, kind, features) of every candidate entity."""
     out = []
+    tokens = [(int(a), int(b)) for a, b in tokens]
     for i in range(len(tokens)):
         for j in range(i + 1, min(i + MOST_TOKENS, len(tokens)) + 1):
             start, end = _trimmed(text, tokens[i][0], tokens[j - 1][1])
@@ -193,6 +200,9 @@ def rewritten(span: str, kind: int, draw: random.Random) -> str:
     digits = "".join(c for c in span if c.isdigit())
     if kind == 0:
         local, domain = span.split("@", 1)
+        # Addresses without digits and with fewer labels look alike.
+        local = (draw.random() < 0.5 and re.sub("[0-9]", "", local).strip("._%+-")) or local
+        domain = ".".join(domain.split(".")[-2 if draw.random() < 0.5 else 0 :])
         at = draw.choice([" at ", " [at] ", " (at) ", "[at]", "(at)"])
         return local + at + domain.replace(".", draw.choice([" dot ", "[dot]", "(dot)", " [dot] ", *["."] * (at != " at ")]))
     if kind == 1:
@@ -291,42 +301,126 @@ def train(samples: list[str], rounds: int = 8, step: float = 0.5, shrink: float
     return weights
 
 
-def decode(text: str, tokens: list[tuple[int, int]], weights: dict[str, float]) -> list[tuple[int, int, int, float]]:
-    """Best segmentation of a stretch: (start, end, kind, conditional probability) of its entities."""
-    segments = _segments(text, tokens)
-    if not segments:
-        return []
+class Scores:
+    """Scores of segments by their form; what it knows of a form is kept for the next segment.
+
+    No feature looks at a digit itself but by the check digit and the size of octets, so segments of equal form and checks score
+    alike. Of the form of a segment of digits and separators alone, only what has a weight is told apart.
+    """
+
+    def __init__(self, weights: dict[str, float], remembered: int = 50_000):
+        self.weights, self.remembered = weights, remembered
+        self.known: dict[tuple, tuple[float, ...] | None] = {}
+        # Features of group lengths and of shapes that have a weight, of whatever kind.
+        self.lengths = {f.partition(":lengths=")[2] for f in weights if ":lengths=" in f}
+        self.shapes = {f.partition(":shape=")[2] for f in weights if ":shape=" in f}
+
+    def _form(self, span: str) -> tuple:
+        form = span.translate(_ZEROS)
+        n = form.count("0")
+        checks = 14 <= n <= 19 and luhn("".join(re.findall("[0-9]", span)))
+        if not _NUMERIC(form):
+            return form, checks
+        groups = form.translate(_GAPS).split()
+        shape = _RUNS.sub("0", form)[:24]
+        lengths = _lengths(groups)
+        octets = len(groups) == 4 and _IP_FORM(form) is not None and all(len(g) <= 3 and int(g) <= 255 for g in span.split("."))
+        plain = lengths if lengths in self.lengths else "", shape if shape in self.shapes else ""
+        return (*plain, min(n, 20), min(len(groups), 8), _IP_FORM(form) is not None, span[:1] == "+", form.count(".") >= 3 and form[0] == "0", checks, octets)
+
+    def __call__(self, text: str, tokens: list[tuple[int, int]]) -> tuple[int, int, tuple[float, ...]] | None:
+        """(start, end, score of each kind) of the segment of all `tokens`; null if it can be no entity."""
+        start, end = _trimmed(text, tokens[0][0], tokens[-1][1])
+        if end - start > LONGEST or start >= tokens[0][1] or end <= tokens[-1][0]:
+            return None
+        span = text[start:end]
+        key = len(tokens), *self._form(span)
+        if key not in self.known:
+            if len(self.known) > self.remembered:
+                self.known.clear()
+            self.known[key] = (
+                tuple(sum(self.weights.get(f, 0.0) for f in features(text, start, end, len(tokens), k)) for k in range(len(KINDS)))
+                if _plausible(span)
+                else None
+            )
+        found = self.known[key]
+        return found and (start, end, found)
+
+
+_IP_FORM = re.compile(r"0+(?:\.0+){3}").fullmatch
+_NUMERIC = re.compile(r"[0 ().+-]*").fullmatch
+_RUNS = re.compile("0+")
+_GAPS = str.maketrans("().+-", "     ")
+
+
+def decode(text: str, tokens: np.ndarray, scores: Scores) -> list[tuple[int, int, int, float]]:
+    """Best segmentation of a stretch: (start, end, kind, conditional probability) of its entities.
+
+    Segments are scored as they come, in a window of `MOST_TOKENS` tokens, once from each side, so a stretch of any length
+    holds some numbers a token and no segment.
+    """
     n = len(tokens)
-    scores = np.array([sum(weights.get(f, 0.0) for f in s[5]) for s in segments])
-    best, back = np.zeros(n + 1), [-1] * (n + 1)
-    by_end: dict[int, list[int]] = {}
-    for k, s in enumerate(segments):
-        by_end.setdefault(s[1], []).append(k)
+    best, before, after = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
+    width, sort = np.zeros(n + 1, np.int8), np.zeros(n + 1, np.int8)
+    window: list[tuple[int, int]] = []
+    some = False
     for j in range(1, n + 1):
-        best[j] = best[j - 1]
-        for k in by_end.get(j, ()):
-            if best[segments[k][0]] + scores[k] > best[j]:
-                best[j], back[j] = best[segments[k][0]] + scores[k], k
-    before, after = _sums(n, segments, scores)
+        window = [*window[1 - MOST_TOKENS :], tuple(tokens[j - 1].tolist())]
+        top, sums = best[j - 1], [before[j - 1]]
+        for size in range(1, len(window) + 1):
+            found = scores(text, window[-size:])
+            if found:
+                some = True
+                for kind, score in enumerate(found[2]):
+                    sums.append(before[j - size] + score)
+                    if best[j - size] + score > top:
+                        top, width[j], sort[j] = best[j - size] + score, size, kind
+        best[j] = top
+        before[j] = _log_sum(sums)
+    if not some or not width.any():
+        return []
+    window = []
+    for i in range(n - 1, -1, -1):
+        window = [tuple(tokens[i].tolist()), *window[: MOST_TOKENS - 1]]
+        sums = [after[i + 1]]
+        for size in range(1, len(window) + 1):
+            found = scores(text, window[:size])
+            if found:
+                sums.extend(after[i + size] + score for score in found[2])
+        after[i] = _log_sum(sums)
     out, j = [], n
     while j > 0:
-        if back[j] < 0:
+        size = int(width[j])
+        if not size:
             j -= 1
             continue
-        i, _, start, end, kind, _ = segments[back[j]]
-        out.append((start, end, kind, float(np.exp(before[i] + scores[back[j]] + after[j] - before[n]))))
-        j = i
+        start, end, found = scores(text, [tuple(t) for t in tokens[j - size : j].tolist()])
+        score = found[sort[j]]
+        out.append((start, end, int(sort[j]), math.exp(before[j - size] + score + after[j] - before[n])))
+        j -= size
     return out[::-1]
 
 
-def all_spans(text: str, weights: dict[str, float]) -> tuple[list[Span], list[Span]]:
+def _log_sum(values: list[float]) -> float:
+    if len(values) == 1:
+        return values[0]
+    most = max(values)
+    return most + math.log(sum(math.exp(v - most) for v in values))
+
+
+def all_spans(text: str, weights: dict[str, float] | Scores) -> tuple[list[Span], list[Span]]:
     """Base spans, and base spans with the segments of the field that touch none of them."""
+    scores = weights if isinstance(weights, Scores) else Scores(weights)
     base = base_spans(text)
     found = list(base)
     if "@" in text or _DIGIT.search(text) or _AT_WORD.search(text):
+        ends = np.maximum.accumulate([b for _, b, _ in base]) if base else np.empty(0, np.int64)
+        starts = [a for a, _, _ in base]
         for tokens in stretches(text):
-            for start, end, kind, sure in decode(text, tokens, weights):
-                if sure >= SURE and all(end <= a or b <= start for a, b, _ in base):
+            for start, end, kind, sure in decode(text, tokens, scores):
+                # Of the base spans that begin before its end, the one that reaches farthest ends before it.
+                at = bisect.bisect_left(starts, end)
+                if sure >= SURE and (at == 0 or ends[at - 1] <= start):
                     found.append((start, end, kind))
     return base, sorted(found, key=lambda s: (s[0], s[2]))
 
@@ -336,8 +430,11 @@ def written(spans: list[Span]) -> str:
 
 
 def learned_weights(docs: DataFrame, training: int = TRAINING_TEXTS) -> dict[str, float]:
-    """Weights from about `training` distinct texts with a digit group or an @, chosen and ordered by hash; a bounded collect."""
-    seen = docs.filter(F.col("text").rlike("@[A-Za-z0-9]|[0-9][0-9 .-]{6}")).filter(F.length("text") < 20000)
+    """Weights from about `training` distinct texts with a digit group or an @, chosen and ordered by hash; a bounded collect.
+
+    Texts of `TRAINING_LETTERS` and more do not train.
+    """
+    seen = docs.filter(F.col("text").rlike("@[A-Za-z0-9]|[0-9][0-9 .-]{6}")).filter(F.length("text") < TRAINING_LETTERS)
     every = max(1, seen.agg(F.approx_count_distinct("text")).first()[0] // training)
     mark = F.xxhash64("text")
     chosen = seen.filter(F.pmod(mark, F.lit(every)) == 0).select("text").distinct().orderBy(mark, "text").limit(2 * training)
@@ -347,16 +444,17 @@ def learned_weights(docs: DataFrame, training: int = TRAINING_TEXTS) -> dict[str
 def personal_data(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """doc_id, counts of the base kinds, their spans and all spans (`kind:start:end`, code points) of every row.
 
-    One pass over the texts, no shuffle; the weights are a few hundred numbers. A null or empty text has no spans; an empty
-    table gives no rows and trains on nothing.
+    One pass over the texts, no shuffle; the weights are a few hundred numbers. A null or empty text has no spans; a text of any
+    length is read whole, with some numbers a token; repeated rows come out repeated; an empty table gives no rows and trains on
+    nothing.
     """
     docs = texts(docs)
-    weights = learned_weights(docs) if weights is None else weights
+    scores = Scores(learned_weights(docs) if weights is None else weights)
 
     def rows(batch: pa.RecordBatch) -> dict[str, list]:
         out: dict[str, list] = {f"n_{k}": [] for k in KINDS} | {"base": [], "base_sha256": [], "spans": []}
         for text in batch["text"].to_pylist():
-            base, found = all_spans(text, weights)
+            base, found = all_spans(text, scores)
             for k, name in enumerate(KINDS):
                 out[f"n_{name}"].append(sum(s[2] == k for s in base))
             out["base"].append(written(base))
