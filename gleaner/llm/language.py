@@ -30,7 +30,7 @@ TRAINING_TEXTS, TRAINING_WORDS = 400, 120
 #: Hash slots of the features, rounds of training, chains of it, and what pulls weights to zero.
 SLOTS, ROUNDS, CHAINS, SHRINK = 1 << 17, 40, 900, 1e-3
 _PRIME, _MIXER, _SHIFT = np.uint64(1_000_003), np.uint64(0x9E3779B97F4A7C15), np.uint64(47)
-#: Languages that training reads, the first of each before the second of any.
+#: Languages that training reads, those with most ids.
 LANGUAGES = 100
 #: Words of a block of a chain, blocks summed at once, words and letters remembered per Python worker, characters cut into
 #: words at once. They bound memory and change no result.
@@ -378,11 +378,11 @@ def learned_field(docs: DataFrame, most: int = TRAINING_TEXTS, size: int = TRAIN
     """
     known = docs.filter("doc_id is not null and lang is not null").filter(~held_out(F.col("doc_id")))
     mark = F.xxhash64("doc_id")
-    sizes = known.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"))
-    some = known.select("doc_id", "lang").join(sizes, "lang").filter(F.pmod(mark, F.greatest(F.lit(1), F.floor(F.col("ids") / (2 * most)))) == 0)
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids")).orderBy(F.desc("ids"), "lang").limit(LANGUAGES)
+    some = known.select("doc_id", "lang").join(F.broadcast(sizes), "lang").filter(F.pmod(mark, F.greatest(F.lit(1), F.floor(F.col("ids") / (2 * most)))) == 0)
     first = F.row_number().over(Window.partitionBy("lang").orderBy(mark, "doc_id"))
     chosen = some.select("doc_id", "lang").distinct().withColumn("rank", first).filter(F.col("rank") <= most)
-    chosen = cut_lineage(chosen.orderBy("rank", "lang").limit(most * LANGUAGES).select("doc_id", "lang"))
+    chosen = cut_lineage(chosen.select("doc_id", "lang"))
     letters = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
     start = F.pmod(mark, F.greatest(F.lit(1), F.size("words") - size + 1)).cast("int") + 1
     rows = known.join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "lang", letters.alias("words"))
