@@ -116,7 +116,7 @@ def _unpacked(found: DataFrame, rows: DataFrame) -> DataFrame:
 def held_stops(messages: DataFrame, run: str, ts: str, is_stop: Column, delay: str = "10 minutes") -> DataFrame:
     """The stop records of a stream, each held until the watermark has passed it.
 
-    Only stops are kept as state, by run, with a timer at the last of them; then they are sent and the run is forgotten.
+    Only stops are kept as state, by run, with a timer at the first of them; a run whose stops are all sent is forgotten.
     A stop that is itself later than `delay` is dropped, as a watermark does; one without a time is not among them.
     """
     # The condition looks at the time, as one that does not would be pushed below the watermark, which then saw stops alone.
@@ -124,20 +124,22 @@ def held_stops(messages: DataFrame, run: str, ts: str, is_stop: Column, delay: s
     stops = _packed(messages, ts, delay).filter(timed_stop).select(run, ts, "_us", "_row")
 
     def hold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = state.getCurrentWatermarkMs()
+        held = list(zip(*state.get)) if state.exists else []
         if state.hasTimedOut:
-            [rows] = state.get
+            yield pd.DataFrame({"_row": [row for us, row in held if us // 1000 < now]})
+            held = [(us, row) for us, row in held if us // 1000 >= now]
+        else:
+            for batch in batches:
+                held += zip(batch["_us"].tolist(), batch["_row"].tolist())
+        if held:
+            state.update(tuple(map(list, zip(*held))))
+            state.setTimeoutTimestamp(max(min(us for us, _ in held) // 1000, now + 1))
+        else:
             state.remove()
-            yield pd.DataFrame({"_row": rows})
-            return
-        rows, last = list(state.get[0]) if state.exists else [], 0
-        for batch in batches:
-            rows += batch["_row"].tolist()
-            last = max(last, int(batch["_us"].max()) // 1000)
-        state.update((rows,))
-        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs() + 1))
 
     found = stops.groupBy(run).applyInPandasWithState(
-        hold, "_row string", "rows array<string>", "append", GroupStateTimeout.EventTimeTimeout
+        hold, "_row string", "times array<bigint>, rows array<string>", "append", GroupStateTimeout.EventTimeTimeout
     )
     return _unpacked(found, messages)
 
