@@ -2,8 +2,10 @@
 
 The tokens of a page are its elements, named by their path, and the texts of its blocks. The occurrence vector of a token says
 how often it stands on each page of a host; tokens with the same vector are one class. Every class that stands on at least `SUPPORT` of
-the distinct pages with elements is part of the template, so an odd page does not end it. Classes nest as their paths do: an
-element stands wherever a token within it does. Among the classes of elements that stand once on each of their pages, the innermost
+the distinct pages with elements is part of the template, so an odd page does not end it. A class on fewer pages tells an optional
+part of the template where it holds a named element and texts within it: whenever the element stands, it says the same, as a notice on
+some of the pages does. If the texts of such a class are half of the text of its pages, they are copies of an article and stay.
+Classes nest as their paths do: an element stands wherever a token within it does. Among the classes of elements that stand once on each of their pages, the innermost
 one around the text that is no menu, notice or advert holds the slots. Names of elements choose within it: an article, or what is
 named like one, is taken if it holds at least half of that text, so a teaser never stands for the story beside it, and all
 articles count. The texts of the template go from the pages they stand on; what is left, in page order, is the main text.
@@ -262,7 +264,13 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
-TOKENS = "host string, token string, vector long, pages long, once long, chars long, around long"
+def named_part(path: str) -> str:
+    """The innermost element on a path that has a class, id or role; empty if none has."""
+    end = path.rfind("/", 0, path.rfind(".") + 1) if "." in path else -1
+    return path[: path.index("/", end + 1) + 1] if end >= 0 else ""
+
+
+TOKENS = "host string, token string, part string, vector long, pages long, once long, chars long, around long"
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -276,15 +284,19 @@ def templates(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: dict[tuple[str, str], list[int]] = {}
+            found: dict[tuple[str, str, str], list[int]] = {}
             for host, page_id, source in zip(*[batch[c].to_pylist() for c in ("host", "page_id", "html")]):
                 page = Page(source)
                 if not page.elements:
                     continue
                 counts = Counter(page.elements)
                 chars: Counter[str] = Counter()
+                parts: dict[str, str] = {}
                 for path, text in page.blocks:
-                    counts[text_token(path, text)] += 1
+                    token = text_token(path, text)
+                    counts[token] += 1
+                    chars[token] += len(text)
+                    parts[token] = named_part(path)
                     for i, c in enumerate(path):
                         if c == "/":
                             chars[path[: i + 1]] += len(text)
@@ -293,19 +305,20 @@ def templates(pages: DataFrame) -> DataFrame:
                 around = sum(len(text) for _, text in page.blocks)
                 for token, n in counts.items():
                     mark = int.from_bytes(hashlib.blake2b(f"{page_id}:{n}".encode(), digest_size=7).digest(), "little")
-                    row = found.setdefault((host, token), [0, 0, 0, 0, 0])
+                    row = found.setdefault((host, token, parts.get(token, "")), [0, 0, 0, 0, 0])
                     row[0] = (row[0] + mark) & ((1 << 56) - 1)
                     row[1] += 1
                     row[2] += n == 1
                     row[3] += chars[token]
                     row[4] += around
-            columns = [[k[0] for k in found], [k[1] for k in found], *zip(*found.values())] if found else [[]] * 7
+            columns = [*zip(*found), *zip(*found.values())] if found else [[]] * len(arrow)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     copies = pages.groupBy("host", F.xxhash64("html").alias("mark")).agg(F.count("*").alias("n"), F.min("page_id").alias("first")).filter("n > 1")
     marked = lookup_join(pages.withColumn("mark", F.xxhash64("html")), cut_lineage(copies.drop("n")), ["host", "mark"])
     distinct = marked.filter("first is null or page_id = first").select("host", "page_id", "html")
     sums = distinct.mapInArrow(run, TOKENS).groupBy("host", "token").agg(
+        F.max("part").alias("part"),
         F.pmod(F.sum(F.col("vector") % F.lit(1 << 40)), F.lit(1 << 40)).alias("vector"),
         F.sum("pages").alias("pages"),
         F.sum("once").alias("once"),
@@ -315,14 +328,20 @@ def templates(pages: DataFrame) -> DataFrame:
     # Texts that stand on fewer pages leave first.
     sums = cut_lineage(sums.filter("token not like '#%' or pages >= " + str(LEAST_PAGES)))
     whole = sums.filter("token = ''").select("host", F.col("pages").alias("_pages"))
-    supported = sums.join(whole, "host").filter((F.col("token") != "") & (F.col("pages") >= SUPPORT * F.col("_pages")))
+    supported = F.col("pages") >= SUPPORT * F.col("_pages")
+    tokens = sums.join(whole, "host").filter((F.col("token") != "") & (supported | (F.col("pages") >= LEAST_PAGES)))
     element = ~F.col("token").startswith("#")
-    enough = element & (F.col("once") == F.col("pages")) & (F.col("chars") >= SHARE * F.col("around"))
+    enough = element & supported & (F.col("once") == F.col("pages")) & (F.col("chars") >= SHARE * F.col("around"))
     best = F.struct(F.length("token").alias("length"), F.col("token").alias("path"))
-    classes = supported.groupBy("host", "vector", "pages").agg(
-        F.max(F.when(enough, best)).alias("best"), F.collect_list(F.when(~element, F.col("token"))).alias("texts")
+    classes = tokens.groupBy("host", "vector", "pages", "_pages").agg(
+        F.max(F.when(enough, best)).alias("best"),
+        F.collect_list(F.when(~element, F.struct("token", "part"))).alias("texts"),
+        F.collect_list(F.when(element, F.col("token"))).alias("elements"),
+        (2 * F.coalesce(F.sum(F.when(~element, F.col("chars"))), F.lit(0)) < F.max("around")).alias("beside"),
     )
-    found = classes.groupBy("host").agg(F.max("best").alias("best"), F.flatten(F.collect_list("texts")).alias("template"))
+    texts = F.filter("texts", lambda t: supported | F.col("beside") & F.array_contains("elements", t["part"]))
+    classes = classes.select("host", "best", F.transform(texts, lambda t: t["token"]).alias("texts"))
+    found = classes.filter("best is not null or size(texts) > 0").groupBy("host").agg(F.max("best").alias("best"), F.flatten(F.collect_list("texts")).alias("template"))
     return found.select("host", F.col("best.path").alias("region"), "template")
 
 

@@ -88,6 +88,27 @@ def test_template_equals_a_direct_deduction(spark):
         assert found[host] == (max(inner, key=lambda t: (len(t), t)), {t for t in wide if t.startswith("#")})
 
 
+def test_a_notice_on_few_pages_goes_with_the_element_that_always_holds_it(spark):
+    draw = random.Random(3)
+    rows = host_pages(draw, 40, "<div class='q7'>{}</div>", notices=False)
+    box = "<div class='z9'><p>Meet us at the fair</p></div></body>"
+    given = [(i, f"http://a.org/{i}", h.replace("</body>", box) if i < 8 else h) for i, (h, _) in enumerate(rows)]
+    # The same words in an element that says something else elsewhere, and near copies of an article in an element of their own, stay.
+    quote = [(h.replace("</p></div><div class='x2'>", f"</p><p class='k2'>{'Said so' if i < 26 else i}</p></div><div class='x2'>"), i) for i, (h, _) in enumerate(rows) if 20 <= i < 32]
+    given = [(i, u, dict((k, q) for q, k in quote).get(i, h)) for i, u, h in given]
+    copy = "long copied words of the story " * 40
+    given += [(100 + k, f"http://a.org/c{k}", f"<body><div class='x1'>Home</div><div class='r5'><p>{copy}</p><p>take {k}</p></div></body>") for k in range(6)]
+    found = texts(spark, given)
+    assert all(found[i] == [rows[i][1]] for i in range(8))
+    assert all(found[i][0].endswith("Said so") for i in range(20, 26))
+    assert all(copy.strip() in found[100 + k][0] for k in range(6))
+
+
+@pytest.mark.parametrize("path,part", [("/html/div.a.b/p/", "/html/div.a.b/"), ("/div.a/div.b/", "/div.a/div.b/"), ("/html/p/", ""), ("/", "")])
+def test_named_part(path, part):
+    assert template.named_part(path) == part
+
+
 def test_very_long_and_many_blocks(spark):
     long = "<article>" + "".join(f"<p>part {k} of it</p>" for k in range(60_000)) + "</article>"
     [found] = texts(spark, [(1, None, long)])[1]
