@@ -29,26 +29,29 @@ from gleaner.llm.common import map_batches, texts
 REMEMBERED = 300_000
 #: Positions of a rank from which they are merged at once; it changes no result.
 MANY = 40
+#: Bytes of a word up to which words of a length are merged side by side; it changes no result.
+SIDE = 32
+#: Above the rank of every pair.
+_NONE = np.int32(1 << 30)
 
 # White space as the pattern language of the vocabulary file sees it, and the word pattern of the file.
 _SPACE = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")
 #: Beyond these letters the library's and this module's Unicode tables can differ in age; the library cuts such chunks.
-_VISIBLE = re.compile(r"[!-~]*").fullmatch
 _PLAIN = re.compile(r"[\x00-\u052f]*").fullmatch
 
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, library: bool = False) -> Encoder:
+def encoder(path: str, side_by_side: bool = False) -> Encoder:
     """The encoder of a vocabulary file, made once per Python worker.
 
-    `library` lets the library's model merge words instead of the pair index.
+    `side_by_side` merges words of one length in lockstep instead of by the pair index.
     """
-    key = path, library
+    key = path, side_by_side
     if key not in _ENCODERS:
         with open(path, encoding="utf-8") as file:
-            _ENCODERS[key] = Encoder(file.read(), library)
+            _ENCODERS[key] = Encoder(file.read(), side_by_side)
     return _ENCODERS[key]
 
 
@@ -66,11 +69,11 @@ def _byte_letters() -> list[str]:
 
 
 class Encoder:
-    def __init__(self, text: str, library: bool):
-        self.library = library
+    def __init__(self, text: str, side_by_side: bool):
         file = json.loads(text)
         model = file["model"]
-        self.rules = Tokenizer.from_str(text)
+        # Only the text rules are asked of the library; its model would take more memory than all else here.
+        self.rules = Tokenizer.from_str(json.dumps({**file, "added_tokens": [], "model": {**model, "vocab": {}, "merges": []}}))
         self.ids: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"] or ""
         self.merges: dict[int, tuple[int, int]] = {}
@@ -91,8 +94,11 @@ class Encoder:
         self.last = np.array([self.ids[c + self.suffix] for c in letters], np.int32)
         self.pairs = np.array(sorted(self.merges))
         self.pair_ranks = np.array([self.merges[p][0] for p in self.pairs.tolist()])
-        self.letters = dict(enumerate(letters))
         self.known: dict[str, bytes] = {}
+        self.words_ids = self.merged
+        if side_by_side:
+            self.words_ids = self.merged_side_by_side
+            self._hash_pairs()
 
     def _ranks(self, pairs: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 where it does not merge."""
@@ -182,6 +188,93 @@ class Encoder:
         bounds = [0, *(4 * np.cumsum(left)[ends - 1]).tolist()]
         return [packed[i:j] for i, j in zip(bounds, bounds[1:])]
 
+    def _hash_pairs(self) -> None:
+        """A hash table of the pairs, at most an eighth full; a pair stands in the first free slot from its own on."""
+        self.shift = np.uint64(61 - max(1, len(self.pairs)).bit_length())
+        size = 1 << (64 - int(self.shift))
+        self.slot_pair, self.slot_rank = np.full(size, -1), np.full(size, _NONE)
+        self.made = np.array([self.merges[a << 20 | b][1] for a, b in self.parts], np.int32)
+        left, slot = np.arange(len(self.pairs)), self._slots(self.pairs)
+        while len(left):
+            free = self.slot_pair[slot] < 0
+            self.slot_pair[slot[free]] = self.pairs[left[free]]
+            got = self.slot_pair[slot] == self.pairs[left]
+            self.slot_rank[slot[got]] = self.pair_ranks[left[got]] * SIDE
+            left, slot = left[~got], (slot[~got] + 1) % size
+
+    def _slots(self, pairs: np.ndarray) -> np.ndarray:
+        return ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def _hashed_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """`SIDE` times the rank of each pair, `_NONE` where it does not merge."""
+        pairs = left.astype(np.int64) << 20 | right
+        slot = self._slots(pairs)
+        there = self.slot_pair[slot]
+        ranks = np.where(there == pairs, self.slot_rank[slot], _NONE)
+        other = np.flatnonzero((there != pairs) & (there >= 0))
+        while len(other):
+            slot[other] = (slot[other] + 1) % len(self.slot_pair)
+            there = self.slot_pair[slot[other]]
+            met = there == pairs[other]
+            ranks[other[met]] = self.slot_rank[slot[other[met]]]
+            other = other[~met & (there >= 0)]
+        return ranks
+
+    def merged_side_by_side(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, little-endian: words of a length stand side by side, and each round merges the best pair of each.
+
+        Words longer than `SIDE` bytes go through the pair index.
+        """
+        coded = [word.encode() for word in words]
+        size = np.fromiter(map(len, coded), np.int64, len(coded))
+        begins = np.cumsum(size) - size
+        data = np.frombuffer(b"".join(coded), np.uint8)
+        out: list[bytes] = [b""] * len(words)
+        order = np.argsort(size, kind="stable")
+        cuts = np.flatnonzero(np.diff(size[order], prepend=0)).tolist()
+        for i, j in zip(cuts, [*cuts[1:], len(order)]):
+            own, n = order[i:j].tolist(), int(size[order[i]])
+            if n > SIDE:
+                found = self.merged([words[k] for k in own])
+            else:
+                found = self._lockstep(data[begins[order[i:j]] + np.arange(n)[:, None]])
+            for k, ids in zip(own, found):
+                out[k] = ids
+        return out
+
+    def _lockstep(self, letters: np.ndarray) -> list[bytes]:
+        """Ids of each column of bytes."""
+        n, m = letters.shape
+        # The row behind the last letters stands for "no symbol" on either side of a word.
+        symbol = np.full((n + 1, m), 0xFFFFF, np.int32)
+        symbol[:n] = self.inner[letters]
+        symbol[n - 1] = self.last[letters[n - 1]]
+        place = np.arange((n + 1) * m).reshape(n + 1, m)
+        after, before = np.roll(place, -1, axis=0).ravel(), np.roll(place, 1, axis=0).ravel()
+        # Rank and row of each pair in one number, so the least of a column is its first pair of the best rank.
+        best = np.full((n + 1, m), _NONE)
+        best[: n - 1] = self._hashed_ranks(symbol[: n - 1].ravel(), symbol[1:n].ravel()).reshape(n - 1, m) + np.arange(n - 1, dtype=np.int32)[:, None]
+        flat, ranks = symbol.ravel(), best.ravel()
+        while True:
+            least = best.min(axis=0)
+            column = np.flatnonzero(least < _NONE)
+            if len(column) == 0:
+                break
+            rank, row = np.divmod(least[column], np.int32(SIDE))
+            new = self.made[rank]
+            p = row.astype(np.int64) * m + column
+            q = after[p]
+            follows, leads = after[q], before[p]
+            flat[p], flat[q], ranks[q] = new, -1, _NONE
+            after[p], before[follows] = follows, p
+            ranks[p] = self._hashed_ranks(new, flat[follows]) + row
+            ranks[leads] = self._hashed_ranks(flat[leads], new) + (leads // m).astype(np.int32)
+        kept = symbol[:n].T
+        left = kept >= 0
+        packed = kept[left].astype("<u4").tobytes()
+        bounds = [0, *(4 * np.cumsum(left.sum(axis=1))).tolist()]
+        return [packed[a:b] for a, b in zip(bounds, bounds[1:])]
+
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
         """Ids of chunks not met before, remembered for later batches."""
         if len(self.known) + len(chunks) > REMEMBERED:
@@ -198,19 +291,13 @@ class Encoder:
             else:
                 parts[chunk] = self._cut(chunk)
         words = list({*whole.values(), *chain.from_iterable(parts.values())})
-        ids = dict(zip(words, self.model_ids(words) if self.library else self.merged(words))) if words else {}
+        ids = dict(zip(words, self.words_ids(words))) if words else {}
         new = {chunk: ids[word] for chunk, word in whole.items()}
         for chunk, found in parts.items():
             new[chunk] = b"".join([ids[w] for w in found])
         self.known.update(new)
         return new
 
-    def model_ids(self, words: list[str]) -> list[bytes]:
-        """Ids of each word by the library's own model, little-endian."""
-        model, letters = self.rules.model, self.letters
-        found = [[t.id for t in model.tokenize(w if _VISIBLE(w) else w.encode().decode("latin-1").translate(letters))] for w in words]
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
-
     def _cut(self, chunk: str) -> list[str]:
         """Words of a chunk by the library's own rules."""
         found = self.rules.pre_tokenizer.pre_tokenize_str(self.rules.normalizer.normalize_str(chunk))

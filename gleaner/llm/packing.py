@@ -39,9 +39,10 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> Data
         worker = TaskContext.get().partitionId()
         used = [0] * (capacity.bit_length() + 1)
         end = np.array([end_id], dtype="<u4").tobytes()
+        own = encoder(path, side_by_side=True)
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder(path, library=True).encode_batch(batch["text"].to_pylist())):
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), own.encode_batch(batch["text"].to_pylist())):
                 ids += end
                 tokens, start = len(ids) // 4, 0
                 for length in cut(tokens, capacity):

@@ -95,6 +95,16 @@ def test_pairs_that_overlap_merge_alike_at_many_places_and_at_few():
         assert own.decode(ids) == library.decode(want, skip_special_tokens=False)
 
 
+def test_words_side_by_side_equal_the_library():
+    own, library = bpe.encoder(PATH, side_by_side=True), Tokenizer.from_file(PATH)
+    draw = random.Random(6)
+    words = ["".join(draw.choices(letters, k=draw.randint(1, 45))) for letters in ("ab", "aab", "theing", "éeöß漢") for _ in range(300)]
+    letters = dict(enumerate(bpe._byte_letters()))
+    want = [[t.id for t in library.model.tokenize("".join(letters[b] for b in w.encode()))] for w in words]
+    assert own.merged_side_by_side(words) == [struct.pack(f"<{len(ids)}I", *ids) for ids in want]
+    assert own.merged_side_by_side([]) == [] and own.rules.get_vocab_size() == 0
+
+
 def test_packing(docs, empty):
     rows = packing.harmonic_pack(docs, PATH).collect()
     library = Tokenizer.from_file(PATH)
