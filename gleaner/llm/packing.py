@@ -52,6 +52,8 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> Data
                     start += length
             columns = zip(*rows) if rows else [()] * len(arrow)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+        # Spark keeps idle workers and takes them in turn; each would go on holding its words.
+        own.known.clear()
 
     return texts(docs).mapInArrow(run, PIECES)
 

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -105,6 +106,17 @@ def test_words_side_by_side_equal_the_library():
     assert own.merged_side_by_side([]) == [] and own.rules.get_vocab_size() == 0
 
 
+def test_packing_leaves_no_words_in_idle_workers(spark, docs):
+    packing.harmonic_pack(docs, PATH).count()
+
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(e.known) for (_, side), e in bpe._ENCODERS.items() if side], pa.int64())})
+
+    found = [r["n"] for r in spark.range(0, 400, 1, 16).mapInArrow(held, "n long").collect()]
+    assert found and max(found) == 0
+
+
 def test_packing(docs, empty):
     rows = packing.harmonic_pack(docs, PATH).collect()
     library = Tokenizer.from_file(PATH)
