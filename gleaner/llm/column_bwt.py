@@ -186,14 +186,13 @@ class Part:
         self.keys, self.count = np.unique(np.concatenate(keys), return_counts=True)
 
     def _keys(self, hashes: np.ndarray) -> np.ndarray:
-        """Bucket and 40 more bits of an anchor's hash, enough to filter by."""
-        return (hashes % self.buckets) << np.uint64(40) | (hashes >> np.uint64(20)) & np.uint64((1 << 40) - 1)
+        """Bucket and 32 more bits of an anchor's hash, enough to filter by: two anchors that share them are only sent needlessly."""
+        return (hashes % self.buckets) << np.uint64(32) | (hashes >> np.uint64(20)) & np.uint64((1 << 32) - 1)
 
     def sent(self) -> Iterator[tuple[int, bytes, bytes]]:
-        """(bucket, 40-bit keys in order, documents per key up to 255) for each bucket."""
-        low = _low_bytes(self.keys)
-        for bucket, a, b in _runs(self.keys >> np.uint64(40)):
-            yield bucket, low[a:b].tobytes(), np.minimum(self.count[a:b], 255).astype(np.uint8).tobytes()
+        """(bucket, 32-bit keys in order, packed, documents per key up to 255) for each bucket."""
+        for bucket, a, b in _runs(self.keys >> np.uint64(32)):
+            yield bucket, _packed_keys(self.keys[a:b]), np.minimum(self.count[a:b], 255).astype(np.uint8).tobytes()
 
     def entries(self, shared: dict[int, bytes]) -> None:
         """Strings around the anchors that `shared` marks, distinct ones once, each with its least document in this part.
@@ -203,7 +202,7 @@ class Part:
         and `number` say of each use of a string where it stands, how many windows it has and which string it is.
         """
         marks = np.zeros(len(self.keys), dtype=np.uint8)
-        for bucket, a, b in _runs(self.keys >> np.uint64(40)):
+        for bucket, a, b in _runs(self.keys >> np.uint64(32)):
             if bucket in shared:
                 marks[a:b] = np.frombuffer(shared[bucket], dtype=np.uint8)
         found = marks[np.searchsorted(self.keys, self._keys(self.hashes))] if len(self.keys) else marks
@@ -232,8 +231,8 @@ class Part:
             yield name, order[a:b]
 
     def packed(self, numbers: np.ndarray) -> bytes:
-        """Least document, 40 bits of the key, size and bytes of strings, compressed."""
-        keys = _low_bytes(self.entry_keys[numbers] >> np.uint64(20))
+        """Least document, 32 bits of the key, size and bytes of strings, compressed."""
+        keys = (self.entry_keys[numbers] >> np.uint64(20)).astype(np.uint32)
         parts = np.array([len(numbers)]), self.least[numbers], keys, self.size[numbers].astype(np.uint8), self.strings[numbers]
         return zstandard.ZstdCompressor(3).compress(b"".join([p.tobytes() for p in parts]))
 
@@ -248,16 +247,16 @@ class Part:
         return np.cumsum(starts, dtype=np.int32)[: len(self.data)] > 0
 
 
-def _low_bytes(numbers: np.ndarray) -> np.ndarray:
-    """The low five bytes of each number."""
-    return np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, 8)[:, :5]
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """The low 32 bits of keys in order: the steps between them by bytes of one weight, of which the high ones are mostly alike."""
+    low = keys.astype(np.uint32)
+    steps = np.diff(low, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4)
+    return zstandard.ZstdCompressor(3).compress(steps.T.tobytes())
 
 
-def _wide(low: np.ndarray) -> np.ndarray:
-    """Numbers of five bytes each."""
-    wide = np.zeros((len(low) // 5, 8), dtype=np.uint8)
-    wide[:, :5] = low.reshape(-1, 5)
-    return wide.view(np.uint64)[:, 0]
+def _unpacked_keys(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(steps.T).view(np.uint32)[:, 0], dtype=np.uint64)
 
 
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -291,7 +290,7 @@ def _shared_marks(table: pa.Table) -> list[tuple]:
     parts = table["part"].to_pylist()
     keys = []
     for data in table["data"].to_pylist():
-        keys.append(_wide(np.frombuffer(data, dtype=np.uint8)))
+        keys.append(_unpacked_keys(data))
     counts = np.concatenate([np.frombuffer(m, dtype=np.uint8) for m in table["more"].to_pylist()]).astype(np.int64)
     _, back = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(back, weights=counts)[back]
@@ -303,8 +302,8 @@ def _shared_marks(table: pa.Table) -> list[tuple]:
 def _unpacked(data: bytes) -> tuple[np.ndarray, ...]:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
     n = int(raw[:8].view(np.int64)[0])
-    least, keys, size, strings = np.split(raw[8:], np.cumsum([8 * n, 5 * n, n]))
-    return _wide(keys), least.view(np.int64), size.astype(np.int64), strings.reshape(n, WIDTH)
+    least, keys, size, strings = np.split(raw[8:], np.cumsum([8 * n, 4 * n, n]))
+    return keys.view(np.uint32).astype(np.uint64), least.view(np.int64), size.astype(np.int64), strings.reshape(n, WIDTH)
 
 
 def _covered(table: pa.Table) -> list[tuple]:
@@ -393,8 +392,8 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True, carry: Sequence[str]
     text has no bytes. Rows without an id come after all others and are no source for each other; rows of one id are one
     document. An empty table gives no rows.
 
-    Texts are shuffled once, compressed, and written by part to the shared checkpoint folder. What moves after that: five
-    bytes per anchor and part and a byte of marks back, then the distinct strings around shared anchors and a mask back.
+    Texts are shuffled once, compressed, and written by part to the shared checkpoint folder. What moves after that: two to
+    four bytes per anchor and part and a byte of marks back, then the distinct strings around shared anchors and a mask back.
     There are as many parts and buckets as shuffle partitions. The digest is that of the bytes left; in `kept` a letter of which
     bytes went goes whole.
     """

@@ -203,6 +203,14 @@ def test_repeats(docs, empty):
     assert column_bwt.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("n", [0, 1, 5_000])
+def test_anchor_keys_move_in_few_bytes(n):
+    keys = np.unique(np.random.default_rng(7).integers(0, 1 << 32, n, dtype=np.uint64))
+    data = column_bwt._packed_keys(keys | np.uint64(3 << 32))
+    assert (column_bwt._unpacked_keys(data) == keys).all()
+    assert n < 5_000 or len(data) < 3.2 * n
+
+
 def test_repeats_around_very_common_anchors(docs, monkeypatch):
     monkeypatch.setattr(column_bwt, "COMMON", 2)
     monkeypatch.setattr(column_bwt, "TOGETHER", 3)
