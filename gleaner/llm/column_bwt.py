@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import arrow_schema, partitions, small_batches, table_of
+from gleaner.llm.common import arrow_schema, give_back, partitions, small_batches, table_of
 from gleaner.llm.order_minhash import _mixed
 from gleaner.session import cut_lineage
 
@@ -353,6 +353,8 @@ def _by_bucket(notes: DataFrame, work) -> DataFrame:
         if table is not None:
             for bucket in sorted(set(table["bucket"].to_pylist())):
                 yield from _notes(work(table.filter(pc.equal(table["bucket"], bucket))), arrow).to_batches()
+        del table
+        give_back()
 
     return notes.repartitionById(partitions(spark), F.col("bucket")).mapInArrow(run, NOTE)
 
@@ -406,14 +408,19 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True, carry: Sequence[str]
 
     def first(table: pa.Table) -> pa.Table:
         part = table["part"][0].as_py()
-        return _notes([(bucket, part, 0, keys, counts) for bucket, keys, counts in Part(table, n).sent()], notes)
+        out = _notes([(bucket, part, 0, keys, counts) for bucket, keys, counts in Part(table, n).sent()], notes)
+        give_back()
+        return out
 
     def second(table: pa.Table, marks: pa.Table) -> pa.Table:
         if table.num_rows == 0:
             return notes.empty_table()
         part, number = Part(table, n), table["part"][0].as_py()
         part.entries(dict(zip(marks["bucket"].to_pylist(), marks["data"].to_pylist())))
-        return _notes([(b, number, 1, part.packed(own), None) for b, own in part.by_bucket()], notes)
+        out = _notes([(b, number, 1, part.packed(own), None) for b, own in part.by_bucket()], notes)
+        del part
+        give_back()
+        return out
 
     def third(table: pa.Table, found: pa.Table) -> pa.Table:
         if table.num_rows == 0:
@@ -427,7 +434,11 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True, carry: Sequence[str]
             masks[own] = np.frombuffer(answers[bucket], dtype=np.uint64)
         gone = part.gone(masks)
         out = [_kept(row, gone[a:b], keep_text) for row, a, b in zip(part.rows, part.begins.tolist(), part.ends.tolist())]
-        return table_of(result, dict(zip(result.names, zip(*out))))
+        del part, gone, masks, answers
+        found = table_of(result, dict(zip(result.names, zip(*out))))
+        del out
+        give_back()
+        return found
 
     grouped = docs.groupBy("part")
     marks = cut_lineage(_by_bucket(grouped.applyInArrow(first, NOTE), _shared_marks))

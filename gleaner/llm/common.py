@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -29,6 +30,18 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spread(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text"))
 
 
+def give_back() -> None:
+    """Return to the system the memory that a task of a Python worker has freed, at the end of the task.
+
+    Spark keeps idle workers and takes them in turn. What numpy and Arrow free stays with the process otherwise, so each worker
+    would hold on to the most that any stage before took.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, rows: Callable[[pa.RecordBatch], dict[str, list]], schema: str) -> DataFrame:
     """Apply `rows` (columns of the result by name) to each Arrow batch."""
     arrow = arrow_schema(df.sparkSession, schema)
@@ -38,6 +51,8 @@ def map_batches(df: DataFrame, rows: Callable[[pa.RecordBatch], dict[str, list]]
             if batch.num_rows:
                 found = rows(batch)
                 yield pa.RecordBatch.from_arrays([pa.array(found[f.name], f.type) for f in arrow], schema=arrow)
+                del found
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -61,6 +76,11 @@ def partitions(spark: SparkSession) -> int:
 EDGES = 50_000
 
 
+def few_tasks(spark: SparkSession, rows: int) -> int:
+    """Tasks that write a table of so many short rows: as few as its rows need, but one for each core."""
+    return min(partitions(spark), max(spark.sparkContext.defaultParallelism, rows // EDGES + 1))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the undirected `edges` (a, b); component is the least node reachable.
 
@@ -81,7 +101,7 @@ def components(edges: DataFrame) -> DataFrame:
                 edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             )
         before = state
-        tasks = min(partitions(spark), max(spark.sparkContext.defaultParallelism, state[0] // EDGES + 1))
+        tasks = few_tasks(spark, state[0])
         edges = cut_lineage(_small_star(_large_star(edges.coalesce(tasks), tasks).coalesce(tasks), tasks).coalesce(tasks))
 
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import arrow_schema, components, map_batches, partitions, texts
+from gleaner.llm.common import arrow_schema, components, few_tasks, give_back, map_batches, partitions, texts
 from gleaner.llm.order_minhash import _mixed
 from gleaner.session import cut_lineage
 
@@ -162,8 +162,9 @@ def forest_pairs(nodes: DataFrame, similarity: float) -> DataFrame:
             long = (trees[i] == trees[j]) & (keys[i, :RUN] == keys[j, :RUN]).all(axis=1)
             dense = np.unique(node[np.concatenate([i[long], j[long]])])
             found.append((dense, dense, np.full(len(dense), np.nan)))
-            held = [x[-REACH - 1 :] for x in now]
+            held = [x[-REACH - 1 :].copy() for x in now]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], schema=arrow)
+        give_back()
 
     return rows.mapInArrow(run, schema).groupBy("a", "b").agg(F.max("alike").alias("alike"))
 
@@ -248,6 +249,8 @@ def run_pairs(dense: DataFrame, levels: DataFrame, sets: DataFrame, groups: Data
                 block.append(rest)
         if len(block) > 1 and (last[1] == last[2] or len({x[0] for x in block}) == 2):
             yield compared(block)
+        block.clear()
+        give_back()
 
     return rows.mapInArrow(run, schema).unionByName(found).distinct()
 
@@ -311,6 +314,7 @@ def rare_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 yield first(batch)
+        give_back()
 
     rows = cut_lineage(kept.mapInArrow(run, schema).join(nodes, "node"))
     held = rows.groupBy("shingle", "component").agg(F.count("*").alias("n")).groupBy("shingle")
@@ -377,22 +381,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("levels").alias("levels"), F.first("places").alias("places")
         )
     )
+    # Links are two numbers a row: written by few tasks, as many small files and tasks take more memory than the links.
+    few = few_tasks(nodes.sparkSession, nodes.count())
     found = cut_lineage(forest_pairs(nodes, percent / 100))
     pairs, dense = found.filter("a < b"), found.filter("a = b").select(F.col("a").alias("node"))
     needed = found.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "digest"), "node")
     sets = cut_lineage(_sets(docs, needed, words))
     first = pairs.groupBy("b").agg(F.max_by("a", F.struct("alike", -F.col("a"))).alias("a")).select("a", "b")
-    links = cut_lineage(confirmed(first, sets, percent))
-    groups = cut_lineage(components(links))
+    links = cut_lineage(confirmed(first, sets, percent).repartition(few))
+    groups = cut_lineage(components(links).coalesce(few))
     side = lambda name: groups.select(F.col("node").alias(name), F.col("component").alias(f"of_{name}"))
     open_pairs = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").filter(
         F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
     )
-    late = cut_lineage(confirmed(open_pairs, sets, percent))
+    late = cut_lineage(confirmed(open_pairs, sets, percent).repartition(few))
     if late.limit(1).count():
         links = links.unionByName(late)
-        groups = cut_lineage(components(links))
-    rest = cut_lineage(confirmed(run_pairs(dense, nodes.select("node", "levels"), sets, groups, percent), sets, percent))
+        groups = cut_lineage(components(links).coalesce(few))
+    apart = run_pairs(dense, nodes.select("node", "levels"), sets, groups, percent)
+    rest = cut_lineage(confirmed(apart, sets, percent).repartition(few))
     groups = components(links.unionByName(rest)) if rest.limit(1).count() else groups
     member = nodes.select("digest", "node").join(groups, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     found = marks.select("doc_id", "n_shingles", "digest").join(member, "digest", "left")

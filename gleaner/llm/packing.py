@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.bpe import encoder
-from gleaner.llm.common import arrow_schema, texts
+from gleaner.llm.common import arrow_schema, give_back, texts
 from gleaner.session import cut_lineage
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, worker int, ordinal long"
@@ -54,6 +54,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> Data
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
         # Spark keeps idle workers and takes them in turn; each would go on holding its words.
         own.known.clear()
+        give_back()
 
     return texts(docs).mapInArrow(run, PIECES)
 

@@ -22,7 +22,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import arrow_schema, map_batches, texts
+from gleaner.llm.common import arrow_schema, give_back, map_batches, texts
 from gleaner.session import cut_lineage
 
 #: Labelled rows used for training, the first by the hash of their id; bounds what is broadcast and what training reads.
@@ -90,6 +90,8 @@ def learn_lexicon(docs: DataFrame, chosen: DataFrame) -> dict[str, float]:
             [pa.array(names, pa.string()), pa.array([counts[1][p] for p in names]), pa.array([counts[0][p] for p in names])],
             schema=arrow,
         )
+        del counts, names
+        give_back()
 
     counted = read.mapInArrow(run, "piece string, toxic long, other long").groupBy("piece").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     counted = cut_lineage(counted.filter("toxic > 0 or piece = ''"))

@@ -1,6 +1,7 @@
 """The operators against direct computations, with nulls, empty and long texts, ties, repeated rows, empty tables and extra columns."""
 
 import hashlib
+import os
 import re
 from collections import Counter
 import random
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gleaner.llm import bpe, column_bwt, hnsw, lsh_forest, order_minhash, packing, pii, secrets, template, toxicity
+from gleaner.llm.common import map_batches
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 WORDS = "the quick brown fox jumps over lazy dogs while seven wizards mix potions under pale moonlight near quiet rivers".split()
@@ -549,3 +551,52 @@ def test_pipeline(spark, tmp_path):
     assert docs.filter("text rlike 'AKIA[A-Z0-9]{12}|[0-9a-f]{32}'").count() == 0
     packed = corpus_pipeline.run(spark, folder)
     assert packed.select("doc_id").distinct().count() == docs.count()
+
+
+def test_idle_workers_give_memory_back(spark):
+    def own_mb():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * os.sysconf("SC_PAGE_SIZE") >> 20
+
+    def fill(batch):
+        # Too small to be mapped one by one; the last one stays behind and holds the heap up.
+        pieces = [np.ones(8_000) for _ in range(1_600)]
+        np.left_behind = pieces[-1]
+        return {"pid": [os.getpid()], "mb": [own_mb()]}
+
+    rows = spark.range(8, numPartitions=8)
+    full = {r["pid"]: r["mb"] for r in map_batches(rows, fill, "pid long, mb long").collect()}
+    idle = {r["pid"]: r["mb"] for r in rows.mapInArrow(_look(own_mb), "pid long, mb long").collect()}
+    both = full.keys() & idle.keys()
+    assert both and all(idle[p] < full[p] - 60 for p in both)
+
+
+def _look(measure):
+    def run(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"pid": [os.getpid()], "mb": [measure()]})
+
+    return run
+
+
+def test_few_links_are_few_files(spark, monkeypatch):
+    rows = [(i, prose(i // 2, 60) + (" more" if i % 2 else "")) for i in range(40)]
+    found = []
+    cut = lsh_forest.cut_lineage
+
+    def noted(df):
+        out = cut(df)
+        found.extend([out.rdd.getNumPartitions()] * (out.columns in (["a", "b"], ["node", "component"])))
+        return out
+
+    monkeypatch.setattr(lsh_forest, "cut_lineage", noted)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r["doc_id"]: r["component_id"] for r in lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: i - i % 2 for i in range(40)}
+    assert found and max(found) <= spark.sparkContext.defaultParallelism
