@@ -3,7 +3,8 @@
 The vocabulary file gives the symbols, the merges in rank order and the text rules. Texts are cut into chunks between white
 space, chunks into words by the pattern of the file. The words that a batch brings anew are laid out in one symbol array; an
 index holds every position of every mergeable pair in it; the active ranks are applied in ascending order, and each merge
-updates the position lists of the pairs that it makes. A chunk keeps its ids for later batches.
+updates the position lists of the pairs that it makes. A chunk keeps its ids for later batches. Packing needs ids alone: there
+a batch is cut into words as arrays, and distinct words of one length are merged side by side.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -40,6 +42,11 @@ _SEPARATORS = re.compile(r"[\x1c-\x1f]")
 #: Beyond these letters the library's and this module's Unicode tables can differ in age; the library cuts such chunks.
 _PLAIN = re.compile(r"[\x00-\u052f]*").fullmatch
 
+#: Kinds of letters for cutting texts as arrays; a chunk with a hard letter is cut by itself.
+_GAP, _LETTER, _DIGIT, _OTHER, _HARD = range(5)
+#: One above the last white space. All letters from here on are hard.
+_BEYOND = 0x3001
+
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
@@ -68,6 +75,26 @@ def _byte_letters() -> list[str]:
     return out
 
 
+def _letter_kinds() -> tuple[np.ndarray, np.ndarray]:
+    """Kind and lower case of each code point up to `_BEYOND`, which stands for all from there on.
+
+    Hard are apostrophes, which open the word pattern's endings, letters that can compose or change with their neighbours, that
+    lower to more than one letter, or that are not plain.
+    """
+    kinds, low = np.full(_BEYOND + 1, _HARD, np.uint8), np.arange(_BEYOND + 1, dtype=np.uint32)
+    for c in range(_BEYOND):
+        letter = chr(c)
+        lower = _lower(letter)
+        if _SPACE.fullmatch(letter):
+            kinds[c] = _GAP
+        elif not _PLAIN(letter) or letter == "'" or unicodedata.combining(letter):
+            continue
+        elif unicodedata.normalize("NFC", letter) == letter and len(lower) == 1 and _PLAIN(lower):
+            kinds[c] = next((k for k, p in ((_LETTER, r"\p{L}"), (_DIGIT, r"\p{N}")) if regex.fullmatch(p, lower)), _OTHER)
+            low[c] = ord(lower)
+    return kinds, low
+
+
 class Encoder:
     def __init__(self, text: str, side_by_side: bool):
         file = json.loads(text)
@@ -99,6 +126,13 @@ class Encoder:
         if side_by_side:
             self.words_ids = self.merged_side_by_side
             self._hash_pairs()
+            self.kinds, self.low = _letter_kinds()
+        self.forget()
+
+    def forget(self) -> None:
+        """Give up all that is remembered of earlier batches."""
+        self.known.clear()
+        self.seen, self.seen_ids, self.seen_ends = pa.array([], pa.string()), np.empty(0, np.uint32), np.zeros(1, np.int64)
 
     def _ranks(self, pairs: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 where it does not merge."""
@@ -227,23 +261,30 @@ class Encoder:
         """
         coded = [word.encode() for word in words]
         size = np.fromiter(map(len, coded), np.int64, len(coded))
-        begins = np.cumsum(size) - size
-        data = np.frombuffer(b"".join(coded), np.uint8)
-        out: list[bytes] = [b""] * len(words)
+        ids, begins, counts = self._merge(np.frombuffer(b"".join(coded), np.uint8), np.cumsum(size) - size, size)
+        packed = ids.tobytes()
+        return [packed[4 * i : 4 * (i + n)] for i, n in zip(begins.tolist(), counts.tolist())]
+
+    def _merge(self, data: np.ndarray, begins: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words, given by their bytes, first bytes and sizes: all ids, and where those of each word begin and their number."""
         order = np.argsort(size, kind="stable")
         cuts = np.flatnonzero(np.diff(size[order], prepend=0)).tolist()
+        ids, counts = [np.empty(0, np.uint32)], np.empty(len(size), np.int64)
         for i, j in zip(cuts, [*cuts[1:], len(order)]):
-            own, n = order[i:j].tolist(), int(size[order[i]])
+            own, n = order[i:j], int(size[order[i]])
             if n > SIDE:
-                found = self.merged([words[k] for k in own])
+                found = self.merged([data[k : k + n].tobytes().decode() for k in begins[own].tolist()])
+                ids.append(np.frombuffer(b"".join(found), "<u4"))
+                counts[own] = [len(f) // 4 for f in found]
             else:
-                found = self._lockstep(data[begins[order[i:j]] + np.arange(n)[:, None]])
-            for k, ids in zip(own, found):
-                out[k] = ids
-        return out
-
-    def _lockstep(self, letters: np.ndarray) -> list[bytes]:
-        """Ids of each column of bytes."""
+                some, counts[own] = self._lockstep(data[begins[own] + np.arange(n)[:, None]])
+                ids.append(some)
+        first = np.empty(len(size), np.int64)
+        first[order] = np.cumsum(counts[order]) - counts[order]
+        return np.concatenate(ids), first, counts
+
+    def _lockstep(self, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the columns of bytes, one after another, and their number per column."""
         n, m = letters.shape
         # The row behind the last letters stands for "no symbol" on either side of a word.
         symbol = np.full((n + 1, m), 0xFFFFF, np.int32)
@@ -271,14 +312,18 @@ class Encoder:
             ranks[leads] = self._hashed_ranks(flat[leads], new) + (leads // m).astype(np.int32)
         kept = symbol[:n].T
         left = kept >= 0
-        packed = kept[left].astype("<u4").tobytes()
-        bounds = [0, *(4 * np.cumsum(left.sum(axis=1))).tolist()]
-        return [packed[a:b] for a, b in zip(bounds, bounds[1:])]
+        return kept[left].astype("<u4"), left.sum(axis=1)
 
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
         """Ids of chunks not met before, remembered for later batches."""
         if len(self.known) + len(chunks) > REMEMBERED:
             self.known.clear()
+        new = self._chunk_ids(chunks)
+        self.known.update(new)
+        return new
+
+    def _chunk_ids(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of each chunk."""
         whole: dict[str, str] = {}
         parts: dict[str, list[str]] = {}
         for chunk in chunks:
@@ -295,7 +340,6 @@ class Encoder:
         new = {chunk: ids[word] for chunk, word in whole.items()}
         for chunk, found in parts.items():
             new[chunk] = b"".join([ids[w] for w in found])
-        self.known.update(new)
         return new
 
     def _cut(self, chunk: str) -> list[str]:
@@ -324,6 +368,84 @@ class Encoder:
                 out[k].append(struct.pack("<I", self.special[special]))
         return list(map(b"".join, out))
 
+    def encode_rows(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and their number per text; for an encoder that merges side by side.
+
+        All texts are cut into words at once, as arrays of kinds of letters, and each distinct word is merged once. A chunk with a
+        hard letter and a special token are words of their own.
+        """
+        if not batch:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        # White space between the texts, so that no word or special token reaches from one into the next.
+        joined = "\n".join(batch)
+        letters = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        kind = self.kinds.take(letters, mode="clip")
+        inked = kind != _GAP
+        marks = [m.span() for m in self.special_at.finditer(joined)] if "<|" in joined else []
+        for i, j in marks:
+            kind[i:j] = _HARD
+        opens = kind == _DIGIT
+        opens[:1] = True
+        opens[1:] |= kind[1:] != kind[:-1]
+        opens &= inked
+        low = self.low.take(letters, mode="clip")
+        hard = kind == _HARD
+        if hard.any():
+            begins = inked.copy()
+            begins[1:] &= ~inked[:-1]
+            begins[[k for span in marks for k in span if k < len(begins)]] = True
+            begins &= inked
+            chunk = np.cumsum(begins, dtype=np.int32) - 1
+            whole = np.zeros(chunk[-1] + 1, bool)
+            whole[chunk[hard]] = True
+            hard = whole[chunk] & inked
+            opens[hard], low[hard] = begins[hard], letters[hard]
+        at = np.flatnonzero(opens)
+        words = _strings(low[inked], np.flatnonzero(opens[inked])).dictionary_encode()
+        own = np.unique(words.indices.to_numpy()[hard[at]])
+        first, count = self._word_ids(words.dictionary, own)
+        first, count = first[words.indices], count[words.indices]
+        ends = np.concatenate(([0], np.cumsum(count)))
+        ids = self.seen_ids[np.repeat(first - ends[:-1], count) + np.arange(ends[-1])]
+        lengths = np.fromiter(map(len, batch), np.int64, len(batch)) + 1
+        rows = ends[np.searchsorted(at, np.cumsum(lengths))]
+        return ids, np.diff(rows, prepend=0)
+
+    def _word_ids(self, words: pa.StringArray, hard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in `seen_ids` the ids of each distinct word begin, and their number; new words are remembered for later batches."""
+        if len(self.seen) > REMEMBERED:
+            self.forget()
+        place = pc.index_in(words, self.seen)
+        new = place.is_null().to_numpy(zero_copy_only=False)
+        place = place.fill_null(0).to_numpy().astype(np.int64)
+        by_itself = np.zeros(len(words), bool)
+        by_itself[hard] = True
+        for some, ids_of in ((new & ~by_itself, self._plain_ids), (new & by_itself, self._hard_ids)):
+            if some.any():
+                place[some] = len(self.seen) + np.arange(np.count_nonzero(some))
+                some = words.filter(pa.array(some))
+                ids, counts = ids_of(some)
+                self.seen = pa.concat_arrays([self.seen, some])
+                self.seen_ends = np.concatenate((self.seen_ends, self.seen_ends[-1] + np.cumsum(counts)))
+                self.seen_ids = np.concatenate((self.seen_ids, ids))
+        return self.seen_ends[place], self.seen_ends[place + 1] - self.seen_ends[place]
+
+    def _plain_ids(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after another, and their number per word."""
+        _, bounds, data = words.buffers()
+        bounds = np.frombuffer(bounds, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+        ids, first, count = self._merge(np.frombuffer(data, np.uint8), bounds[:-1], np.diff(bounds))
+        ends = np.cumsum(count)
+        return ids[np.repeat(first - ends + count, count) + np.arange(len(ids))], count
+
+    def _hard_ids(self, chunks: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of chunks with hard letters and of special tokens."""
+        chunks = chunks.to_pylist()
+        known = self._chunk_ids({c for c in chunks if c not in self.special})
+        known.update({c: struct.pack("<I", i) for c, i in self.special.items()})
+        found = [known[c] for c in chunks]
+        return np.frombuffer(b"".join(found), "<u4"), np.array([len(f) // 4 for f in found])
+
     def decode(self, ids: bytes) -> str:
         """The text of little-endian 32-bit ids, as the library joins it."""
         return " ".join(map(self.names.__getitem__, struct.unpack(f"<{len(ids) // 4}I", ids)))
@@ -335,6 +457,20 @@ def _chunks(text: str) -> list[str]:
     return text.split()
 
 
+def _strings(letters: np.ndarray, begins: np.ndarray) -> pa.StringArray:
+    """Words that follow each other without a gap, given by their code points and first letters."""
+    bounds = np.append(begins, len(letters))
+    if len(letters) and letters.max() >= 0x80:
+        data = letters.tobytes().decode("utf-32-le").encode()
+        width = (letters >= 0x80).view(np.uint8) + np.uint8(1)
+        width += letters >= 0x800
+        width += letters >= 0x10000
+        bounds = np.concatenate(([0], np.cumsum(np.add.reduceat(width, begins, dtype=np.int64))))
+    else:
+        data = letters.astype(np.uint8).tobytes()
+    return pa.StringArray.from_buffers(len(begins), pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data))
+
+
 def _lower(text: str) -> str:
     """Lower case letter by letter, without the final form of sigma."""
     return text.replace("Σ", "σ").lower()

@@ -25,10 +25,20 @@ from gleaner.session import cut_lineage
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, worker int, ordinal long"
 
 
-def cut(tokens: int, capacity: int) -> list[int]:
-    """Lengths of the pieces of a document: whole bins, then the powers of two of the rest, longest first."""
-    whole, rest = divmod(tokens, capacity)
-    return [capacity] * whole + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
+def cut(tokens: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, start and length of the pieces of documents of so many tokens.
+
+    Each document's whole bins come first, then the powers of two of the rest, longest first.
+    """
+    whole, rest = np.divmod(tokens, capacity)
+    powers = capacity >> np.arange(1, capacity.bit_length())
+    in_rest = rest[:, None] & powers > 0
+    doc = np.repeat(np.arange(len(tokens)), whole + in_rest.sum(axis=1))
+    place = np.arange(len(doc)) - np.searchsorted(doc, doc)
+    length = np.full(len(doc), capacity)
+    length[place >= whole[doc]] = np.broadcast_to(powers, in_rest.shape)[in_rest]
+    start = np.cumsum(length) - length - (np.cumsum(tokens) - tokens)[doc]
+    return doc, start, length
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
@@ -38,22 +48,24 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = TaskContext.get().partitionId()
         used = [0] * (capacity.bit_length() + 1)
-        end = np.array([end_id], dtype="<u4").tobytes()
         own = encoder(path, side_by_side=True)
         for batch in batches:
-            rows: list[tuple] = []
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), own.encode_batch(batch["text"].to_pylist())):
-                ids += end
-                tokens, start = len(ids) // 4, 0
-                for length in cut(tokens, capacity):
-                    share = length.bit_length()
-                    rows.append((doc_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), tokens, worker, used[share]))
-                    used[share] += 1
-                    start += length
-            columns = zip(*rows) if rows else [()] * len(arrow)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            ids, tokens = own.encode_rows(batch["text"].to_pylist())
+            packed = np.insert(ids, np.cumsum(tokens), end_id).astype("<u4").tobytes()
+            tokens += 1
+            doc, start, length = cut(tokens, capacity)
+            ordinal = np.empty_like(length)
+            for share in range(1, capacity.bit_length() + 1):
+                of_class = np.flatnonzero(length == 1 << share - 1)
+                ordinal[of_class] = used[share] + np.arange(len(of_class))
+                used[share] += len(of_class)
+            ends = (4 * np.cumsum(length)).tolist()
+            crcs = [zlib.crc32(packed[i:j]) for i, j in zip([0, *ends], ends)]
+            numbers = start, length, crcs, tokens[doc], np.full(len(doc), worker), ordinal
+            columns = [pa.array(n, f.type) for n, f in zip(numbers, list(arrow)[1:])]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(doc)), *columns], schema=arrow)
         # Spark keeps idle workers and takes them in turn; each would go on holding its words.
-        own.known.clear()
+        own.forget()
         give_back()
 
     return texts(docs).mapInArrow(run, PIECES)

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 import random
 import struct
+import sys
 import zlib
 
 import numpy as np
@@ -108,6 +109,50 @@ def test_words_side_by_side_equal_the_library():
     assert own.merged_side_by_side([]) == [] and own.rules.get_vocab_size() == 0
 
 
+def test_texts_cut_as_arrays_equal_the_library(monkeypatch):
+    own, library = bpe.encoder(PATH, side_by_side=True), Tokenizer.from_file(PATH)
+    monkeypatch.setattr(bpe, "REMEMBERED", 500)
+    draw = random.Random(7)
+    pools = [
+        [chr(c) for c in range(0x530)],
+        [*"ab 'stremld,.9é\u0301ΣσςİŉK\u2028\x1c\x85", "漢", "🙂", "’"],
+        ["<|endoftext|>", "<|startoftext|>", "<|", "|>", "'s", " ", "A", "é", "9"],
+    ]
+    for _ in range(150):
+        batch = ["".join(draw.choices(draw.choice(pools), k=draw.choice((0, 1, 3, 40, 200)))) for _ in range(draw.randint(1, 8))]
+        batch += ["<|endof", "text|>", "one don", "'t x" + "y" * 80]
+        ids, tokens = own.encode_rows(batch)
+        want = [library.encode(text, add_special_tokens=False).ids for text in batch]
+        assert [part.tolist() for part in np.split(ids, np.cumsum(tokens)[:-1])] == want
+        assert len(own.seen) == len(own.seen_ends) - 1 and len(own.seen_ids) == own.seen_ends[-1]
+    own.forget()
+    assert len(own.seen) == len(own.seen_ids) == 0
+    assert [len(found) for found in own.encode_rows([])] == [0, 0] and [len(found) for found in own.encode_rows([""])] == [0, 1]
+
+
+def test_packing_does_no_python_step_per_chunk():
+    """The cost of encoding was a handful of Python calls for each new chunk; most chunks of a text are new words with marks."""
+    own, draw, calls = bpe.encoder(PATH, side_by_side=True), random.Random(8), Counter()
+    chunks = ["".join(draw.choices("theingoré", k=draw.randint(2, 9))).title() + draw.choice(("", ",", ".")) for _ in range(40000)]
+    encode = getattr(own, "encode_rows", own.encode_batch)
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        encode([" ".join(chunks)])
+    finally:
+        sys.setprofile(None)
+    assert calls["call"] + calls["c_call"] < len(chunks) / 2
+
+
+def test_pieces_are_whole_bins_and_then_powers_of_two():
+    for tokens in ([], [1], [2048, 1, 4096], [5000, 7, 2047, 100000]):
+        doc, start, length = packing.cut(np.array(tokens, np.int64), 2048)
+        want = []
+        for k, n in enumerate(tokens):
+            lengths = [2048] * (n // 2048) + [1 << b for b in range(10, -1, -1) if n % 2048 >> b & 1]
+            want += [(k, sum(lengths[:i]), x) for i, x in enumerate(lengths)]
+        assert list(zip(doc.tolist(), start.tolist(), length.tolist())) == want
+
+
 def test_packing_leaves_no_words_in_idle_workers(spark, docs):
     packing.harmonic_pack(docs, PATH).count()
 
